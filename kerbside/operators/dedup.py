@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -31,9 +31,3 @@ def keep_latest(df: DataFrame, key: str, order: str, ties: Sequence[str] | None
 
 def keep_first(df: DataFrame, key: str, order: str, ties: Sequence[str] | None = None) -> DataFrame:
     return _one_per_key(df, key, order, False, ties)
-
-
-def top_n_per_group(df: DataFrame, group: str, n: int, order: Sequence[Column]) -> DataFrame:
-    """The first n rows of each group; also limited per task before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")

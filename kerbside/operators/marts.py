@@ -89,12 +89,12 @@ def histogram(df: DataFrame, name: str, bins: int = HISTOGRAM_BINS) -> DataFrame
     """Rows per bin of equal width between the smallest and the largest value, which falls in the last bin.
 
     Only bins with rows are returned. Values are counted before they are binned, so the second pass works
-    on distinct values. The bounds are two scalar subqueries and need no join.
+    on distinct values. The bounds are a scalar subquery and need no join.
     """
     values = df.filter(F.col(name).isNotNull()).groupBy(F.col(name).cast("double").alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    low = values.select(F.min("value")).scalar()
-    high = values.select(F.max("value")).scalar()
+    bounds = values.select(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
+    low, high = bounds["low"], bounds["high"]
     width = (high - low) / bins
     last = F.lit(bins - 1).cast("long")
     place = F.when(F.col("value") >= high, F.when(high > low, last).otherwise(F.lit(0).cast("long"))) \

@@ -78,8 +78,8 @@ def records_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return topics.topic_records(feeds.READERS[name](spark, sf_dir), FEEDS[name])
 
 
-def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_all(records_of(spark, sf_dir, name) for name in FEEDS)
+def all_records(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [records_of(spark, sf_dir, name) for name in FEEDS]
 
 
 def closed_at() -> Column:
@@ -225,7 +225,7 @@ def topic_tail(spark, sf_dir):
 
 @query
 def topic_counts(spark, sf_dir):
-    return topics.topic_counts(all_records(spark, sf_dir))
+    return topics.topic_counts(union_all(all_records(spark, sf_dir)))
 
 
 @query
@@ -391,18 +391,17 @@ for _name, _table, _build in (
 
 # -- SQL ---------------------------------------------------------------------------------------------
 
-def _views(spark: SparkSession, sf_dir: str) -> None:
-    cleaned = all_silver(spark, sf_dir)
-    tables = {FEEDS[name].keyed_table: df for name, df in cleaned.items()}
-    for view, name in wh.GOLD_VIEWS.items():
-        feed, build = gold.GOLD[name]
-        tables[view] = build(cleaned[feed])
+def _register(spark: SparkSession, sf_dir: str, sql: str) -> None:
+    """Register the views that a query names."""
+    tables = {feed.keyed_table: silver(spark, sf_dir, name) for name, feed in FEEDS.items()
+              if feed.keyed_table in sql}
+    tables |= {view: report(spark, sf_dir, name) for view, name in wh.GOLD_VIEWS.items() if view in sql}
     wh.register_views(tables)
 
 
 def _question(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _views(spark, sf_dir)
+        _register(spark, sf_dir, QUESTIONS[name])
         return spark.sql(QUESTIONS[name])
     return build
 
@@ -414,8 +413,9 @@ for _name in QUESTIONS:
 @query
 def run_query(spark, sf_dir):
     """A query that gives more rows than are shown."""
-    _views(spark, sf_dir)
-    return wh.run_query(spark, "SELECT driver_id, count(*) AS n FROM rides GROUP BY driver_id ORDER BY n DESC, driver_id")
+    sql = "SELECT driver_id, count(*) AS n FROM rides GROUP BY driver_id ORDER BY n DESC, driver_id"
+    _register(spark, sf_dir, sql)
+    return wh.run_query(spark, sql)
 
 
 # -- windows over stored data ------------------------------------------------------------------------

@@ -26,17 +26,17 @@ def run_bronze(spark: SparkSession, input_dir: str, warehouse: str, on_error: st
             for name, feed in FEEDS.items()]
 
 
-def run_silver(spark: SparkSession, warehouse: str, where: Column | None = None) -> Counts:
-    """Typed tables to cleaned tables; `where` can restrict the run to some event dates."""
-    return [("silver", name, write_table(clean(scan(spark, f"{warehouse}/bronze/{name}", where)),
+def run_silver(spark: SparkSession, warehouse: str) -> Counts:
+    """Typed tables to cleaned tables, partitioned by event date."""
+    return [("silver", name, write_table(clean(scan(spark, f"{warehouse}/bronze/{name}")),
                                          f"{warehouse}/silver/{name}", "event_date"))
             for name, clean in SILVER.items()]
 
 
-def run_gold(spark: SparkSession, warehouse: str, where: Column | None = None) -> Counts:
+def run_gold(spark: SparkSession, warehouse: str) -> Counts:
     """Cleaned tables to report tables, each stored in its reading order."""
     return [("gold", name, write_table(
-                in_stored_order(build(scan(spark, f"{warehouse}/silver/{feed}", where)), name),
+                in_stored_order(build(scan(spark, f"{warehouse}/silver/{feed}")), name),
                 f"{warehouse}/gold/{name}"))
             for name, (feed, build) in GOLD.items()]
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,15 +22,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings this library relies on to an existing session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Tables by date have thousands of folders: list them with a few tasks per slot, not one per folder.
+    listing_tasks = min(10_000, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listing_tasks))
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """One session setting for the duration of a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def build_session(app_name: str = "kerbside", **extra: str) -> SparkSession:
     """A session for the command line; master, memory and cores come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in extra.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def working_folder(spark: SparkSession, label: str) -> str:

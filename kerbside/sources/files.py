@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.session import setting
+
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV with every column as text; blank cells are NULL.
@@ -76,11 +78,13 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> in
     several files of its advised size. Rows are counted by the final tasks of the write itself, which
     saves running the plan again and stays right when lost tasks are repeated.
     """
-    if partition_by:
-        df = df.hint("rebalance", partition_by)
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    if partition_by is None:
+        df.observe(written, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        return written.get["n"]
+    # Where partitions are many and small, opening files costs more than writing them: keep tasks small too.
+    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB"):
+        (df.hint("rebalance", partition_by)
+         .observe(written, F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").partitionBy(partition_by).parquet(path))
     return written.get["n"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from kerbside.schemas import CANCELLATIONS, FEEDS, LOCATIONS, PAYMENTS, RIDES, Feed
+from kerbside.session import setting
 from kerbside.sources.topics import decode
 from kerbside.streaming.windows import (DELAY, availability_windows, cancellation_windows, payment_windows,
                                         ride_monitor, ride_windows)
@@ -37,18 +38,9 @@ def _trigger(once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": INTERVAL}
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None):
+def state_partitions(spark: SparkSession, n: int) -> AbstractContextManager:
     """Start streams with n state partitions. The number is fixed by a stream's first start."""
-    if n is None:
-        yield
-        return
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return setting(spark, "spark.sql.shuffle.partitions", str(n))
 
 
 def decode_stream(records: DataFrame, feed: Feed, drop_repeats: str | None = None) -> DataFrame:
