@@ -61,7 +61,7 @@ def tail(args: argparse.Namespace) -> None:
         found = [topics.read_topic_batch(spark, t, args.servers) for t in args.topics or FEEDS]
         order = [F.col("partition"), F.col("offset")]
     else:
-        found = [spark.read.schema(topics.RECORD_SCHEMA).json(f"{args.topic_dir}/{t}")
+        found = [topics.read_topic_files_batch(spark, f"{args.topic_dir}/{t}")
                  .withColumn("topic", F.lit(t)) for t in args.topics or FEEDS]
         order = [F.col("key"), F.col("value")]
     text = [df.select("topic", F.col("key").cast("string"), F.col("value").cast("string"),

@@ -69,9 +69,9 @@ def report(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return build(silver(spark, sf_dir, feed))
 
 
-def decoded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A feed as it comes off its topic: encoded as records, then decoded."""
-    return topics.decode(records_of(spark, sf_dir, name), FEEDS[name])
+def timed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A feed as stored, with the event time the window summaries ask for."""
+    return feeds.READERS[name](spark, sf_dir).withColumn("event_ts", F.col("event_timestamp").cast("timestamp"))
 
 
 def records_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -213,7 +213,8 @@ def topic_records(spark, sf_dir):
 
 @query
 def parse_topic(spark, sf_dir):
-    return decoded(spark, sf_dir, RIDES.name).drop("event_timestamp")
+    """Rides as they come off their topic: encoded as records, then decoded."""
+    return topics.decode(records_of(spark, sf_dir, RIDES.name), RIDES).drop("event_timestamp")
 
 
 @query
@@ -421,7 +422,7 @@ def run_query(spark, sf_dir):
 # -- windows over stored data ------------------------------------------------------------------------
 
 def _windows(build: Callable[[DataFrame, str], DataFrame], feed: str) -> Query:
-    return lambda spark, sf_dir: build(decoded(spark, sf_dir, feed), DELAY)
+    return lambda spark, sf_dir: build(timed(spark, sf_dir, feed), DELAY)
 
 
 for _name, _build, _feed in (
@@ -437,7 +438,7 @@ for _name, _build, _feed in (
 
 @query
 def stream_city_totals(spark, sf_dir):
-    return marts.stream_city_totals(windows.ride_windows(decoded(spark, sf_dir, RIDES.name), DELAY))
+    return marts.stream_city_totals(windows.ride_windows(timed(spark, sf_dir, RIDES.name), DELAY))
 
 
 @query
@@ -448,7 +449,7 @@ def latest_windows(spark, sf_dir):
                 "payment_rates": ("payment_method", "payment_status", "txn_count"),
                 "cancellation_breakdown": ("cancelled_by", "reason", "cancellation_count")}
     return union_all(
-        marts.latest_windows(table.build(decoded(spark, sf_dir, table.feed.name), DELAY), measures[name][:2])
+        marts.latest_windows(table.build(timed(spark, sf_dir, table.feed.name), DELAY), measures[name][:2])
         .select(F.lit(name).alias("stream_table"), "window_start", F.col(measures[name][0]).alias("first_key"),
                 F.col(measures[name][1]).alias("second_key"), F.col(measures[name][2]).alias("n"))
         for name, table in runs.STREAM_TABLES.items())

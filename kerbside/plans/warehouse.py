@@ -112,7 +112,7 @@ def register_warehouse(spark: SparkSession, warehouse: str) -> list[str]:
     tables = {}
     for name, feed in FEEDS.items():
         table = keyed_table(spark, warehouse, name)
-        if table.latest_version() is not None:
+        if table.exists():
             tables[feed.keyed_table] = table.read()
     for view, name in GOLD_VIEWS.items():
         path = f"{warehouse}/gold/{name}"

@@ -12,7 +12,7 @@ import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,45 +42,34 @@ class KeyedTable:
 
     def history(self, n: int | None = None) -> DataFrame:
         """Versions, latest first: number, commit time, operation and its parameters."""
-        rows = scan_or_empty(self.spark, f"{self.path}/history", HISTORY).orderBy(F.col("version").desc())
+        rows = self._history().orderBy(F.col("version").desc())
         return rows if n is None else rows.limit(n)
 
-    def latest_version(self) -> int | None:
-        """Number of the newest version, None for a table that was never written."""
-        return self.history().agg(F.max("version")).first()[0]
+    def exists(self) -> bool:
+        return not self._history().isEmpty()
 
     def version_at(self, time: datetime) -> int:
         """The version that was current at the given time."""
-        version = self.history().filter(F.col("timestamp") <= F.lit(time)).agg(F.max("version")).first()[0]
+        version = self._history().filter(F.col("timestamp") <= F.lit(time)).agg(F.max("version")).first()[0]
         if version is None:
             raise ValueError(f"{self.path} has no version at {time}")
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version, by default the newest."""
-        rows = self._versions_up_to(version)
-        base, owners = self._owners(rows)
-        schema = T.StructType.fromJson(json.loads(rows[-1]["schema"]))
-        # Only the folders of versions that still own a partition are listed; the filter on the two
-        # folder columns then leaves out their replaced partitions.
-        paths = [f"{self.path}/data/table_version={v}" for v in sorted({base, *owners.values()})]
-        stored = T.StructType([*schema.fields, T.StructField("table_version", T.LongType())])
-        data = (self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*paths))
-        if owners:
-            moved = [(F.col("table_version") == v) & self._in_partitions([p for p, o in owners.items() if o == v])
-                     for v in sorted(set(owners.values()))]
-            data = data.filter(any_of(moved) | ((F.col("table_version") == base) & ~self._in_partitions(list(owners))))
-        return data.select(*schema.names)
+        return self._read(self._entries(version))
 
     def read_as_of(self, time: datetime) -> DataFrame:
         return self.read(self.version_at(time))
 
     def changes(self, since: int, until: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         """Rows inserted, updated or deleted between two versions; reads only partitions rewritten since."""
-        old, new = self.read(since), self.read(until)
-        later = [r for r in self._versions_up_to(until) if r["version"] > since]
-        if not any(r["replaces_all"] for r in later):
-            touched = self._in_partitions(sorted({p for r in later for p in r["partitions"]}, key=str))
+        entries = self._entries(until)
+        old = self._read([e for e in entries if e["version"] <= since])
+        new = self._read(entries)
+        later = [e for e in entries if e["version"] > since]
+        if not any(e["replaces_all"] for e in later):
+            touched = self._in_partitions(list({p for e in later for p in e["partitions"]}))
             old, new = old.filter(touched), new.filter(touched)
         return change_feed(old, new, self.key, columns)
 
@@ -92,14 +81,16 @@ class KeyedTable:
         A reload must have the columns and types of the table, in any order; else SchemaMismatch is raised
         and the table stays as it is.
         """
-        if self.latest_version() is not None:
-            df = conform(df, self.read())
-        return self._commit(df, "WRITE", {"mode": "Overwrite", "partitionBy": self.partition}, None)
+        entries = self._history_rows()
+        if entries:
+            df = conform(df, self._read(entries))
+        return self._commit(entries, df, "WRITE", {"mode": "Overwrite", "partitionBy": self.partition}, None)
 
     def merge(self, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
               source_rows: int | None = None) -> int | None:
-        """Update `columns` of matching rows. Returns the new version, or None if nothing matches."""
-        current = self.read()
+        """Update `columns` of matching rows. Returns the new version, or None if nothing can match."""
+        entries = self._entries()
+        current = self._read(entries)
         if self.partition in keys:
             touched = self._partition_values(source)
         else:
@@ -107,52 +98,71 @@ class KeyedTable:
         if not touched:
             return None
         rows = merge_update(current.filter(self._in_partitions(touched)), source, keys, columns, source_rows)
-        return self._commit(rows, "MERGE", {"predicate": json.dumps(list(keys))}, touched)
+        return self._commit(entries, rows, "MERGE", {"predicate": json.dumps(list(keys))}, touched)
 
     def delete(self, condition: Column, description: str = "") -> int | None:
         """Delete the rows for which the condition is true. Returns the new version, or None if there are none."""
-        current = self.read()
+        entries = self._entries()
+        current = self._read(entries)
         touched = self._partition_values(current.filter(condition))
         if not touched:
             return None
         rows = delete_where(current.filter(self._in_partitions(touched)), condition)
-        return self._commit(rows, "DELETE", {"predicate": description}, touched)
+        return self._commit(entries, rows, "DELETE", {"predicate": description}, touched)
 
     # -- internals -------------------------------------------------------------------------------
 
-    def _versions_up_to(self, version: int | None) -> list:
-        """History rows from the last full write on, oldest first; one small row per version."""
-        history = self.history()
-        if version is not None:
-            history = history.filter(F.col("version") <= version)
-        rows = sorted(history.collect(), key=lambda r: r["version"])
-        if not rows or (version is not None and rows[-1]["version"] != version):
-            raise ValueError(f"{self.path} has no version {'' if version is None else version}".rstrip())
-        return rows
-
-    @staticmethod
-    def _owners(rows: list) -> tuple[int, dict]:
-        """The last full version, and for each partition rewritten since then the version that holds it."""
-        start = max(i for i, r in enumerate(rows) if r["replaces_all"])
-        owners = {p: r["version"] for r in rows[start + 1:] for p in r["partitions"]}
-        return rows[start]["version"], owners
-
-    def _in_partitions(self, values: list) -> Column:
+    def _history(self) -> DataFrame:
+        return scan_or_empty(self.spark, f"{self.path}/history", HISTORY)
+
+    def _history_rows(self) -> list[Row]:
+        """All versions, oldest first; one small row each."""
+        return sorted(self._history().collect(), key=lambda e: e["version"])
+
+    def _entries(self, version: int | None = None) -> list[Row]:
+        """The versions up to the given one, by default the newest."""
+        entries = self._history_rows()
+        if version is None and entries:
+            return entries
+        if version not in [e["version"] for e in entries]:
+            raise ValueError(f"{self.path} has no version" + ("" if version is None else f" {version}"))
+        return [e for e in entries if e["version"] <= version]
+
+    def _read(self, entries: list[Row]) -> DataFrame:
+        """The table after the given versions.
+
+        Only the folders of versions that still own a partition are listed; the filter on the two folder
+        columns then leaves out their replaced partitions.
+        """
+        start = max(i for i, e in enumerate(entries) if e["replaces_all"])
+        base = entries[start]["version"]
+        owners = {p: e["version"] for e in entries[start + 1:] for p in e["partitions"]}
+        schema = T.StructType.fromJson(json.loads(entries[-1]["schema"]))
+        stored = T.StructType([*schema.fields, T.StructField("table_version", T.LongType())])
+        paths = [f"{self.path}/data/table_version={v}" for v in sorted({base, *owners.values()})]
+        data = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*paths)
+        if owners:
+            version = F.col("table_version")
+            moved = [(version == v) & self._in_partitions([p for p, owner in owners.items() if owner == v])
+                     for v in sorted(set(owners.values()))]
+            data = data.filter(any_of(moved) | ((version == base) & ~self._in_partitions(list(owners))))
+        return data.select(*schema.names)
+
+    def _in_partitions(self, values: list[str | None]) -> Column:
         value = F.col(self.partition).cast("string")
         known = [v for v in values if v is not None]
         inside = F.coalesce(value.isin(known), F.lit(False)) if known else F.lit(False)
         return inside | value.isNull() if None in values else inside
 
-    def _partition_values(self, df: DataFrame) -> list:
+    def _partition_values(self, df: DataFrame) -> list[str | None]:
         """Distinct partition values, which are folder names and as few as those."""
         return [r[0] for r in df.select(F.col(self.partition).cast("string")).distinct().collect()]
 
-    def _commit(self, rows: DataFrame, operation: str, parameters: dict, partitions: list | None) -> int:
-        latest = self.latest_version()
-        version = 0 if latest is None else latest + 1
-        # Partition columns come back last, so the table's column order is fixed that way from the start.
-        columns = [c for c in rows.columns if c != self.partition] + [self.partition]
-        rows = rows.select(*columns)
+    def _commit(self, entries: list[Row], rows: DataFrame, operation: str, parameters: dict,
+                partitions: list[str | None] | None) -> int:
+        version = entries[-1]["version"] + 1 if entries else 0
+        # Folder columns come back last, so the table's column order is fixed that way from the start.
+        rows = rows.select(*[c for c in rows.columns if c != self.partition], self.partition)
         n = write_table(rows, f"{self.path}/data/table_version={version}", self.partition)
         entry = (version, datetime.now(timezone.utc), operation, parameters, n, partitions is None,
                  partitions or [], rows.schema.json())

@@ -36,7 +36,12 @@ def read_topic_batch(spark: SparkSession, topic: str, servers: str) -> DataFrame
 
 def read_topic_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """A folder of topic records as a stream; new files are new records."""
-    return spark.readStream.schema(RECORD_SCHEMA).options(**options).json(folder)
+    return spark.readStream.schema(RECORD_SCHEMA).options(**options).parquet(folder)
+
+
+def read_topic_files_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """All records a folder holds now."""
+    return spark.read.schema(RECORD_SCHEMA).parquet(folder)
 
 
 def topic_records(df: DataFrame, feed: Feed, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,7 +57,7 @@ def topic_records(df: DataFrame, feed: Feed, columns: Sequence[str] | None = Non
 
 
 def write_topic_files(records: DataFrame, folder: str, mode: str = "append") -> None:
-    records.select("key", "value").write.mode(mode).json(folder)
+    records.select("key", "value").write.mode(mode).parquet(folder)
 
 
 def write_topic(records: DataFrame, servers: str) -> None:
