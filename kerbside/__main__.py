@@ -14,7 +14,6 @@ from kerbside.session import build_session
 from kerbside.sources import topics
 from kerbside.sources.files import read_csv, scan
 from kerbside.streaming import runs
-from kerbside.streaming.windows import DELAY
 
 TABLES = {feed.keyed_table: name for name, feed in FEEDS.items()}
 
@@ -110,7 +109,7 @@ def parser() -> argparse.ArgumentParser:
     command("layers", layers, inputs, warehouse, ("--layer", {"choices": [*wh.LAYERS, "all"], "default": "all"}))
     command("send", send, inputs, topic_dir, servers, chosen, ("--limit", {"type": int, "default": None}))
     command("stream", stream, topic_dir, servers, chosen, warehouse, ("--runtime", {"type": int, "default": None}),
-            ("--delay", {"default": DELAY}), ("--state-partitions", {"type": int, "default": None}))
+            ("--delay", {"default": runs.DELAY}), ("--state-partitions", {"type": int, "default": None}))
     command("tail", tail, topic_dir, servers, chosen, ("--limit", {"type": int, "default": 3}))
     command("keyed", keyed, warehouse, ("--table", {"choices": list(TABLES), "default": None}),
             ("--skip-demo", {"action": "store_true"}))

@@ -421,8 +421,8 @@ def run_query(spark, sf_dir):
 
 # -- windows over stored data ------------------------------------------------------------------------
 
-def _windows(build: Callable[[DataFrame, str], DataFrame], feed: str) -> Query:
-    return lambda spark, sf_dir: build(timed(spark, sf_dir, feed), DELAY)
+def _windows(build: Callable[[DataFrame], DataFrame], feed: str) -> Query:
+    return lambda spark, sf_dir: build(timed(spark, sf_dir, feed))
 
 
 for _name, _build, _feed in (
@@ -438,7 +438,7 @@ for _name, _build, _feed in (
 
 @query
 def stream_city_totals(spark, sf_dir):
-    return marts.stream_city_totals(windows.ride_windows(timed(spark, sf_dir, RIDES.name), DELAY))
+    return marts.stream_city_totals(windows.ride_windows(timed(spark, sf_dir, RIDES.name)))
 
 
 @query
@@ -449,7 +449,7 @@ def latest_windows(spark, sf_dir):
                 "payment_rates": ("payment_method", "payment_status", "txn_count"),
                 "cancellation_breakdown": ("cancelled_by", "reason", "cancellation_count")}
     return union_all(
-        marts.latest_windows(table.build(timed(spark, sf_dir, table.feed.name), DELAY), measures[name][:2])
+        marts.latest_windows(table.build(timed(spark, sf_dir, table.feed.name)), measures[name][:2])
         .select(F.lit(name).alias("stream_table"), "window_start", F.col(measures[name][0]).alias("first_key"),
                 F.col(measures[name][1]).alias("second_key"), F.col(measures[name][2]).alias("n"))
         for name, table in runs.STREAM_TABLES.items())

@@ -13,9 +13,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 from kerbside.schemas import CANCELLATIONS, FEEDS, LOCATIONS, PAYMENTS, RIDES, Feed
 from kerbside.session import setting
 from kerbside.sources.topics import decode
-from kerbside.streaming.windows import (DELAY, availability_windows, cancellation_windows, payment_windows,
-                                        ride_monitor, ride_windows)
+from kerbside.streaming.windows import (availability_windows, cancellation_windows, payment_windows, ride_monitor,
+                                        ride_windows)
 
+# How long a window stays open for late records, and how often a stream looks for new ones.
+DELAY = "90 days"
 INTERVAL = "30 seconds"
 
 
@@ -23,7 +25,7 @@ INTERVAL = "30 seconds"
 class StreamTable:
     name: str
     feed: Feed
-    build: Callable[[DataFrame, str], DataFrame]
+    build: Callable[[DataFrame], DataFrame]
 
 
 STREAM_TABLES = {t.name: t for t in (
@@ -43,19 +45,20 @@ def state_partitions(spark: SparkSession, n: int) -> AbstractContextManager:
     return setting(spark, "spark.sql.shuffle.partitions", str(n))
 
 
-def decode_stream(records: DataFrame, feed: Feed, drop_repeats: str | None = None) -> DataFrame:
-    """Decoded records. With `drop_repeats` (a delay) records delivered again within it are dropped."""
-    rows = decode(records, feed)
-    if drop_repeats is None:
-        return rows
-    return rows.withWatermark("event_ts", drop_repeats).dropDuplicatesWithinWatermark([feed.key])
+def decode_stream(records: DataFrame, feed: Feed, delay: str = DELAY, drop_repeats: bool = False) -> DataFrame:
+    """Decoded records of a stream, which waits `delay` for late ones.
+
+    With `drop_repeats` records that are delivered again within the delay are dropped.
+    """
+    rows = decode(records, feed).withWatermark("event_ts", delay)
+    return rows.dropDuplicatesWithinWatermark([feed.key]) if drop_repeats else rows
 
 
 def start_table(records: DataFrame, table: StreamTable, warehouse: str, delay: str = DELAY,
-                once: bool = False) -> StreamingQuery:
+                once: bool = False, drop_repeats: bool = False) -> StreamingQuery:
     """Append closed windows to a Parquet table. A restart goes on where the checkpoint says."""
-    windows = table.build(decode_stream(records, table.feed), delay)
-    return (windows.writeStream.queryName(f"{table.name}").outputMode("append").format("parquet")
+    windows = table.build(decode_stream(records, table.feed, delay, drop_repeats))
+    return (windows.writeStream.queryName(table.name).outputMode("append").format("parquet")
             .option("path", f"{warehouse}/streaming/{table.name}")
             .option("checkpointLocation", f"{warehouse}/checkpoints/{table.name}")
             .trigger(**_trigger(once)).start())
@@ -68,7 +71,7 @@ def start_monitor(records: DataFrame, delay: str = DELAY, once: bool = False, fo
     The whole result is worked out anew each time (complete mode). It is written by the tasks; the driver
     sees no more of it than the 30 rows it prints.
     """
-    writer = ride_monitor(decode_stream(records, RIDES), delay).writeStream.outputMode("complete")
+    writer = ride_monitor(decode_stream(records, RIDES, delay)).writeStream.outputMode("complete")
     if folder:
         def store(result: DataFrame, batch: int) -> None:
             result.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
@@ -108,6 +111,7 @@ def start_topics(spark: SparkSession, source: Callable[[str], DataFrame], wareho
 def run_topics(spark: SparkSession, source: Callable[[str], DataFrame], warehouse: str,
                topics: Iterable[str] | None = None, runtime: float | None = None, **options) -> None:
     """Run the chosen topics until one ends, or for `runtime` seconds, then stop them all."""
+    spark.streams.resetTerminated()
     queries = start_topics(spark, source, warehouse, topics, **options)
     try:
         if options.get("once"):

@@ -1,0 +1,193 @@
+"""Updates, deletes, versions and comparisons."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import rows
+from kerbside.operators import layers
+from kerbside.operators.changes import (SchemaMismatch, change_feed, conform, delete_keys, delete_where, merge_update,
+                                        open_ride_updates)
+from kerbside.plans import warehouse as wh
+from kerbside.sources.files import path_exists
+from kerbside.sources.keyed import KeyedTable
+
+TARGET = [("a", "Miami", 1.0), ("b", "Miami", None), ("c", None, 3.0)]
+
+
+@pytest.fixture
+def target(spark):
+    return spark.createDataFrame(TARGET, "id string, city string, fare double")
+
+
+def source(spark, *found):
+    return spark.createDataFrame(list(found), "id string, city string, fare double")
+
+
+@pytest.mark.parametrize("bound", [None, 10])
+def test_merge_updates_matches_only(spark, target, bound):
+    found = merge_update(target, source(spark, ("b", "Miami", 9.0), ("a", "Boston", 8.0), ("z", "Miami", 7.0),
+                                        ("c", None, 6.0)), ["id", "city"], ["fare"], bound).collect()
+    assert sorted(tuple(r) for r in found if r["city"]) == [("a", "Miami", 1.0), ("b", "Miami", 9.0)]
+    assert [tuple(r) for r in found if not r["city"]] == [("c", None, 3.0)]     # NULL keys match nothing
+
+
+def test_merge_can_set_null(spark, target):
+    found = merge_update(target, source(spark, ("a", "Miami", None)), ["id", "city"], ["fare"]).collect()
+    assert {r["id"]: r["fare"] for r in found} == {"a": None, "b": None, "c": 3.0}
+
+
+def test_merge_with_two_source_rows_for_one_target_row_fails(spark, target):
+    twice = source(spark, ("a", "Miami", 1.0), ("a", "Miami", 2.0))
+    with pytest.raises(Exception, match="several source rows"):
+        merge_update(target, twice, ["id", "city"], ["fare"]).collect()
+
+
+def test_merge_with_two_source_rows_for_no_target_row_is_fine(spark, target):
+    twice = source(spark, ("z", "Miami", 1.0), ("z", "Miami", 2.0))
+    assert merge_update(target, twice, ["id", "city"], ["fare"]).count() == 3
+
+
+def test_small_source_is_broadcast(spark, target):
+    plan = merge_update(target, source(spark, ("a", "Miami", 1.0)), ["id", "city"], ["fare"], 500)
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_delete_keeps_rows_where_the_condition_is_null(spark, target):
+    assert {r["id"] for r in delete_where(target, F.col("fare") < 2).collect()} == {"b", "c"}
+
+
+def test_delete_keys(spark, target):
+    keys = spark.createDataFrame([("a",), ("q",)], "id string")
+    assert {r["id"] for r in delete_keys(target, keys).collect()} == {"b", "c"}
+
+
+def test_change_feed_applied_to_the_old_version_gives_the_new_one(spark):
+    old = source(spark, ("a", "x", 1.0), ("b", "x", None), ("c", "y", 3.0), (None, "y", 4.0))
+    new = source(spark, ("a", "x", 1.0), ("b", "x", 2.0), ("d", "z", None), (None, "y", None))
+    changes = {r["id"]: r for r in change_feed(old, new, "id").collect()}
+    assert {k: r["change"] for k, r in changes.items()} == {"b": "update", "c": "delete", "d": "insert", None: "update"}
+    state = {r["id"]: (r["city"], r["fare"]) for r in old.collect()}
+    for key, change in changes.items():
+        state.pop(key, None)
+        if change["change"] != "delete":
+            state[key] = (change["new_city"], change["new_fare"])
+    assert state == {r["id"]: (r["city"], r["fare"]) for r in new.collect()}
+
+
+def test_conform(spark, target):
+    assert conform(target.select("fare", "id", "city"), target).columns == target.columns
+    with pytest.raises(SchemaMismatch, match="missing column fare"):
+        conform(target.drop("fare"), target)
+    with pytest.raises(SchemaMismatch, match="unknown column x"):
+        conform(target.withColumn("x", F.lit(1)), target)
+    with pytest.raises(SchemaMismatch, match="fare is string, not double"):
+        conform(target.withColumn("fare", F.col("fare").cast("string")), target)
+
+
+def table_of(spark, folder):
+    table = KeyedTable(spark, folder, "id", "city")
+    table.overwrite(source(spark, ("a", "Miami", 1.0), ("b", "Miami", 2.0), ("c", "Boston", 3.0), ("d", None, 4.0)))
+    return table
+
+
+def content(df):
+    return {r["id"]: (r["city"], r["fare"]) for r in df.collect()}
+
+
+def test_versions(spark, folder):
+    table = table_of(spark, folder)
+    loaded = content(table.read())
+    assert table.delete(F.col("id") == "a", "id = a") == 1
+    assert table.merge(source(spark, ("c", "Boston", 30.0)), ["id", "city"], ["fare"]) == 2
+    assert table.delete(F.col("city").isNull()) == 3
+    assert content(table.read()) == {"b": ("Miami", 2.0), "c": ("Boston", 30.0)}
+    assert content(table.read(0)) == loaded
+    assert content(table.read(1)) == {k: v for k, v in loaded.items() if k != "a"}
+    history = table.history().collect()
+    assert [(r["version"], r["operation"]) for r in history] == [(3, "DELETE"), (2, "MERGE"), (1, "DELETE"), (0, "WRITE")]
+    assert [r["partitions"] for r in history] == [[None], ["Boston"], ["Miami"], []]
+    assert content(table.read_as_of(history[2]["timestamp"])) == content(table.read(1))
+    changes = {r["id"]: r["change"] for r in table.changes(0).collect()}
+    assert changes == {"a": "delete", "c": "update", "d": "delete"}
+    assert {r["id"]: r["change"] for r in table.changes(1, 2).collect()} == {"c": "update"}
+
+
+def test_a_change_rewrites_only_its_partitions(spark, folder):
+    table = table_of(spark, folder)
+    table.delete(F.col("id") == "a")
+    assert path_exists(spark, f"{folder}/data/table_version=1/city=Miami")
+    assert not path_exists(spark, f"{folder}/data/table_version=1/city=Boston")
+
+
+def test_deleting_a_whole_partition(spark, folder):
+    table = table_of(spark, folder)
+    table.delete(F.col("city") == "Miami")
+    assert set(content(table.read())) == {"c", "d"}
+
+
+def test_merge_without_the_partition_among_its_keys(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(source(spark, ("b", "elsewhere", 20.0)), ["id"], ["fare"])
+    assert content(table.read())["b"] == ("Miami", 20.0)
+
+
+def test_nothing_to_do_makes_no_version(spark, folder):
+    table = table_of(spark, folder)
+    assert table.delete(F.col("id") == "zz") is None
+    assert table.merge(source(spark), ["id", "city"], ["fare"]) is None
+    assert table.history().count() == 1
+
+
+def test_files_of_an_unfinished_change_are_not_read(spark, folder):
+    table = table_of(spark, folder)
+    source(spark, ("x", "Miami", 0.0)).write.partitionBy("city").parquet(f"{folder}/data/table_version=1")
+    assert "x" not in content(table.read())
+    table.delete(F.col("id") == "a")
+    assert set(content(table.read())) == {"b", "c", "d"}
+
+
+def test_reload(spark, folder):
+    table = table_of(spark, folder)
+    table.delete(F.col("id") == "a")
+    assert table.overwrite(source(spark, ("n", "Austin", 1.0))) == 2
+    assert set(content(table.read())) == {"n"}
+    assert set(content(table.read(1))) == {"b", "c", "d"}
+    assert {r["change"] for r in table.changes(1).collect()} == {"insert", "delete"}
+    with pytest.raises(SchemaMismatch):
+        table.overwrite(source(spark, ("n", "Austin", 1.0)).drop("fare"))
+
+
+def test_unknown_versions(spark, folder):
+    table = table_of(spark, folder)
+    with pytest.raises(ValueError, match="no version 7"):
+        table.read(7)
+    with pytest.raises(ValueError, match="no version at"):
+        table.version_at(datetime.datetime(2000, 1, 1, tzinfo=datetime.timezone.utc))
+    with pytest.raises(ValueError, match="no version"):
+        KeyedTable(spark, f"{folder}-none", "id", "city").read()
+
+
+def test_closing_open_rides(spark, folder):
+    open_ride = {"ride_status": "in_progress", "fare_amount": None, "dropoff_time": None}
+    silver = layers.silver_rides(rows.rides(spark, *[{**open_ride, "ride_id": f"r{i}"} for i in range(5)], {"ride_id": "done"}))
+    table = wh.load_keyed_tables(spark, {"ride_events": silver}, folder)["ride_events"]
+    assert wh.close_open_rides(table, 3) == 1
+    assert tuple(wh.open_rides_since(table).first()) == (5, 2, 3)
+    closed = table.read().filter(F.col("ride_id") == "r0").first()
+    assert closed["ride_status"] == "completed" and closed["fare_amount"] == 10.0 and closed["dropoff_time"]
+    assert table.read().count() == table.read(0).count() == 6
+
+
+def test_erasing_a_driver(spark, folder):
+    silver = layers.silver_locations(rows.pings(spark, {"event_id": "a"}, {"event_id": "b"}, {"event_id": "c", "driver_id": "d2"}))
+    table = wh.load_keyed_tables(spark, {"driver_location_events": silver}, folder)["driver_location_events"]
+    assert tuple(wh.erase_driver(table).first()) == (2, 0, 2)
+    assert [r["driver_id"] for r in table.read().collect()] == ["d2"]
+
+
+def test_payload_is_the_first_open_rides_by_id(spark):
+    open_ride = {"ride_status": "in_progress", "fare_amount": None}
+    df = rows.rides(spark, *[{**open_ride, "ride_id": f"r{i}"} for i in (4, 2, 9, 1)], {"ride_id": "r0"})
+    assert [r["ride_id"] for r in open_ride_updates(df, 2).orderBy("ride_id").collect()] == ["r1", "r2"]
