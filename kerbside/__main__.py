@@ -51,7 +51,7 @@ def stream(args: argparse.Namespace) -> None:
         return topics.read_topic_files(spark, f"{args.topic_dir}/{topic}")
 
     with runs.state_partitions(spark, args.state_partitions or spark.sparkContext.defaultParallelism):
-        runs.run_topics(spark, source, args.warehouse_dir, args.topics, args.runtime, delay=args.delay)
+        runs.run_topics(spark, source, args.warehouse_dir, args.topics, args.runtime, delay=args.delay, once=args.once)
 
 
 def tail(args: argparse.Namespace) -> None:
@@ -109,6 +109,7 @@ def parser() -> argparse.ArgumentParser:
     command("layers", layers, inputs, warehouse, ("--layer", {"choices": [*wh.LAYERS, "all"], "default": "all"}))
     command("send", send, inputs, topic_dir, servers, chosen, ("--limit", {"type": int, "default": None}))
     command("stream", stream, topic_dir, servers, chosen, warehouse, ("--runtime", {"type": int, "default": None}),
+            ("--once", {"action": "store_true", "help": "stop when all records present are read"}),
             ("--delay", {"default": runs.DELAY}), ("--state-partitions", {"type": int, "default": None}))
     command("tail", tail, topic_dir, servers, chosen, ("--limit", {"type": int, "default": 3}))
     command("keyed", keyed, warehouse, ("--table", {"choices": list(TABLES), "default": None}),
