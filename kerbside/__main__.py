@@ -19,10 +19,11 @@ TABLES = {feed.keyed_table: name for name, feed in FEEDS.items()}
 
 
 def layers(args: argparse.Namespace) -> None:
+    """Feed files to typed, cleaned and report tables, with checks before and after."""
     spark = build_session()
     if args.layer in ("bronze", "all"):
         validate_inputs(spark, args.input_dir)
-    wh.run_layers(spark, args.input_dir, args.warehouse_dir, args.layer).show(truncate=False)
+    wh.run_layers(spark, args.input_dir, args.warehouse_dir, args.layer, args.on_error).show(truncate=False)
     if args.layer in ("gold", "all"):
         validate_outputs(spark, args.warehouse_dir)
 
@@ -43,6 +44,7 @@ def send(args: argparse.Namespace) -> None:
 
 
 def stream(args: argparse.Namespace) -> None:
+    """Topics to window tables, until stopped, for some seconds, or once."""
     spark = build_session()
 
     def source(topic: str):
@@ -55,6 +57,7 @@ def stream(args: argparse.Namespace) -> None:
 
 
 def tail(args: argparse.Namespace) -> None:
+    """The first records of each topic, and how many there are."""
     spark = build_session()
     if args.servers:
         found = [topics.read_topic_batch(spark, t, args.servers) for t in args.topics or FEEDS]
@@ -86,6 +89,7 @@ def keyed(args: argparse.Namespace) -> None:
 
 
 def sql(args: argparse.Namespace) -> None:
+    """SQL, or a standing question by name, over the stored tables."""
     spark = build_session()
     print("views:", ", ".join(wh.register_warehouse(spark, args.warehouse_dir)))
     wh.run_query(spark, QUESTIONS.get(args.query, args.query), args.max_rows).show(args.max_rows, truncate=False)
@@ -106,7 +110,8 @@ def parser() -> argparse.ArgumentParser:
     topic_dir = ("--topic-dir", {"default": "topics"})
     servers = ("--servers", {"default": None, "help": "broker addresses; without them topics are folders"})
     chosen = ("--topics", {"nargs": "+", "choices": list(FEEDS), "default": None})
-    command("layers", layers, inputs, warehouse, ("--layer", {"choices": [*wh.LAYERS, "all"], "default": "all"}))
+    command("layers", layers, inputs, warehouse, ("--layer", {"choices": [*wh.LAYERS, "all"], "default": "all"}),
+            ("--on-error", {"choices": ["raise", "null"], "default": "raise", "help": "malformed cells"}))
     command("send", send, inputs, topic_dir, servers, chosen, ("--limit", {"type": int, "default": None}))
     command("stream", stream, topic_dir, servers, chosen, warehouse, ("--runtime", {"type": int, "default": None}),
             ("--once", {"action": "store_true", "help": "stop when all records present are read"}),

@@ -10,9 +10,13 @@ from pyspark.sql.window import WindowSpec
 
 
 def ranked_by(key: str, order: str, descending: bool = False, ties: Sequence[str] = ()) -> WindowSpec:
-    """Window over one key, ordered by `order` (NULLs last) and then by `ties`."""
+    """Window over one key, ordered by `order` (NULLs last) and then by `ties`.
+
+    The hash in front of the key changes nothing but the speed of the sort: ids begin alike ("ride_"), and
+    Spark compares the first eight bytes of the first sort column before anything else.
+    """
     first = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
-    return Window.partitionBy(key).orderBy(first, *[F.col(c).asc_nulls_last() for c in ties])
+    return Window.partitionBy(F.xxhash64(key), key).orderBy(first, *[F.col(c).asc_nulls_last() for c in ties])
 
 
 def _one_per_key(df: DataFrame, key: str, order: str, descending: bool, ties: Sequence[str] | None) -> DataFrame:

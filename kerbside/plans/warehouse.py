@@ -41,13 +41,14 @@ def run_gold(spark: SparkSession, warehouse: str) -> Counts:
             for name, (feed, build) in GOLD.items()]
 
 
-def run_layers(spark: SparkSession, input_dir: str, warehouse: str, layer: str = "all") -> DataFrame:
+def run_layers(spark: SparkSession, input_dir: str, warehouse: str, layer: str = "all",
+               on_error: str = "raise") -> DataFrame:
     """Run one layer, or all in order, and return (layer, table, n_rows) as counted by the writes."""
     if layer not in (*LAYERS, "all"):
         raise ValueError(f"layer must be one of {LAYERS} or 'all', not {layer!r}")
     counts: Counts = []
     if layer in ("bronze", "all"):
-        counts += run_bronze(spark, input_dir, warehouse)
+        counts += run_bronze(spark, input_dir, warehouse, on_error)
     if layer in ("silver", "all"):
         counts += run_silver(spark, warehouse)
     if layer in ("gold", "all"):

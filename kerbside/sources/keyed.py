@@ -92,7 +92,7 @@ class KeyedTable:
         entries = self._entries()
         current = self._read(entries)
         if self.partition in keys:
-            touched = self._partition_values(source)
+            touched = self._partition_values(source.filter(F.col(self.partition).isNotNull()))
         else:
             touched = self._partition_values(current.join(source.select(*keys), list(keys), "left_semi"))
         if not touched:

@@ -127,6 +127,10 @@ def test_deleting_a_whole_partition(spark, folder):
     assert set(content(table.read())) == {"c", "d"}
 
 
+def test_source_rows_without_a_partition_touch_nothing(spark, folder):
+    assert table_of(spark, folder).merge(source(spark, ("d", None, 9.0)), ["id", "city"], ["fare"]) is None
+
+
 def test_merge_without_the_partition_among_its_keys(spark, folder):
     table = table_of(spark, folder)
     table.merge(source(spark, ("b", "elsewhere", 20.0)), ["id"], ["fare"])
