@@ -12,21 +12,29 @@ UNIT_RANGE = 1e14
 
 
 def exact_sum(name: str) -> Column:
-    """Sum of a double column that does not depend on the order in which tasks finish.
+    """Sum of a double column that does not depend on the order in which tasks finish (see `exact_sum_sql`)."""
+    return F.expr(exact_sum_sql(name))
+
+
+def exact_mean(name: str) -> Column:
+    """Mean of the non-NULL values, built on `exact_sum`; NULL if there are none."""
+    return F.expr(exact_mean_sql(name))
+
+
+def exact_sum_sql(name: str) -> str:
+    """SQL for an order-independent sum.
 
     Whole units are added as longs, which is exact in any order, and what is left of each value
     (nothing, for values of up to four decimals) is added as a double. Unlike a plain double sum the
     result stays the same when lost tasks are run again; it costs the same, and no decimals are needed.
     NULL if all values are NULL; NaN and infinity come through as in a plain sum.
     """
-    value = F.col(name)
-    units = F.when(F.abs(value) < UNIT_RANGE, F.floor(value * UNITS + 0.5)).otherwise(F.lit(0))
-    return F.sum(units) / UNITS + F.sum(value - units / UNITS)
+    units = f"if(abs(`{name}`) < {UNIT_RANGE}D, floor(`{name}` * {UNITS}D + 0.5D), 0L)"
+    return f"(sum({units}) / {UNITS}D + sum(`{name}` - {units} / {UNITS}D))"
 
 
-def exact_mean(name: str) -> Column:
-    """Mean of the non-NULL values, built on `exact_sum`; NULL if there are none."""
-    return F.try_divide(exact_sum(name), F.count(name))
+def exact_mean_sql(name: str) -> str:
+    return f"try_divide({exact_sum_sql(name)}, count(`{name}`))"
 
 
 def percent(part: Column, whole: Column) -> Column:

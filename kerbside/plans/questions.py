@@ -3,17 +3,12 @@
 Percentages have one decimal, and each result is ordered to the last tie.
 """
 
-# A sum that does not depend on task order: whole ten-thousandths as integers, the rest as doubles
-# (the SQL form of functions.measures.exact_sum).
-def sql_sum(column: str) -> str:
-    units = f"floor({column} * 10000.0D + 0.5D)"
-    return f"(sum({units}) / 10000.0D + sum({column} - {units} / 10000.0D))"
-
+from kerbside.functions.measures import exact_mean_sql, exact_sum_sql
 
 QUESTIONS = {
     # Which city had the highest total revenue from completed rides?
     "top_revenue_city": f"""
-        SELECT city, {sql_sum('fare_amount')} AS total_revenue
+        SELECT city, {exact_sum_sql('fare_amount')} AS total_revenue
         FROM rides WHERE ride_status = 'completed'
         GROUP BY city ORDER BY total_revenue DESC, city LIMIT 1""",
     # What percentage of rides were cancelled, by city?
@@ -22,7 +17,7 @@ QUESTIONS = {
         FROM rides GROUP BY city ORDER BY cancelled_pct DESC, city LIMIT 20""",
     # Which hour of the day has the highest average surge?
     "peak_hour": f"""
-        SELECT trip_hour, {sql_sum('surge_multiplier')} / count(surge_multiplier) AS avg_surge
+        SELECT trip_hour, {exact_mean_sql('surge_multiplier')} AS avg_surge
         FROM rides GROUP BY trip_hour ORDER BY avg_surge DESC, trip_hour LIMIT 1""",
     # What are the most common cancellation reasons, and who cancels most?
     "cancel_reasons": """
@@ -47,6 +42,6 @@ QUESTIONS = {
         GROUP BY city ORDER BY drivers DESC, city LIMIT 20""",
     # Which city had the highest revenue over all rides, whatever their status?
     "top_revenue_city_any_status": f"""
-        SELECT city, {sql_sum('total_revenue')} AS total_revenue
+        SELECT city, {exact_sum_sql('total_revenue')} AS total_revenue
         FROM daily_ride_metrics GROUP BY city ORDER BY total_revenue DESC NULLS LAST, city LIMIT 1""",
 }

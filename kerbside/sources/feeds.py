@@ -8,66 +8,57 @@ leading underscore return the contract columns only, plus `event_date`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.pricing import shift_seconds
 from kerbside.operators.derive import derive_cancellations, derive_payments
 from kerbside.schemas import CITIES, PAYMENT_METHODS, RIDES
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    """SQL for the value at a place in a fixed list."""
+    return f"get(array({', '.join(repr(v) for v in values)}), CAST({index} AS INT))"
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", F.to_date("event_timestamp"))
+def _degrees(factor: int, limit: int) -> str:
+    """SQL for a coordinate with three decimals in -limit..limit, spread by the event id."""
+    return f"CAST(event_id * {factor} % {2000 * limit + 1} - {1000 * limit} AS DOUBLE) / 1000"
 
 
-def _degrees(factor: int, limit: int) -> Column:
-    """A coordinate with three decimals in -limit..limit, spread by the event id."""
-    steps = F.col("event_id") * factor % (2000 * limit + 1) - 1000 * limit
-    return steps.cast("double") / 1000
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_date", F.to_date("event_timestamp"))
 
 
 def _ride_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    event_id, kind, value, ts = (F.col(c) for c in ("event_id", "event_type", "value", "ts"))
-    open_ended = kind.isin("error", "signup")
-    rides = events.select(
+    rides = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
-        F.concat(F.lit("ride_"), event_id).alias("ride_id"),
-        F.concat(F.lit("rider_"), F.col("user_id")).alias("rider_id"),
-        F.when(event_id % 53 != 0, F.concat(F.lit("driver_"), F.regexp_extract("props", "([0-9]+)", 1)))
-        .alias("driver_id"),
-        _pick(CITIES, F.col("user_id") % 8).alias("city"),
-        _degrees(37, 90).alias("pickup_lat"),
-        _degrees(73, 180).alias("pickup_lng"),
-        _degrees(41, 90).alias("dropoff_lat"),
-        _degrees(79, 180).alias("dropoff_lng"),
-        ts.alias("request_time"),
-        shift_seconds(ts, event_id % 420 + 60).alias("pickup_time"),
-        F.when(~open_ended, shift_seconds(ts, event_id % 3600 + 60)).alias("dropoff_time"),
-        F.when(kind == "error", "cancelled")
-        .when((kind == "signup") & (event_id % 41 == 0), "unknown")
-        .when(kind == "signup", "in_progress")
-        .otherwise("completed").alias("ride_status"),
-        F.when(~open_ended & (event_id % 47 == 0), value * -1.0)
-        .when(~open_ended, value).alias("fare_amount"),
-        ((event_id % 11 * 15 + 100).cast("double") / 100).alias("surge_multiplier"),
-        F.when(event_id % 59 == 0, F.lit(0.0))
-        .otherwise((event_id * 13 % 2450 + 50).cast("double") / 100).alias("distance_miles"),
-        ((event_id * 17 % 1080).cast("double") / 10).alias("duration_minutes"),
-        _pick(PAYMENT_METHODS, event_id % 4).alias("payment_type"),
-        ts.alias("event_timestamp"),
+        "concat('ride_', event_id) AS ride_id",
+        "concat('rider_', user_id) AS rider_id",
+        "CASE WHEN event_id % 53 <> 0 THEN concat('driver_', regexp_extract(props, '([0-9]+)', 1)) END AS driver_id",
+        f"{_pick(CITIES, 'user_id % 8')} AS city",
+        f"{_degrees(37, 90)} AS pickup_lat",
+        f"{_degrees(73, 180)} AS pickup_lng",
+        f"{_degrees(41, 90)} AS dropoff_lat",
+        f"{_degrees(79, 180)} AS dropoff_lng",
+        "ts AS request_time",
+        "ts + INTERVAL '1' SECOND * (event_id % 420 + 60) AS pickup_time",
+        """CASE WHEN event_type NOT IN ('error', 'signup')
+           THEN ts + INTERVAL '1' SECOND * (event_id % 3600 + 60) END AS dropoff_time""",
+        """CASE WHEN event_type = 'error' THEN 'cancelled' WHEN event_type <> 'signup' THEN 'completed'
+           WHEN event_id % 41 = 0 THEN 'unknown' ELSE 'in_progress' END AS ride_status""",
+        """CASE WHEN event_type NOT IN ('error', 'signup')
+           THEN if(event_id % 47 = 0, value * -1.0D, value) END AS fare_amount""",
+        "CAST(event_id % 11 * 15 + 100 AS DOUBLE) / 100 AS surge_multiplier",
+        "if(event_id % 59 = 0, 0.0D, CAST(event_id * 13 % 2450 + 50 AS DOUBLE) / 100) AS distance_miles",
+        "CAST(event_id * 17 % 1080 AS DOUBLE) / 10 AS duration_minutes",
+        f"{_pick(PAYMENT_METHODS, 'event_id % 4')} AS payment_type",
+        "ts AS event_timestamp",
         # Every 37th ride comes twice; the second record is an hour later and a dollar dearer.
-        F.explode(F.when(event_id % 37 == 0, F.array(F.lit(False), F.lit(True)))
-                  .otherwise(F.array(F.lit(False)))).alias("again"),
+        "explode(if(event_id % 37 = 0, array(false, true), array(false))) AS again",
     )
     return _dated(rides.withColumns({
-        "fare_amount": F.when(F.col("again"), F.col("fare_amount") + 1.0).otherwise(F.col("fare_amount")),
-        "event_timestamp": F.when(F.col("again"), shift_seconds(F.col("event_timestamp"), F.lit(3600)))
-        .otherwise(F.col("event_timestamp")),
+        "fare_amount": F.expr("if(again, fare_amount + 1.0D, fare_amount)"),
+        "event_timestamp": F.expr("if(again, event_timestamp + INTERVAL '1' HOUR, event_timestamp)"),
     }).drop("again"))
 
 
@@ -76,37 +67,31 @@ def ride_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_location_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    order, flag = F.col("l_orderkey"), F.col("l_returnflag")
-    return _dated(lines.select(
-        F.when(order % 997 != 0, F.concat(F.lit("loc_"), order, F.lit("_"), F.col("l_linenumber")))
-        .alias("event_id"),
-        F.concat(F.lit("driver_"), F.col("l_suppkey")).alias("driver_id"),
-        _pick(CITIES, F.col("l_suppkey") % 8).alias("city"),
-        (F.col("l_quantity") * 2 - 5).alias("lat"),
-        (F.col("l_extendedprice") % 400 - 180).alias("lng"),
-        F.when(flag == "A", "available").when(flag == "R", "on_trip")
-        .when(F.col("l_partkey") % 43 == 0, "unknown").otherwise("offline").alias("availability_status"),
-        shift_seconds(F.col("l_shipdate"), F.col("l_linenumber") * 3600).alias("event_timestamp"),
+    return _dated(spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "CASE WHEN l_orderkey % 997 <> 0 THEN concat('loc_', l_orderkey, '_', l_linenumber) END AS event_id",
+        "concat('driver_', l_suppkey) AS driver_id",
+        f"{_pick(CITIES, 'l_suppkey % 8')} AS city",
+        "l_quantity * 2 - 5 AS lat",
+        "l_extendedprice % 400 - 180 AS lng",
+        """CASE WHEN l_returnflag = 'A' THEN 'available' WHEN l_returnflag = 'R' THEN 'on_trip'
+           WHEN l_partkey % 43 = 0 THEN 'unknown' ELSE 'offline' END AS availability_status""",
+        "l_shipdate + INTERVAL '1' HOUR * l_linenumber AS event_timestamp",
     ))
 
 
 def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event_id = F.col("event_id")
-    slot = event_id % 50
-    status = (F.when(slot < 46, "success").when(slot < 48, "failed")
-              .when(slot == 48, "pending").otherwise("refunded"))
+    status = F.expr("""CASE WHEN event_id % 50 < 46 THEN 'success' WHEN event_id % 50 < 48 THEN 'failed'
+                       WHEN event_id % 50 = 48 THEN 'pending' ELSE 'refunded' END""")
     return _dated(derive_payments(
-        _ride_rows(spark, sf_dir), F.concat(F.lit("pay_"), event_id), status, event_id % 56 + 5))
+        _ride_rows(spark, sf_dir), F.expr("concat('pay_', event_id)"), status, F.expr("event_id % 56 + 5")))
 
 
 def cancellation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event_id = F.col("event_id")
-    by = F.when(event_id % 3 == 0, "rider").when(event_id % 3 == 1, "driver").otherwise("system")
-    reason = (F.when(event_id % 5 == 0, "rider_cancelled").when(event_id % 5 == 1, "driver_cancelled")
-              .when(event_id % 5 == 2, "no_driver_available").otherwise("rider_no_show"))
+    by = F.expr("CASE event_id % 3 WHEN 0 THEN 'rider' WHEN 1 THEN 'driver' ELSE 'system' END")
+    reason = F.expr("""CASE event_id % 5 WHEN 0 THEN 'rider_cancelled' WHEN 1 THEN 'driver_cancelled'
+                       WHEN 2 THEN 'no_driver_available' ELSE 'rider_no_show' END""")
     return _dated(derive_cancellations(
-        _ride_rows(spark, sf_dir), F.concat(F.lit("cancel_"), event_id), by, reason, event_id % 271 + 30))
+        _ride_rows(spark, sf_dir), F.expr("concat('cancel_', event_id)"), by, reason, F.expr("event_id % 271 + 30")))
 
 
 READERS = {
