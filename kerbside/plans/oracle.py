@@ -87,7 +87,8 @@ CTES = {
       request_time + {SECONDS.format('event_id % 271 + 30')} AS event_timestamp
     FROM ride_events WHERE ride_status = 'cancelled') c""",
     "rides": f"""
-  SELECT *, hour(request_time) AS trip_hour, dayofweek(request_time) + 1 AS trip_day_of_week,
+  SELECT *, CAST(hour(request_time) AS INTEGER) AS trip_hour,
+    CAST(dayofweek(request_time) + 1 AS INTEGER) AS trip_day_of_week,
     surge_multiplier > 1.0 AS is_surge
   FROM ({latest('''(SELECT * FROM ride_events
     WHERE ride_id IS NOT NULL AND rider_id IS NOT NULL AND driver_id IS NOT NULL
@@ -307,7 +308,7 @@ BODIES = {
     SELECT (SELECT count(*) FROM rides WHERE ride_status = 'in_progress') AS in_progress_then,
       (SELECT count(*) FROM updated_rides WHERE ride_status = 'in_progress') AS in_progress_now) c""",
     "time_travel_ts": "SELECT ride_id, city, ride_status, fare_amount FROM rides",
-    "table_history": """SELECT 0 AS version, 'WRITE' AS operation, count(*) AS n_rows_written FROM rides
+    "table_history": """SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS n_rows_written FROM rides
     UNION ALL SELECT 1, 'MERGE', count(*) FROM rides WHERE city IN (SELECT city FROM updates)""",
     "change_feed": """SELECT t.ride_id, 'update' AS change, t.ride_status AS old_ride_status,
       t.fare_amount AS old_fare_amount, u.ride_status AS new_ride_status, u.fare_amount AS new_fare_amount

@@ -18,6 +18,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+         "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def _plain(value):
     if isinstance(value, datetime.datetime):
         return value.isoformat()
@@ -32,12 +36,14 @@ def _counted(columns, rows) -> Counter:
 
 
 def differences(df, connection, sql: str) -> str:
-    """Empty if the two results have the same columns and the same rows, floats to the last bit."""
+    """Empty if the two results have the same columns, types and rows, floats to the last bit."""
     cursor = connection.execute(sql)
     columns = [d[0] for d in cursor.description]
+    types = sorted((d[0], str(d[1])) for d in cursor.description)
     expected = _counted(columns, cursor.fetchall())
-    if sorted(columns) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} but SQL has {sorted(columns)}"
+    found_types = sorted((name, TYPES.get(kind, kind)) for name, kind in df.dtypes)
+    if types != found_types:
+        return f"columns {found_types} but SQL has {types}"
     found = _counted(df.columns, df.collect())
     if not expected:
         return "the SQL gives no rows"
