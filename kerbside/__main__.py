@@ -49,8 +49,10 @@ def stream(args: argparse.Namespace) -> None:
 
     def source(topic: str):
         if args.servers:
-            return topics.read_topic(spark, topic, args.servers)
-        return topics.read_topic_files(spark, f"{args.topic_dir}/{topic}")
+            most = {"maxOffsetsPerTrigger": str(args.max_per_batch)} if args.max_per_batch else {}
+            return topics.read_topic(spark, topic, args.servers, **most)
+        most = {"maxFilesPerTrigger": str(args.max_per_batch)} if args.max_per_batch else {}
+        return topics.read_topic_files(spark, f"{args.topic_dir}/{topic}", **most)
 
     with runs.state_partitions(spark, args.state_partitions or spark.sparkContext.defaultParallelism):
         runs.run_topics(spark, source, args.warehouse_dir, args.topics, args.runtime, delay=args.delay, once=args.once)
@@ -115,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
     command("send", send, inputs, topic_dir, servers, chosen, ("--limit", {"type": int, "default": None}))
     command("stream", stream, topic_dir, servers, chosen, warehouse, ("--runtime", {"type": int, "default": None}),
             ("--once", {"action": "store_true", "help": "stop when all records present are read"}),
+            ("--max-per-batch", {"type": int, "default": None, "help": "records (broker) or files (folder) a time"}),
             ("--delay", {"default": runs.DELAY}), ("--state-partitions", {"type": int, "default": None}))
     command("tail", tail, topic_dir, servers, chosen, ("--limit", {"type": int, "default": 3}))
     command("keyed", keyed, warehouse, ("--table", {"choices": list(TABLES), "default": None}),

@@ -23,7 +23,7 @@ from kerbside.operators.quality import check_tables, table_counts, validate_inpu
 from kerbside.plans import warehouse as wh
 from kerbside.plans.questions import QUESTIONS
 from kerbside.schemas import FEEDS, LOCATIONS, PAYMENTS, RIDES
-from kerbside.session import prepare, working_folder
+from kerbside.session import prepare, size_for, stored_bytes, working_folder
 from kerbside.sources import feeds, topics
 from kerbside.sources.files import (read_csv, read_json, scan, scan_or_empty, union_all, write_csv, write_json,
                                     write_table)
@@ -41,7 +41,8 @@ def register(name: str, build: Query) -> None:
     """Add a query. Times in its result are shown as UTC wall-clock times."""
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return local_times(build(prepare(spark), sf_dir))
+        size_for(prepare(spark), stored_bytes(spark, sf_dir))
+        return local_times(build(spark, sf_dir))
     QUERIES[name] = run
 
 

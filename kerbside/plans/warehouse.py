@@ -11,6 +11,7 @@ from kerbside.operators.changes import compare_open_rides, delete_audit, first_d
 from kerbside.operators.gold import GOLD, in_stored_order
 from kerbside.operators.layers import SILVER, to_bronze
 from kerbside.schemas import FEEDS
+from kerbside.session import size_for, stored_bytes
 from kerbside.sources.files import path_exists, read_csv, scan, write_table
 from kerbside.sources.keyed import KeyedTable
 
@@ -21,6 +22,7 @@ Counts = list[tuple[str, str, int]]
 
 def run_bronze(spark: SparkSession, input_dir: str, warehouse: str, on_error: str = "raise") -> Counts:
     """Feed files to typed tables, partitioned by event date."""
+    size_for(spark, stored_bytes(spark, input_dir))
     return [("bronze", name, write_table(to_bronze(read_csv(spark, f"{input_dir}/{name}.csv"), feed, on_error),
                                          f"{warehouse}/bronze/{name}", "event_date"))
             for name, feed in FEEDS.items()]
@@ -28,6 +30,7 @@ def run_bronze(spark: SparkSession, input_dir: str, warehouse: str, on_error: st
 
 def run_silver(spark: SparkSession, warehouse: str) -> Counts:
     """Typed tables to cleaned tables, partitioned by event date."""
+    size_for(spark, stored_bytes(spark, f"{warehouse}/bronze"))
     return [("silver", name, write_table(clean(scan(spark, f"{warehouse}/bronze/{name}")),
                                          f"{warehouse}/silver/{name}", "event_date"))
             for name, clean in SILVER.items()]
@@ -35,6 +38,7 @@ def run_silver(spark: SparkSession, warehouse: str) -> Counts:
 
 def run_gold(spark: SparkSession, warehouse: str) -> Counts:
     """Cleaned tables to report tables, each stored in its reading order."""
+    size_for(spark, stored_bytes(spark, f"{warehouse}/silver"))
     return [("gold", name, write_table(
                 in_stored_order(build(scan(spark, f"{warehouse}/silver/{feed}")), name),
                 f"{warehouse}/gold/{name}"))

@@ -15,8 +15,18 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Store what a batch changed, not whole state files, when a stream commits.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+MB = 1 << 20
+# Stored bytes behind one shuffle partition or scan task, and how many of them a job should have at most:
+# beyond that the blocks between tasks get too many and too small, so tasks get larger instead.
+PARTITION_BYTES = 128 * MB
+MOST_SHUFFLE_PARTITIONS = 40_000
+MOST_SCAN_TASKS = 200_000
+LARGEST_SCAN_TASK = 1024 * MB
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings this library relies on to an existing session."""
@@ -28,6 +38,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, 0 if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(where).getLength() if files.exists(where) else 0
+
+
+def size_for(spark: SparkSession, stored: int) -> SparkSession:
+    """Set the number of shuffle partitions and the size of scan tasks for an input of so many bytes.
+
+    Spark merges shuffle partitions that turn out small, but does not split those of an aggregate or a
+    window that turn out large, so it has to start with enough of them.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, min(MOST_SHUFFLE_PARTITIONS, -(-stored // PARTITION_BYTES)))
+    scan_bytes = max(PARTITION_BYTES, min(LARGEST_SCAN_TASK, stored // MOST_SCAN_TASKS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes))
+    return spark
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """One session setting for the duration of a block."""

@@ -35,14 +35,9 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path can be read, on any file system the session knows; no data is read."""
-    try:
-        spark.read.schema("value string").text(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether there is a file or folder, on any file system the session knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def scan(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:

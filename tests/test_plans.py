@@ -8,6 +8,7 @@ import rows
 from kerbside.operators import gold, layers, marts
 from kerbside.operators.dedup import keep_latest
 from kerbside.schemas import FEEDS
+from kerbside.session import MB, size_for, stored_bytes
 from kerbside.sources import feeds
 from kerbside.sources.files import scan, write_table
 
@@ -102,6 +103,19 @@ def test_hot_keys_give_whole_results(spark):
     assert [r["event_timestamp"].timestamp() for r in latest] == [1_700_089_999, 1_700_089_997]
 
 
+def test_tasks_are_sized_by_the_input(spark, sf_dir):
+    def sizes(stored):
+        size_for(spark, stored)
+        return (int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")),
+                int(spark.conf.get("spark.sql.files.maxPartitionBytes")) // MB)
+    try:
+        assert sizes(100_000_000 * MB) == (40_000, 500)
+        assert sizes(1_000_000 * MB) == (7_813, 128)
+    finally:
+        assert sizes(stored_bytes(spark, sf_dir)) == (8, 128)
+    assert stored_bytes(spark, f"{sf_dir}/none") == 0 < stored_bytes(spark, f"{sf_dir}/events.parquet")
+
+
 def test_feeds_have_their_contract_columns(spark, sf_dir):
     for name, feed in FEEDS.items():
         df = feeds.READERS[name](spark, sf_dir)
