@@ -26,7 +26,7 @@ def exact_sum_sql(name: str) -> str:
 
     Whole units are added as longs, which is exact in any order, and what is left of each value
     (nothing, for values of up to four decimals) is added as a double. Unlike a plain double sum the
-    result stays the same when lost tasks are run again; it costs the same, and no decimals are needed.
+    result of such values stays the same when lost tasks are run again, at a fraction of a decimal sum's cost.
     NULL if all values are NULL; NaN and infinity come through as in a plain sum.
     """
     units = f"if(abs(`{name}`) < {UNIT_RANGE}D, floor(`{name}` * {UNITS}D + 0.5D), 0L)"
