@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, packing
+from kerbside.llm import bpe, langid, minhash, packing, toxicity
 from kerbside.llm.common import table
 from kerbside.session import prepare
 
@@ -32,3 +32,22 @@ def op1_bpe(spark, sf_dir):
 @query
 def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs.filter(~langid.held_out())))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_near_duplicates(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from edges import documents
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
@@ -26,10 +27,6 @@ def digest(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def documents(spark, sf_dir):
-    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-
-
 def test_bpe_as_library(spark, sf_dir):
     from kerbside.llm.queries import QUERIES
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
