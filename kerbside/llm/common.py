@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -27,13 +30,33 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, wherever the driver imported it from."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="kerbside-"), "kerbside"), "zip",
+                                   os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(made)
+        _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """One Arrow batch in, one out, with no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 yield work(batch.slice(at, BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

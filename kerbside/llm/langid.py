@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import BATCH_ROWS, id_checksum, map_batches, texts_of
+from kerbside.llm.common import BATCH_ROWS, id_checksum, map_arrow, map_batches, texts_of
 
 PROFILE = 400
 LANGUAGES = 300
@@ -78,7 +78,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                             yield rows(lang)
         for lang in list(held):
             yield rows(lang)
-    return (docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    return (map_arrow(docs.select("lang", "text"), run, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 

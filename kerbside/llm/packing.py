@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from kerbside.llm.common import BATCH_ROWS, texts_of
+from kerbside.llm.common import BATCH_ROWS, map_arrow, texts_of
 
 LENGTH = 2048
 BLOCK = 1 << 18
@@ -186,4 +186,4 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", length: int = LE
                             yield from flush(block)
                             block = _Block(block.sequence)
         yield from flush(block)
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return map_arrow(docs.select("doc_id", "text"), run, SCHEMA)

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, langid, minhash, packing, toxicity
+from kerbside.llm import bpe, chat, counts, langid, minhash, packing, phrases, ppm, toxicity, vectors
 from kerbside.llm.common import table
 from kerbside.session import prepare
 
@@ -51,3 +52,100 @@ def op7_language(spark, sf_dir):
 @query
 def op8_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+@query
+def op3_chat(spark, sf_dir):
+    """All conversations and one more, whose texts look like marks of a template."""
+    said = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionAll(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"))
+    return chat.read_back(chat.format_conversations(rows))
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    return counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_lm_scoring(spark, sf_dir):
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_near_vectors(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return phrases.fingerprints_with_next(table(spark, sf_dir, "documents"))
+
+
+# -- SQL ---------------------------------------------------------------------------------------------
+
+# An escaped control string is longer by one character, like one with a mark behind it.
+ORACLE["op3_chat"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, length(regexp_replace(replace(role, '\', '\\'), '(<\|[A-Za-z0-9_]+\|>|</?s>|\[/?INST\]|<</?SYS>>)',
+                                  '\1#', 'g')) AS role_chars,
+    length(regexp_replace(replace(text, '\', '\\'), '(<\|[A-Za-z0-9_]+\|>|</?s>|\[/?INST\]|<</?SYS>>)',
+                          '\1#', 'g')) AS text_chars
+  FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(8 + role_chars + 8 + text_chars + 7) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+# Components by repeated minima over links; words are cut at the six ASCII white-space characters.
+ORACLE["op8_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'),
+    lambda w: w <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION SELECT r.node, l.b FROM reached r JOIN edges l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.other) AS component_id, d.doc_id = min(r.other) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reached r ON r.node = d.doc_id
+GROUP BY d.doc_id, s.n
+"""
+
+ORACLE["op9_near_vectors"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL)) = 0
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a
+  JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, min(r.other) AS component_id, e.vec_id = min(r.other) AS kept
+FROM embeddings e LEFT JOIN degrees d ON d.a = e.vec_id JOIN reached r ON r.node = e.vec_id
+GROUP BY e.vec_id, d.n
+"""
