@@ -192,8 +192,8 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
     # A null id comes after all others.
     ordered = docs.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("place"),
                           F.coalesce("text", F.lit("")).alias("text"))
-    bounds = sorted(set(ordered.approxQuantile("place", [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)))
-    splits = [-float("inf"), *bounds, float("inf")]
+    bounds = ordered.approxQuantile("place", [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)
+    splits = [-float("inf"), *(sorted(set(bounds)) or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(ordered)
     dealt = cut.select((F.lit(len(splits)) - F.col("bucket")).cast("int").alias("range"), "doc_id", "place", "text")
     # The first row of each range, at most RANGES rows, closes the range before it, the very first one the last.
