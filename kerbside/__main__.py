@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.quality import validate_inputs, validate_outputs
 from kerbside.plans import warehouse as wh
 from kerbside.plans.questions import QUESTIONS
 from kerbside.schemas import FEEDS
-from kerbside.session import build_session
+from kerbside.session import build_session, sized_for
 from kerbside.sources import topics
 from kerbside.sources.files import read_csv, scan
 from kerbside.streaming import runs
@@ -31,12 +33,18 @@ def layers(args: argparse.Namespace) -> None:
 def send(args: argparse.Namespace) -> None:
     """Feed files to topics: broker topics with --servers, else folders of records."""
     spark = build_session()
+    with sized_for(spark, args.input_dir):
+        _send(spark, args)
+
+
+def _send(spark: SparkSession, args: argparse.Namespace) -> None:
     for name in args.topics or FEEDS:
         feed = FEEDS[name]
         rows = read_csv(spark, f"{args.input_dir}/{name}.csv")
-        records = topics.topic_records(rows, feed, rows.columns)
         if args.limit:
-            records = records.limit(args.limit)
+            # The first lines of the feed, not any.
+            rows = rows.withColumn("_place", F.monotonically_increasing_id()).orderBy("_place").limit(args.limit)
+        records = topics.topic_records(rows, feed, [c for c in rows.columns if c != "_place"])
         if args.servers:
             topics.write_topic(records, args.servers)
         else:
@@ -55,7 +63,8 @@ def stream(args: argparse.Namespace) -> None:
         return topics.read_topic_files(spark, f"{args.topic_dir}/{topic}", **most)
 
     with runs.state_partitions(spark, args.state_partitions or spark.sparkContext.defaultParallelism):
-        runs.run_topics(spark, source, args.warehouse_dir, args.topics, args.runtime, delay=args.delay, once=args.once)
+        runs.run_topics(spark, source, args.warehouse_dir, args.topics, args.runtime, delay=args.delay, once=args.once,
+                        drop_repeats=args.drop_repeats)
 
 
 def tail(args: argparse.Namespace) -> None:
@@ -67,16 +76,22 @@ def tail(args: argparse.Namespace) -> None:
     else:
         found = [topics.read_topic_files_batch(spark, f"{args.topic_dir}/{t}")
                  .withColumn("topic", F.lit(t)) for t in args.topics or FEEDS]
-        order = [F.col("key"), F.col("value")]
+        order = [F.col(c) for c in topics.ARRIVAL]
     text = [df.select("topic", F.col("key").cast("string"), F.col("value").cast("string"),
-                      *[c for c in ("partition", "offset") if c in df.columns]) for df in found]
-    topics.tail(text, args.limit, order).show(args.limit * len(text), truncate=False)
-    topics.topic_counts(topics.union_all(text)).show(truncate=False)
+                      *[c for c in ("partition", "offset", "written_at") if c in df.columns]) for df in found]
+    with nullcontext() if args.servers else sized_for(spark, args.topic_dir):
+        topics.tail(text, args.limit, order).show(args.limit * len(text), truncate=False)
+        topics.topic_counts(topics.union_all(text)).show(truncate=False)
 
 
 def keyed(args: argparse.Namespace) -> None:
     """Load the keyed tables from the cleaned ones, then update, delete, compare and list versions."""
     spark = build_session()
+    with sized_for(spark, f"{args.warehouse_dir}/silver"):
+        _keyed(spark, args)
+
+
+def _keyed(spark: SparkSession, args: argparse.Namespace) -> None:
     chosen = [TABLES[args.table]] if args.table else list(FEEDS)
     tables = wh.load_keyed_tables(
         spark, {name: scan(spark, f"{args.warehouse_dir}/silver/{name}") for name in chosen}, args.warehouse_dir)
@@ -94,7 +109,8 @@ def sql(args: argparse.Namespace) -> None:
     """SQL, or a standing question by name, over the stored tables."""
     spark = build_session()
     print("views:", ", ".join(wh.register_warehouse(spark, args.warehouse_dir)))
-    wh.run_query(spark, QUESTIONS.get(args.query, args.query), args.max_rows).show(args.max_rows, truncate=False)
+    with sized_for(spark, args.warehouse_dir):
+        wh.run_query(spark, QUESTIONS.get(args.query, args.query), args.max_rows).show(args.max_rows, truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -118,6 +134,7 @@ def parser() -> argparse.ArgumentParser:
     command("stream", stream, topic_dir, servers, chosen, warehouse, ("--runtime", {"type": int, "default": None}),
             ("--once", {"action": "store_true", "help": "stop when all records present are read"}),
             ("--max-per-batch", {"type": int, "default": None, "help": "records (broker) or files (folder) a time"}),
+            ("--drop-repeats", {"action": "store_true", "help": "drop records delivered again within the delay"}),
             ("--delay", {"default": runs.DELAY}), ("--state-partitions", {"type": int, "default": None}))
     command("tail", tail, topic_dir, servers, chosen, ("--limit", {"type": int, "default": 3}))
     command("keyed", keyed, warehouse, ("--table", {"choices": list(TABLES), "default": None}),

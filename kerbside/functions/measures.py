@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # Amounts, miles, minutes and surge carry at most two decimals; four leave room.
 UNITS = 10_000.0
-# Beyond this a value no longer fits a long in units, and goes wholly into the remainder.
-UNIT_RANGE = 1e14
 
 
 def exact_sum(name: str) -> Column:
@@ -27,10 +25,11 @@ def exact_sum_sql(name: str) -> str:
     Whole units are added as longs, which is exact in any order, and what is left of each value
     (nothing, for values of up to four decimals) is added as a double. Unlike a plain double sum the
     result of such values stays the same when lost tasks are run again, at a fraction of a decimal sum's cost.
-    NULL if all values are NULL; NaN and infinity come through as in a plain sum.
+    Where the units do not fit a long, the plain double sum stands in. NULL if all values are NULL; NaN and
+    infinity come through as in a plain sum.
     """
-    units = f"if(abs(`{name}`) < {UNIT_RANGE}D, floor(`{name}` * {UNITS}D + 0.5D), 0L)"
-    return f"(sum({units}) / {UNITS}D + sum(`{name}` - {units} / {UNITS}D))"
+    units = f"coalesce(try_cast(rint(`{name}` * {UNITS}D) AS BIGINT), 0L)"
+    return f"coalesce(try_sum({units}) / {UNITS}D + sum(`{name}` - {units} / {UNITS}D), sum(`{name}`))"
 
 
 def exact_mean_sql(name: str) -> str:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.pricing import completion_fare
@@ -30,20 +29,23 @@ def open_ride_updates(rides: DataFrame, n: int = 500, finished_at: Column | None
             }))
 
 
-def merge_update(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                 source_rows: int | None = None) -> DataFrame:
-    """Target rows, with `columns` taken from the source row of the same keys where there is one.
+def unique_updates(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                   source_rows: int | None = None, how: str = "inner") -> tuple[DataFrame, Callable[[str], Column]]:
+    """Target rows joined with the source row of the same keys, and what each column of theirs becomes.
 
-    Source rows without a target row are ignored. A target row that meets several source rows fails the
-    job, because it would not be clear which one to take. `source_rows` is an upper bound on the source
-    that the caller can vouch for (the limit that made it, or a count); if it is small the source is
-    broadcast and the target is not shuffled. Without it Spark chooses the join, and cuts up partitions
-    that one key makes too large.
+    A target row that meets several source rows fails the job, because it would not be clear which one to take.
+    `source_rows` is an upper bound on the source that its maker keeps, such as a limit: up to BROADCAST_ROWS the
+    source is cut there, one row beyond failing the job, and broadcast, so that the target is not shuffled. Without it
+    Spark chooses the join by measured sizes, and cuts up partitions that one key makes too large.
     """
     one_per_key = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(f"_new_{c}") for c in columns])
     if source_rows is not None and source_rows <= BROADCAST_ROWS:
-        one_per_key = F.broadcast(one_per_key)
+        place = F.row_number().over(Window.orderBy(F.lit(1)))
+        bounded = one_per_key.limit(source_rows + 1).withColumn("_place", place)
+        too_many = F.raise_error(F.lit(f"merge: the source has more than {source_rows} keys")).cast("int")
+        one_per_key = F.broadcast(bounded.withColumn(
+            "_n", F.when(F.col("_place") > source_rows, too_many).otherwise(F.col("_n"))).drop("_place"))
     types = {f.name: f.dataType for f in target.schema.fields}
     ambiguous = F.raise_error(F.lit("merge: several source rows match one target row"))
 
@@ -54,7 +56,17 @@ def merge_update(target: DataFrame, source: DataFrame, keys: Sequence[str], colu
                 .when(F.col("_n") == 1, F.col(f"_new_{name}").cast(types[name]))
                 .otherwise(ambiguous.cast(types[name])).alias(name))
 
-    return target.join(one_per_key, list(keys), "left").select(*[updated(c) for c in target.columns])
+    return target.join(one_per_key, list(keys), how), updated
+
+
+def merge_update(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                 source_rows: int | None = None) -> DataFrame:
+    """Target rows, with `columns` taken from the source row of the same keys where there is one.
+
+    Source rows without a target row are ignored. See `unique_updates` for several of them and for `source_rows`.
+    """
+    matched, updated = unique_updates(target, source, keys, columns, source_rows, "left")
+    return matched.select(*[updated(c) for c in target.columns])
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -62,11 +74,6 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def delete_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key columns are not among `keys`."""
-    return df.join(keys, keys.columns, "left_anti")
-
-
 def first_driver(df: DataFrame) -> Column:
     """The smallest driver id of a table, as a value other queries can compare with."""
     return df.select(F.min("driver_id")).scalar()
@@ -104,14 +111,21 @@ def change_feed(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]
     before = old.select(F.col(key).alias("_old_key"), F.struct(*compared).alias("_old"))
     after = new.select(F.col(key).alias("_new_key"), F.struct(*compared).alias("_new"))
     pairs = before.join(after, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
-    change = (F.when(F.col("_old").isNull(), "insert")
-              .when(F.col("_new").isNull(), "delete")
-              .when(~F.col("_old").eqNullSafe(F.col("_new")), "update"))
+    return change_kind(pairs.select(F.coalesce("_new_key", "_old_key").alias("key"), F.col("_old").alias("old"),
+                                    F.col("_new").alias("new")), key, shown)
+
+
+def change_kind(pairs: DataFrame, key: str, shown: Sequence[str]) -> DataFrame:
+    """Changes out of (key, old, new), the row's values before and after; a row that was or is not there is NULL."""
+    change = (F.when(F.col("old").isNull() & F.col("new").isNull(), None)
+              .when(F.col("old").isNull(), "insert")
+              .when(F.col("new").isNull(), "delete")
+              .when(~F.col("old").eqNullSafe(F.col("new")), "update"))
     return pairs.withColumn("change", change).filter(F.col("change").isNotNull()).select(
-        F.coalesce("_new_key", "_old_key").alias(key),
+        F.col("key").alias(key),
         "change",
-        *[F.col(f"_old.{c}").alias(f"old_{c}") for c in shown],
-        *[F.col(f"_new.{c}").alias(f"new_{c}") for c in shown],
+        *[F.col(f"old.{c}").alias(f"old_{c}") for c in shown],
+        *[F.col(f"new.{c}").alias(f"new_{c}") for c in shown],
     )
 
 
@@ -126,7 +140,3 @@ def conform(df: DataFrame, like: DataFrame) -> DataFrame:
     if problems:
         raise SchemaMismatch("; ".join(problems))
     return df.select(*wanted)
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

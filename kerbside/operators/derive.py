@@ -6,16 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.pricing import shift_seconds
-from kerbside.schemas import CANCEL_REASONS, CANCELLED_BY
-
-
-def spread(low: int, high: int, *columns: str | Column) -> Column:
-    """A whole number in low..high that depends only on the given columns, so that re-runs agree."""
-    return F.pmod(F.xxhash64(*columns), F.lit(high - low + 1)) + low
-
-
-def _pick(values: list[str], *columns: str | Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), spread(0, len(values) - 1, *columns).cast("int"))
 
 
 def _suffix(name: str) -> Column:
@@ -23,17 +13,10 @@ def _suffix(name: str) -> Column:
     return F.regexp_replace(name, "^[^_]*_", "")
 
 
-def derive_payments(rides: DataFrame, payment_id: Column | None = None, status: Column | None = None,
-                    seconds: Column | None = None) -> DataFrame:
-    """One payment per completed ride, 5 to 60 seconds after dropoff."""
+def derive_payments(rides: DataFrame, status: Column, seconds: Column, payment_id: Column | None = None) -> DataFrame:
+    """One payment per completed ride, some seconds after dropoff; ids follow from the rides' unless given."""
     if payment_id is None:
         payment_id = F.concat(F.lit("pay_"), _suffix("ride_id"))
-    if status is None:
-        share = spread(0, 99, "ride_id", F.lit("payment_status"))
-        status = (F.when(share < 92, "success").when(share < 96, "failed")
-                  .when(share < 98, "pending").otherwise("refunded"))
-    if seconds is None:
-        seconds = spread(5, 60, "ride_id", F.lit("payment_delay"))
     return rides.filter(F.col("ride_status") == "completed").select(
         payment_id.alias("payment_id"),
         "ride_id",
@@ -45,18 +28,11 @@ def derive_payments(rides: DataFrame, payment_id: Column | None = None, status:
     )
 
 
-def derive_cancellations(rides: DataFrame, cancellation_id: Column | None = None,
-                         cancelled_by: Column | None = None, reason: Column | None = None,
-                         seconds: Column | None = None) -> DataFrame:
-    """One cancellation per cancelled ride, 30 to 300 seconds after the request."""
+def derive_cancellations(rides: DataFrame, cancelled_by: Column, reason: Column, seconds: Column,
+                         cancellation_id: Column | None = None) -> DataFrame:
+    """One cancellation per cancelled ride, some seconds after the request."""
     if cancellation_id is None:
         cancellation_id = F.concat(F.lit("cancel_"), _suffix("ride_id"))
-    if cancelled_by is None:
-        cancelled_by = _pick(CANCELLED_BY, "ride_id", F.lit("cancelled_by"))
-    if reason is None:
-        reason = _pick(CANCEL_REASONS, "ride_id", F.lit("cancel_reason"))
-    if seconds is None:
-        seconds = spread(30, 300, "ride_id", F.lit("cancel_delay"))
     return rides.filter(F.col("ride_status") == "cancelled").select(
         cancellation_id.alias("cancellation_id"),
         "ride_id",

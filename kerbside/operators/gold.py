@@ -74,6 +74,7 @@ GOLD = {
     "cancellation_analysis": (CANCELLATIONS.name, cancellation_analysis),
 }
 
+# How each table is sorted; rows alike in these follow in order of ORDER_TIES.
 GOLD_ORDER = {
     "daily_ride_metrics": ["event_date", "city"],
     "driver_utilization": ["event_date", "-completed_trips"],
@@ -83,6 +84,16 @@ GOLD_ORDER = {
 }
 
 
+ORDER_TIES = {
+    "daily_ride_metrics": ["ride_status"],
+    "driver_utilization": ["driver_id"],
+    "city_demand_heatmap": [],
+    "payment_summary": ["payment_status"],
+    "cancellation_analysis": ["cancelled_by", "reason"],
+}
+
+
 def in_stored_order(df: DataFrame, table: str) -> DataFrame:
     """Globally sorted as the table is stored; a leading minus means descending."""
-    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in GOLD_ORDER[table]])
+    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c)
+                        for c in GOLD_ORDER[table] + ORDER_TIES[table]])

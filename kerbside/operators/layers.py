@@ -44,6 +44,16 @@ def _present(*names: str) -> Column:
     return condition
 
 
+# Records of one key and time are told apart by these columns alone, so that a query which needs few columns
+# sorts and shuffles few.
+TIES = {
+    RIDES.name: ["rider_id", "driver_id", "fare_amount"],
+    LOCATIONS.name: ["driver_id", "city", "lat", "lng", "availability_status"],
+    PAYMENTS.name: ["ride_id", "payment_status", "amount"],
+    CANCELLATIONS.name: ["ride_id", "reason"],
+}
+
+
 # In every cleaner the filters run before the choice of the latest record: a newer row that breaks a
 # rule must not hide an older one that keeps it.
 
@@ -54,7 +64,7 @@ def silver_rides(bronze: DataFrame) -> DataFrame:
         & F.col("ride_status").isin(RIDE_STATUSES)
         & ((F.col("ride_status") != "completed") | (F.col("fare_amount") > 0))
         & (F.col("distance_miles").isNull() | (F.col("distance_miles") > 0)))
-    return keep_latest(valid, RIDES.key, "event_timestamp").withColumns({
+    return keep_latest(valid, RIDES.key, "event_timestamp", TIES[RIDES.name]).withColumns({
         "trip_hour": F.hour("request_time"),
         "trip_day_of_week": F.dayofweek("request_time"),
         "is_surge": F.col("surge_multiplier") > 1.0,
@@ -68,7 +78,7 @@ def silver_locations(bronze: DataFrame) -> DataFrame:
         & F.col("lat").between(-90, 90)
         & F.col("lng").between(-180, 180)
         & F.col("availability_status").isin(AVAILABILITY))
-    return keep_latest(valid, LOCATIONS.key, "event_timestamp")
+    return keep_latest(valid, LOCATIONS.key, "event_timestamp", TIES[LOCATIONS.name])
 
 
 def silver_payments(bronze: DataFrame) -> DataFrame:
@@ -76,14 +86,14 @@ def silver_payments(bronze: DataFrame) -> DataFrame:
         _present("payment_id", "ride_id")
         & (F.col("amount") > 0)
         & F.col("payment_status").isin(PAYMENT_STATUSES))
-    return keep_latest(valid, PAYMENTS.key, "event_timestamp")
+    return keep_latest(valid, PAYMENTS.key, "event_timestamp", TIES[PAYMENTS.name])
 
 
 def silver_cancellations(bronze: DataFrame) -> DataFrame:
     valid = bronze.filter(
         _present("cancellation_id", "ride_id")
         & F.col("cancelled_by").isin(CANCELLED_BY))
-    return keep_latest(valid, CANCELLATIONS.key, "event_timestamp")
+    return keep_latest(valid, CANCELLATIONS.key, "event_timestamp", TIES[CANCELLATIONS.name])
 
 
 SILVER = {

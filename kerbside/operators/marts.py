@@ -88,19 +88,17 @@ def transactions_by(summary: DataFrame, key: str) -> DataFrame:
 def histogram(df: DataFrame, name: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Rows per bin of equal width between the smallest and the largest value, which falls in the last bin.
 
-    Only bins with rows are returned. Values are counted before they are binned, so the second pass works
-    on distinct values. The bounds are a scalar subquery and need no join.
+    Only bins with rows are returned. The bounds are a scalar subquery, a pass of its own over the table, so give a
+    stored one; rows are then binned before the shuffle, which carries one row per bin and task.
     """
-    values = df.filter(F.col(name).isNotNull()).groupBy(F.col(name).cast("double").alias("value")).agg(
-        F.count(F.lit(1)).alias("n"))
+    values = df.filter(F.col(name).isNotNull()).select(F.col(name).cast("double").alias("value"))
     bounds = values.select(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
     low, high = bounds["low"], bounds["high"]
     width = (high - low) / bins
     last = F.lit(bins - 1).cast("long")
     place = F.when(F.col("value") >= high, F.when(high > low, last).otherwise(F.lit(0).cast("long"))) \
         .otherwise(F.least(last, F.floor(F.try_divide(F.col("value") - low, width))))
-    return (values.select(place.alias("bin"), "n")
-            .groupBy("bin").agg(F.sum("n").alias("n"))
+    return (values.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
             .withColumn("bin_start", low + F.col("bin") * width))
 
 

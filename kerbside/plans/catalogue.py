@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.convert import local_times, to_text
@@ -19,14 +19,14 @@ from kerbside.operators.changes import (change_feed, delete_audit, delete_where,
                                         open_ride_updates)
 from kerbside.operators.dedup import keep_first, keep_latest
 from kerbside.operators.derive import derive_cancellations, derive_payments
-from kerbside.operators.quality import check_tables, table_counts, validate_inputs
+from kerbside.operators.quality import check_tables, table_counts, validate_inputs, validate_outputs
 from kerbside.plans import warehouse as wh
 from kerbside.plans.questions import QUESTIONS
 from kerbside.schemas import FEEDS, LOCATIONS, PAYMENTS, RIDES
-from kerbside.session import prepare, size_for, stored_bytes, working_folder
+from kerbside.session import prepare, sized, stored_bytes, working_folder
 from kerbside.sources import feeds, topics
 from kerbside.sources.files import (read_csv, read_json, scan, scan_or_empty, union_all, write_csv, write_json,
-                                    write_table)
+                                    write_json_arrays, write_table)
 from kerbside.sources.keyed import KeyedTable
 from kerbside.streaming import runs, windows
 
@@ -35,14 +35,20 @@ CLOSED_AT = "2024-03-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+_STORED: dict[str, int] = {}
 
 
 def register(name: str, build: Query) -> None:
-    """Add a query. Times in its result are shown as UTC wall-clock times."""
+    """Add a query. Times in its result are shown as UTC wall-clock times.
+
+    What a query stores and reads back is written in sizes for its input; they do not outlast it.
+    """
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        size_for(prepare(spark), stored_bytes(spark, sf_dir))
-        return local_times(build(spark, sf_dir))
+        if sf_dir not in _STORED:
+            _STORED[sf_dir] = stored_bytes(spark, sf_dir)
+        with sized(prepare(spark), _STORED[sf_dir]):
+            return local_times(build(spark, sf_dir))
     QUERIES[name] = run
 
 
@@ -79,10 +85,6 @@ def records_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return topics.topic_records(feeds.READERS[name](spark, sf_dir), FEEDS[name])
 
 
-def all_records(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [records_of(spark, sf_dir, name) for name in FEEDS]
-
-
 def closed_at() -> Column:
     return F.lit(CLOSED_AT).cast("timestamp_ntz")
 
@@ -123,11 +125,18 @@ def bronze_roundtrip(spark, sf_dir):
     return scan(spark, folder)
 
 
+def _stored_places(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+    """A report as stored, with each row's place among those of its date."""
+    folder = working_folder(spark, "gold")
+    write_table(gold.in_stored_order(df, table), folder)
+    stored = spark.read.parquet(folder)
+    place = Window.partitionBy("event_date").orderBy("_metadata.file_name", "_metadata.row_index")
+    return stored.withColumn("place", F.row_number().over(place))
+
+
 @query
 def gold_roundtrip(spark, sf_dir):
-    folder = working_folder(spark, "gold")
-    write_table(gold.in_stored_order(report(spark, sf_dir, "daily_ride_metrics"), "daily_ride_metrics"), folder)
-    return scan(spark, folder)
+    return _stored_places(spark, report(spark, sf_dir, "daily_ride_metrics"), "daily_ride_metrics")
 
 
 @query
@@ -153,7 +162,7 @@ def dedup_first(spark, sf_dir):
 
 @query
 def sort_mixed(spark, sf_dir):
-    return gold.in_stored_order(report(spark, sf_dir, "cancellation_analysis"), "cancellation_analysis")
+    return _stored_places(spark, report(spark, sf_dir, "cancellation_analysis"), "cancellation_analysis")
 
 
 @query
@@ -181,6 +190,14 @@ def json_scan(spark, sf_dir):
     return read_json(spark, folder, FEEDS["cancellation_events"].text_schema())
 
 
+@query
+def json_array(spark, sf_dir):
+    """Records in files that are one array each."""
+    folder = working_folder(spark, "json-arrays")
+    write_json_arrays(to_text(feeds.cancellation_events(spark, sf_dir).drop("event_date")), folder, 500)
+    return read_json(spark, folder, FEEDS["cancellation_events"].text_schema(), array_files=True)
+
+
 @query
 def scan_or_empty_(spark, sf_dir):
     """Rows of a stored and of a missing table."""
@@ -202,7 +219,11 @@ def validate_inputs_(spark, sf_dir):
 
 @query
 def validate_outputs_(spark, sf_dir):
-    return check_tables({name: report(spark, sf_dir, name) for name in gold.GOLD})
+    """The stored report tables are there and hold rows."""
+    folder = working_folder(spark, "outputs")
+    for name in gold.GOLD:
+        write_table(report(spark, sf_dir, name), f"{folder}/gold/{name}")
+    return check_tables({name: scan(spark, f"{folder}/gold/{name}") for name in validate_outputs(spark, folder)})
 
 
 # -- topics ------------------------------------------------------------------------------------------
@@ -218,16 +239,27 @@ def parse_topic(spark, sf_dir):
     return topics.decode(records_of(spark, sf_dir, RIDES.name), RIDES).drop("event_timestamp")
 
 
+def _stored_topics(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All topics as stored, sent in order of time."""
+    folder, found = working_folder(spark, "topics"), []
+    for name in FEEDS:
+        sent = records_of(spark, sf_dir, name).orderBy(
+            F.get_json_object("value", "$.event_timestamp").asc_nulls_last(), "key", "value")
+        topics.write_topic_files(sent, f"{folder}/{name}")
+        found.append(topics.read_topic_files_batch(spark, f"{folder}/{name}").withColumn("topic", F.lit(name)))
+    return found
+
+
 @query
 def topic_tail(spark, sf_dir):
-    first = topics.tail(all_records(spark, sf_dir), 3, [F.col("key"), F.col("value")])
-    return first.select("topic", "key", F.from_json("value", "map<string,string>")["event_timestamp"]
-                        .alias("event_timestamp"))
+    """The first records of each stored topic, chosen by place before any is decoded."""
+    first = topics.tail(_stored_topics(spark, sf_dir), 3, [F.col(c) for c in topics.ARRIVAL])
+    return first.select("topic", "key", F.get_json_object("value", "$.event_timestamp").alias("event_timestamp"))
 
 
 @query
 def topic_counts(spark, sf_dir):
-    return topics.topic_counts(union_all(all_records(spark, sf_dir)))
+    return topics.topic_counts(union_all(_stored_topics(spark, sf_dir)))
 
 
 @query
@@ -301,6 +333,55 @@ def _rides_table(spark: SparkSession, sf_dir: str) -> KeyedTable:
     return table
 
 
+@query
+def table_delete(spark, sf_dir):
+    """The stored pings after those of the first driver have been deleted."""
+    table, _ = _erased_pings(spark, sf_dir)
+    return table.read().select("event_id", "driver_id", "city")
+
+
+@query
+def table_delete_audit(spark, sf_dir):
+    """Pings of the first driver in the versions before and after their deletion."""
+    return _erased_pings(spark, sf_dir)[1]
+
+
+@query
+def table_delete_history(spark, sf_dir):
+    table, _ = _erased_pings(spark, sf_dir)
+    return table.history().select("version", "operation", "n_rows_written",
+                                  F.col("operationParameters")["predicate"].alias("predicate"))
+
+
+def _erased_pings(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, DataFrame]:
+    pings = silver(spark, sf_dir, LOCATIONS.name)
+    table = wh.load_keyed_tables(spark, {LOCATIONS.name: pings}, working_folder(spark, "keyed"))[LOCATIONS.name]
+    return table, wh.erase_driver(table)
+
+
+def _changed_rides(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    """Rides as loaded, with open ones closed, and without the cancelled ones of one city."""
+    table = _rides_table(spark, sf_dir)
+    table.delete((F.col("ride_status") == "cancelled") & (F.col("city") == "Miami"), "cancelled rides of Miami")
+    return table
+
+
+@query
+def change_feed_deletes(spark, sf_dir):
+    """Updates and deletes since the load, from the stored changes alone."""
+    return _changed_rides(spark, sf_dir).changes(0, 2, columns=["ride_status", "fare_amount"])
+
+
+@query
+def change_feed_versions(spark, sf_dir):
+    """Inserts, updates and deletes over versions of which the last one loads the table anew."""
+    table = _changed_rides(spark, sf_dir)
+    more = table.read(0).filter("ride_status = 'completed' AND city = 'Boston'").withColumn(
+        "ride_id", F.concat(F.lit("new_"), "ride_id"))
+    table.overwrite(table.read().unionByName(more))
+    return table.changes(0, 3, columns=["ride_status", "fare_amount"])
+
+
 @query
 def table_current(spark, sf_dir):
     return _rides_table(spark, sf_dir).read().select("ride_id", "city", "ride_status", "fare_amount",
@@ -359,7 +440,9 @@ def table_counts_(spark, sf_dir):
 
 @query
 def table_preview(spark, sf_dir):
-    return marts.preview(silver(spark, sf_dir, PAYMENTS.name), "payment_id")
+    payments = {PAYMENTS.name: silver(spark, sf_dir, PAYMENTS.name)}
+    table = wh.load_keyed_tables(spark, payments, working_folder(spark, "keyed"))[PAYMENTS.name]
+    return marts.preview(table.read(), "payment_id")
 
 
 # -- dashboard ---------------------------------------------------------------------------------------
@@ -384,13 +467,23 @@ for _name, _table, _build in (
     ("peak_surge_hours", "city_demand_heatmap", marts.peak_surge_hours),
     ("payments_by_method", "payment_summary", lambda df: marts.transactions_by(df, "payment_method")),
     ("payments_by_status", "payment_summary", lambda df: marts.transactions_by(df, "payment_status")),
-    ("trips_histogram", "driver_utilization", lambda df: marts.histogram(df, "completed_trips")),
-    ("earnings_histogram", "driver_utilization", lambda df: marts.histogram(df, "total_earnings")),
     ("top_drivers", "driver_utilization", marts.top_drivers),
 ):
     register(_name, _mart(_table, _build))
 
 
+def _histogram(column: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = working_folder(spark, "utilization")
+        write_table(report(spark, sf_dir, "driver_utilization").select(column), folder)
+        return marts.histogram(scan(spark, folder), column)
+    return build
+
+
+register("trips_histogram", _histogram("completed_trips"))
+register("earnings_histogram", _histogram("total_earnings"))
+
+
 # -- SQL ---------------------------------------------------------------------------------------------
 
 def _register(spark: SparkSession, sf_dir: str, sql: str) -> None:
@@ -439,21 +532,23 @@ for _name, _build, _feed in (
 
 @query
 def stream_city_totals(spark, sf_dir):
-    return marts.stream_city_totals(windows.ride_windows(timed(spark, sf_dir, RIDES.name)))
+    """Rides by city out of the stored stream table."""
+    return marts.stream_city_totals(_stream(runs.STREAM_TABLES["ride_windows"])(spark, sf_dir))
 
 
 @query
 def latest_windows(spark, sf_dir):
-    """The 20 latest rows of each window table, in one list."""
+    """The 20 latest rows of each stored stream table, in one list."""
+    folder = _all_streams(spark, sf_dir)
     measures = {"ride_windows": ("city", "ride_status", "ride_count"),
                 "driver_availability": ("city", "availability_status", "driver_count"),
                 "payment_rates": ("payment_method", "payment_status", "txn_count"),
                 "cancellation_breakdown": ("cancelled_by", "reason", "cancellation_count")}
     return union_all(
-        marts.latest_windows(table.build(timed(spark, sf_dir, table.feed.name)), measures[name][:2])
+        marts.latest_windows(spark.read.parquet(f"{folder}/streaming/{name}"), measures[name][:2])
         .select(F.lit(name).alias("stream_table"), "window_start", F.col(measures[name][0]).alias("first_key"),
                 F.col(measures[name][1]).alias("second_key"), F.col(measures[name][2]).alias("n"))
-        for name, table in runs.STREAM_TABLES.items())
+        for name in runs.STREAM_TABLES)
 
 
 # -- streams -----------------------------------------------------------------------------------------
@@ -463,26 +558,25 @@ def _slots(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _stream_in_steps(spark: SparkSession, name: str, steps: list[DataFrame]) -> DataFrame:
+def _stream_in_steps(spark: SparkSession, table: runs.StreamTable, steps: list[DataFrame]) -> DataFrame:
     """Write each step's records to the topic, and run the stream over them before the next step comes."""
-    folder = working_folder(spark, f"stream-{name}")
-    table = runs.STREAM_TABLES[name]
+    folder = working_folder(spark, f"stream-{table.name}")
     for step in steps:
         topics.write_topic_files(step, f"{folder}/topic")
         with runs.state_partitions(spark, _slots(spark)):
             started = runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), table, folder, DELAY, True)
         runs.run_once(started)
-    return spark.read.parquet(f"{folder}/streaming/{name}")
+    return spark.read.parquet(f"{folder}/streaming/{table.name}")
 
 
-def _stream(name: str) -> Query:
-    feed = runs.STREAM_TABLES[name].feed.name
-    return lambda spark, sf_dir: _stream_in_steps(spark, name, [records_of(spark, sf_dir, feed)])
+def _stream(table: runs.StreamTable) -> Query:
+    return lambda spark, sf_dir: _stream_in_steps(spark, table, [records_of(spark, sf_dir, table.feed.name)])
 
 
 for _name, _table in (("stream_rides", "ride_windows"), ("stream_availability", "driver_availability"),
                       ("stream_payments", "payment_rates"), ("stream_cancellations", "cancellation_breakdown")):
-    register(_name, _stream(_table))
+    register(_name, _stream(runs.STREAM_TABLES[_table]))
+register("stream_payment_rate", _stream(runs.RATE_TABLE))
 
 
 @query
@@ -508,7 +602,7 @@ def _by_day(rides: DataFrame) -> list[DataFrame]:
 def stream_restart(spark, sf_dir):
     """A stream stopped and started twice on one checkpoint; each ride is counted once."""
     steps = _by_day(feeds.ride_events(spark, sf_dir))
-    return _stream_in_steps(spark, "ride_windows", [topics.topic_records(step, RIDES) for step in steps])
+    return _stream_in_steps(spark, runs.STREAM_TABLES["ride_windows"], [topics.topic_records(step, RIDES) for step in steps])
 
 
 @query
@@ -518,17 +612,23 @@ def stream_late(spark, sf_dir):
     watermark = shift_seconds(first.select(F.max("event_timestamp")).scalar(), F.lit(-600))
     late = (first.withColumn("closes", F.window("event_timestamp", "5 minutes")["end"])
             .filter(F.col("closes") <= watermark).drop("closes"))
-    return _stream_in_steps(spark, "ride_windows", [
+    return _stream_in_steps(spark, runs.STREAM_TABLES["ride_windows"], [
         topics.topic_records(step, RIDES) for step in (first, second, third.unionByName(late))])
 
 
-@query
-def stream_all(spark, sf_dir):
-    """All four topics run side by side; rows per stream table."""
+def _all_streams(spark: SparkSession, sf_dir: str) -> str:
+    """Run all four topics side by side, and return the folder of their tables."""
     folder = working_folder(spark, "stream-all")
     for name in FEEDS:
         topics.write_topic_files(records_of(spark, sf_dir, name), f"{folder}/topics/{name}")
     with runs.state_partitions(spark, _slots(spark)):
         runs.run_topics(spark, lambda topic: topics.read_topic_files(spark, f"{folder}/topics/{topic}"), folder,
                         delay=DELAY, monitor=False, once=True)
+    return folder
+
+
+@query
+def stream_all(spark, sf_dir):
+    """All four topics run side by side; rows per stream table."""
+    folder = _all_streams(spark, sf_dir)
     return table_counts({name: spark.read.parquet(f"{folder}/streaming/{name}") for name in runs.STREAM_TABLES})

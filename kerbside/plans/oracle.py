@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
-from kerbside.functions.pricing import SURGE_BY_HOUR
-from kerbside.plans.catalogue import CLOSED_AT
-from kerbside.schemas import FEEDS
+# Fixed values, written out here a second time so that a wrong one in the engine does not pass: the columns of the
+# feeds by type, keys, keyed tables, surge by hour of day, and the closing time of updated rides.
+TIMES = {"request_time", "pickup_time", "dropoff_time", "event_timestamp"}
+FEED_COLUMNS = {
+    "ride_events": ["ride_id", "rider_id", "driver_id", "city", "pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng",
+                    "request_time", "pickup_time", "dropoff_time", "ride_status", "fare_amount", "surge_multiplier",
+                    "distance_miles", "duration_minutes", "payment_type", "event_timestamp"],
+    "driver_location_events": ["event_id", "driver_id", "city", "lat", "lng", "availability_status", "event_timestamp"],
+    "payment_events": ["payment_id", "ride_id", "payment_status", "amount", "currency", "payment_method",
+                       "event_timestamp"],
+    "cancellation_events": ["cancellation_id", "ride_id", "cancelled_by", "reason", "event_timestamp"],
+}
+TOPIC_RIDES = ["ride_id", "rider_id", "driver_id", "city", "ride_status", "fare_amount", "surge_multiplier",
+               "distance_miles", "duration_minutes", "payment_type"]
+KEYS = {"ride_events": "ride_id", "driver_location_events": "event_id", "payment_events": "payment_id",
+        "cancellation_events": "cancellation_id"}
+TOPIC_KEYS = {"ride_events": "ride_id", "driver_location_events": "driver_id", "payment_events": "ride_id",
+              "cancellation_events": "ride_id"}
+KEYED = {"rides": "ride_events", "driver_locations": "driver_location_events", "payments": "payment_events",
+         "cancellations": "cancellation_events"}
+SURGE = [1.5, 1.8, 2.0, 1.5, 1.2, 1.0, 1.2, 1.8, 2.5, 1.5, 1.0, 1.0, 1.2, 1.0, 1.0, 1.2, 1.5, 2.0, 2.5, 2.0, 1.5, 1.5, 1.8, 2.0]
+CLOSED_AT = "2024-03-01 00:00:00"
 
 CITY = """CASE {0} % 8 WHEN 0 THEN 'New York' WHEN 1 THEN 'San Francisco' WHEN 2 THEN 'Chicago'
       WHEN 3 THEN 'Los Angeles' WHEN 4 THEN 'Miami' WHEN 5 THEN 'Seattle' WHEN 6 THEN 'Austin' ELSE 'Boston' END"""
 SECONDS = "INTERVAL '1' SECOND * ({0})"
 
 
-def total(x: str) -> str:
-    units = f"floor({x} * 10000 + 0.5)"
-    return f"(CAST(sum({units}) AS DOUBLE) / 10000 + sum({x} - {units} / 10000))"
+def total(x: str, places: int = 4) -> str:
+    """The exact sum of values of at most so many decimals."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38, {places}))) AS DOUBLE)"
 
 
 def mean(x: str) -> str:
     return f"({total(x)} / nullif(count({x}), 0))"
 
 
+def mean_of_means(x: str) -> str:
+    """Means have no last decimal, so their sum has no exact value: what exceeds four decimals is added apart."""
+    units = f"CAST({x} AS DECIMAL(38, 4))"
+    rest = f"sum({x} - CAST({units} AS DOUBLE))"
+    return f"((CAST(sum({units}) AS DOUBLE) + {rest}) / nullif(count({x}), 0))"
+
+
 def rounded(x: str, places: int) -> str:
     """Half up on the shortest decimal form of a double."""
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
@@ -166,8 +192,7 @@ CTES = {
 
 PRELUDE = "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in CTES.items())
 
-# Tables of the keyed layer, the stream tables, and the feed behind each.
-KEYED = {feed.keyed_table: name for name, feed in FEEDS.items()}
+# The stream tables, and the feed behind each.
 STREAMS = {"ride_windows": "ride_events", "driver_availability": "driver_location_events",
            "payment_rates": "payment_events", "cancellation_breakdown": "cancellation_events"}
 GOLD_TABLES = {"daily_ride_metrics": "daily_ride_metrics", "driver_utilization": "driver_utilization",
@@ -176,17 +201,16 @@ GOLD_TABLES = {"daily_ride_metrics": "daily_ride_metrics", "driver_utilization":
 
 
 def columns(feed: str) -> str:
-    return ", ".join(FEEDS[feed].columns)
+    return ", ".join(FEED_COLUMNS[feed])
 
 
-def text_of(feed: str, column: str) -> str:
-    kind = FEEDS[feed].columns[column]
-    return f"strftime({column}, '%Y-%m-%dT%H:%M:%S.%f')" if kind == "timestamp" else f"CAST({column} AS VARCHAR)"
+def text_of(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%dT%H:%M:%S.%f')" if column in TIMES else f"CAST({column} AS VARCHAR)"
 
 
 def json_of(feed: str) -> str:
     """A JSON object of text members, written out by hand."""
-    members = [f"""'"{c}":' || coalesce('"' || {text_of(feed, c)} || '"', 'null')""" for c in FEEDS[feed].columns]
+    members = [f"""'"{c}":' || coalesce('"' || {text_of(c)} || '"', 'null')""" for c in FEED_COLUMNS[feed]]
     return "'{' || " + " || ',' || ".join(members) + " || '}'"
 
 
@@ -204,7 +228,7 @@ def closed(table: str) -> str:
 
 
 def records(feed: str) -> str:
-    return f"SELECT '{feed}' AS topic, {FEEDS[feed].topic_key} AS key, {json_of(feed)} AS value, * FROM {feed}"
+    return f"SELECT '{feed}' AS topic, {TOPIC_KEYS[feed]} AS key, {json_of(feed)} AS value, * FROM {feed}"
 
 
 def histogram(column: str) -> str:
@@ -224,7 +248,7 @@ def first_latest(order: str) -> str:
       FROM events) e WHERE rn = 1"""
 
 
-SURGE_CASE = ("CASE hour(ts) " + " ".join(f"WHEN {h} THEN {s}" for h, s in enumerate(SURGE_BY_HOUR)) + " END")
+SURGE_CASE = ("CASE hour(ts) " + " ".join(f"WHEN {h} THEN {s}" for h, s in enumerate(SURGE)) + " END")
 
 RIDE_NUMBER = "CAST(regexp_extract(ride_id, '([0-9]+)', 1) AS BIGINT)"
 
@@ -235,6 +259,27 @@ LATEST = {"ride_windows": ("city", "ride_status", "ride_count"),
 
 PIVOT = ", ".join(f"max(CASE WHEN trip_hour = {h} THEN avg_surge END) AS h{h:02d}" for h in range(24))
 
+CANCELLATION_TEXT = "SELECT " + ", ".join(
+    f"{text_of(c)} AS {c}" for c in FEED_COLUMNS["cancellation_events"]) + " FROM cancellation_events"
+
+PAYMENT_RATE = """
+    SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start,
+      time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' AS window_end, payment_method,
+      count(payment_id) AS txn_count,
+      CAST(sum(CASE WHEN payment_status = 'success' THEN 1 ELSE 0 END) AS DOUBLE) / count(payment_id) AS success_rate,
+      CAST(sum(CASE WHEN payment_status = 'failed' THEN 1 ELSE 0 END) AS DOUBLE) / count(payment_id) AS failure_rate
+    FROM payment_events WHERE event_timestamp IS NOT NULL GROUP BY 1, 2, payment_method"""
+
+FIRST_DRIVER = "(SELECT min(driver_id) FROM driver_locations)"
+
+# Rides after the updates, without the cancelled ones of one city.
+CHANGED = """
+    , c AS (SELECT * FROM updated_rides WHERE NOT (ride_status = 'cancelled' AND city = 'Miami'))
+    SELECT t.ride_id, CASE WHEN c.ride_id IS NULL THEN 'delete' ELSE 'update' END AS change,
+      t.ride_status AS old_ride_status, t.fare_amount AS old_fare_amount,
+      c.ride_status AS new_ride_status, c.fare_amount AS new_fare_amount
+    FROM rides t LEFT JOIN c ON t.ride_id = c.ride_id WHERE c.ride_id IS NULL OR c.changed"""
+
 BODIES = {
     "bronze_rides": f"SELECT {columns('ride_events')}, event_date FROM ride_events",
     "bronze_locations": f"SELECT {columns('driver_location_events')}, event_date FROM driver_location_events",
@@ -250,37 +295,39 @@ BODIES = {
     "gold_payment_summary": "SELECT * FROM payment_summary",
     "gold_cancellation_analysis": "SELECT * FROM cancellation_analysis",
     "bronze_roundtrip": f"SELECT {columns('ride_events')}, event_date FROM ride_events",
-    "gold_roundtrip": "SELECT * FROM daily_ride_metrics",
+    "gold_roundtrip": """SELECT *, CAST(row_number() OVER (PARTITION BY event_date
+      ORDER BY city NULLS FIRST, ride_status NULLS FIRST) AS INTEGER) AS place FROM daily_ride_metrics""",
     "layer_counts": "SELECT * FROM (" + "\nUNION ALL ".join(
         f"SELECT '{layer}' AS layer, '{name}' AS \"table\", count(*) AS n_rows FROM {source}"
-        for layer, tables in (("bronze", {f: f for f in FEEDS}),
+        for layer, tables in (("bronze", {f: f for f in KEYS}),
                               ("silver", {f: t for t, f in KEYED.items()}), ("gold", GOLD_TABLES))
         for name, source in tables.items()) + ") c",
     "dedup_latest": first_latest("latest"),
     "dedup_first": first_latest("first"),
-    "sort_mixed": "SELECT * FROM cancellation_analysis",
+    "sort_mixed": """SELECT *, CAST(row_number() OVER (PARTITION BY event_date ORDER BY cancellation_count DESC,
+      cancelled_by NULLS FIRST, reason NULLS FIRST) AS INTEGER) AS place FROM cancellation_analysis""",
     "union_events": "\nUNION ALL ".join(
-        f"SELECT '{name}' AS feed, {feed.key} AS id, event_timestamp FROM {name}" for name, feed in FEEDS.items()),
+        f"SELECT '{name}' AS feed, {key} AS id, event_timestamp FROM {name}" for name, key in KEYS.items()),
     "csv_roundtrip": "SELECT " + ", ".join(
-        f"{text_of('payment_events', c)} AS {c}" for c in FEEDS["payment_events"].columns) + " FROM payment_events",
-    "json_scan": "SELECT " + ", ".join(
-        f"{text_of('cancellation_events', c)} AS {c}" for c in FEEDS["cancellation_events"].columns)
-        + " FROM cancellation_events",
+        f"{text_of(c)} AS {c}" for c in FEED_COLUMNS["payment_events"]) + " FROM payment_events",
+    "json_scan": CANCELLATION_TEXT,
+    "json_array": CANCELLATION_TEXT,
     "scan_or_empty": counted({"payment_events": "payment_events",
                               "missing_events": "(SELECT 1 WHERE false) e"}),
     "validate_inputs": "SELECT *, CASE WHEN n_rows > 0 THEN 'ok' ELSE 'empty' END AS status FROM ("
-                       + counted({f: f for f in FEEDS}) + ") c",
+                       + counted({f: f for f in KEYS}) + ") c",
     "validate_outputs": "SELECT *, CASE WHEN n_rows > 0 THEN 'ok' ELSE 'empty' END AS status FROM ("
                         + counted(GOLD_TABLES) + ") c",
     "topic_records": f"SELECT topic, key, value FROM ({records('ride_events')}) r",
-    "parse_topic": "SELECT " + ", ".join(FEEDS["ride_events"].topic_columns[:-1])
+    "parse_topic": "SELECT " + ", ".join(TOPIC_RIDES)
                    + ", event_timestamp AS event_ts FROM ride_events",
     "topic_tail": "SELECT topic, key, event_time AS event_timestamp FROM ("
-                  "SELECT *, row_number() OVER (PARTITION BY topic ORDER BY key, value) AS rn FROM ("
+                  "SELECT *, row_number() OVER (PARTITION BY topic ORDER BY event_time NULLS LAST, key, value) AS rn "
+                  "FROM ("
                   + "\nUNION ALL ".join(
-                      f"SELECT topic, key, value, {text_of(f, 'event_timestamp')} AS event_time FROM ({records(f)}) r"
-                      for f in FEEDS) + ") a) t WHERE rn <= 3",
-    "topic_counts": "\nUNION ALL ".join(f"SELECT '{f}' AS topic, count(*) AS n_records FROM {f}" for f in FEEDS),
+                      f"SELECT topic, key, value, {text_of('event_timestamp')} AS event_time FROM ({records(f)}) r"
+                      for f in KEYS) + ") a) t WHERE rn <= 3",
+    "topic_counts": "\nUNION ALL ".join(f"SELECT '{f}' AS topic, count(*) AS n_records FROM {f}" for f in KEYS),
     "topic_limit": f"SELECT topic, key, value FROM ({records('payment_events')}) r ORDER BY key, value LIMIT 500",
     "fare_quote": "SELECT ride_id, event_timestamp, " + rounded(
         "(2.5 + 1.25 * distance_miles + 0.25 * (distance_miles / 15 * 60)) * surge_multiplier", 2)
@@ -309,7 +356,19 @@ BODIES = {
       (SELECT count(*) FROM updated_rides WHERE ride_status = 'in_progress') AS in_progress_now) c""",
     "time_travel_ts": "SELECT ride_id, city, ride_status, fare_amount FROM rides",
     "table_history": """SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS n_rows_written FROM rides
-    UNION ALL SELECT 1, 'MERGE', count(*) FROM rides WHERE city IN (SELECT city FROM updates)""",
+    UNION ALL SELECT 1, 'MERGE', count(*) FROM updated_rides WHERE changed""",
+    "table_delete": f"""SELECT event_id, driver_id, city FROM driver_locations
+    WHERE NOT coalesce(driver_id = {FIRST_DRIVER}, FALSE)""",
+    "table_delete_audit": f"""SELECT count(*) AS n_before, CAST(0 AS BIGINT) AS n_after, count(*) AS n_deleted
+    FROM driver_locations WHERE driver_id = {FIRST_DRIVER}""",
+    "table_delete_history": f"""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS n_rows_written,
+      CAST(NULL AS VARCHAR) AS predicate FROM driver_locations
+    UNION ALL SELECT 1, 'DELETE', count(*), concat('driver_id = ''', min(driver_id), '''')
+    FROM driver_locations WHERE driver_id = {FIRST_DRIVER}""",
+    "change_feed_deletes": CHANGED,
+    "change_feed_versions": CHANGED + """
+    UNION ALL SELECT concat('new_', ride_id), 'insert', NULL, NULL, ride_status, fare_amount
+    FROM rides WHERE ride_status = 'completed' AND city = 'Boston'""",
     "change_feed": """SELECT t.ride_id, 'update' AS change, t.ride_status AS old_ride_status,
       t.fare_amount AS old_fare_amount, u.ride_status AS new_ride_status, u.fare_amount AS new_fare_amount
     FROM rides t JOIN updated_rides u ON t.ride_id = u.ride_id WHERE u.changed""",
@@ -337,14 +396,14 @@ BODIES = {
     FROM daily_ride_metrics WHERE ride_status = 'completed' AND city IS NOT NULL GROUP BY city""",
     "rides_by_status": """SELECT ride_status, CAST(sum(total_rides) AS BIGINT) AS total_rides
     FROM daily_ride_metrics GROUP BY ride_status""",
-    "avg_fare_by_city": f"""SELECT city, {mean('avg_fare')} AS avg_fare
+    "avg_fare_by_city": f"""SELECT city, {mean_of_means('avg_fare')} AS avg_fare
     FROM daily_ride_metrics WHERE ride_status = 'completed' AND city IS NOT NULL GROUP BY city""",
-    "surge_heatmap": f"SELECT city, trip_hour, {mean('avg_surge')} AS avg_surge FROM city_demand GROUP BY city, trip_hour",
+    "surge_heatmap": f"SELECT city, trip_hour, {mean_of_means('avg_surge')} AS avg_surge FROM city_demand GROUP BY city, trip_hour",
     "surge_heatmap_pivot": f"""SELECT city, {PIVOT} FROM (
-      SELECT city, trip_hour, {mean('avg_surge')} AS avg_surge FROM city_demand GROUP BY city, trip_hour) p
+      SELECT city, trip_hour, {mean_of_means('avg_surge')} AS avg_surge FROM city_demand GROUP BY city, trip_hour) p
     GROUP BY city""",
     "peak_surge_hours": f"""SELECT *, avg_surge > 1.5 AS is_high FROM (
-      SELECT trip_hour, {mean('avg_surge')} AS avg_surge FROM city_demand GROUP BY trip_hour) h""",
+      SELECT trip_hour, {mean_of_means('avg_surge')} AS avg_surge FROM city_demand GROUP BY trip_hour) h""",
     "payments_by_method": """SELECT payment_method, CAST(sum(transaction_count) AS BIGINT) AS transaction_count
     FROM payment_summary WHERE payment_method IS NOT NULL GROUP BY payment_method""",
     "payments_by_status": """SELECT payment_status, CAST(sum(transaction_count) AS BIGINT) AS transaction_count
@@ -380,18 +439,14 @@ BODIES = {
     "window_payments": "SELECT * FROM payment_rates",
     "window_cancellations": "SELECT * FROM cancellation_breakdown",
     "window_monitor": "SELECT * FROM ride_monitor",
-    "payment_rate": """
-    SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start,
-      time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' AS window_end, payment_method,
-      count(payment_id) AS txn_count,
-      CAST(sum(CASE WHEN payment_status = 'success' THEN 1 ELSE 0 END) AS DOUBLE) / count(payment_id) AS success_rate,
-      CAST(sum(CASE WHEN payment_status = 'failed' THEN 1 ELSE 0 END) AS DOUBLE) / count(payment_id) AS failure_rate
-    FROM payment_events WHERE event_timestamp IS NOT NULL GROUP BY 1, 2, payment_method""",
-    "stream_city_totals": """SELECT city, CAST(sum(ride_count) AS BIGINT) AS ride_count FROM ride_windows
-    WHERE city IS NOT NULL GROUP BY city""",
+    "payment_rate": PAYMENT_RATE,
+    "stream_payment_rate": f"""SELECT * FROM ({PAYMENT_RATE}) r WHERE window_end <=
+      (SELECT max(event_timestamp) FROM payment_events) - INTERVAL '10 minutes'""",
+    "stream_city_totals": f"""SELECT city, CAST(sum(ride_count) AS BIGINT) AS ride_count
+    FROM ({closed('ride_windows')}) w WHERE city IS NOT NULL GROUP BY city""",
     "latest_windows": "\nUNION ALL ".join(
         f"SELECT * FROM (SELECT '{t}' AS stream_table, window_start, {a} AS first_key, {b} AS second_key, {n} AS n "
-        f"FROM {t} ORDER BY window_start DESC, {a}, {b} LIMIT 20) l{i}" for i, (t, (a, b, n)) in enumerate(LATEST.items())),
+        f"FROM ({closed(t)}) w ORDER BY window_start DESC, {a}, {b} LIMIT 20) l{i}" for i, (t, (a, b, n)) in enumerate(LATEST.items())),
     "stream_rides": closed("ride_windows"),
     "stream_availability": closed("driver_availability"),
     "stream_payments": closed("payment_rates"),

@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators.changes import compare_open_rides, delete_audit, first_driver, open_ride_updates
+from kerbside.operators.changes import compare_open_rides, delete_audit, open_ride_updates
 from kerbside.operators.gold import GOLD, in_stored_order
 from kerbside.operators.layers import SILVER, to_bronze
 from kerbside.schemas import FEEDS
-from kerbside.session import size_for, stored_bytes
+from kerbside.session import sized_for
 from kerbside.sources.files import path_exists, read_csv, scan, write_table
 from kerbside.sources.keyed import KeyedTable
 
@@ -22,27 +22,27 @@ Counts = list[tuple[str, str, int]]
 
 def run_bronze(spark: SparkSession, input_dir: str, warehouse: str, on_error: str = "raise") -> Counts:
     """Feed files to typed tables, partitioned by event date."""
-    size_for(spark, stored_bytes(spark, input_dir))
-    return [("bronze", name, write_table(to_bronze(read_csv(spark, f"{input_dir}/{name}.csv"), feed, on_error),
-                                         f"{warehouse}/bronze/{name}", "event_date"))
-            for name, feed in FEEDS.items()]
+    with sized_for(spark, input_dir):
+        return [("bronze", name, write_table(to_bronze(read_csv(spark, f"{input_dir}/{name}.csv"), feed, on_error),
+                                             f"{warehouse}/bronze/{name}", "event_date"))
+                for name, feed in FEEDS.items()]
 
 
 def run_silver(spark: SparkSession, warehouse: str) -> Counts:
     """Typed tables to cleaned tables, partitioned by event date."""
-    size_for(spark, stored_bytes(spark, f"{warehouse}/bronze"))
-    return [("silver", name, write_table(clean(scan(spark, f"{warehouse}/bronze/{name}")),
-                                         f"{warehouse}/silver/{name}", "event_date"))
-            for name, clean in SILVER.items()]
+    with sized_for(spark, f"{warehouse}/bronze"):
+        return [("silver", name, write_table(clean(scan(spark, f"{warehouse}/bronze/{name}")),
+                                             f"{warehouse}/silver/{name}", "event_date"))
+                for name, clean in SILVER.items()]
 
 
 def run_gold(spark: SparkSession, warehouse: str) -> Counts:
     """Cleaned tables to report tables, each stored in its reading order."""
-    size_for(spark, stored_bytes(spark, f"{warehouse}/silver"))
-    return [("gold", name, write_table(
-                in_stored_order(build(scan(spark, f"{warehouse}/silver/{feed}")), name),
-                f"{warehouse}/gold/{name}"))
-            for name, (feed, build) in GOLD.items()]
+    with sized_for(spark, f"{warehouse}/silver"):
+        return [("gold", name, write_table(
+                    in_stored_order(build(scan(spark, f"{warehouse}/silver/{feed}")), name),
+                    f"{warehouse}/gold/{name}"))
+                for name, (feed, build) in GOLD.items()]
 
 
 def run_layers(spark: SparkSession, input_dir: str, warehouse: str, layer: str = "all",
@@ -82,10 +82,12 @@ def close_open_rides(rides: KeyedTable, n: int = 500, finished_at: Column | None
 
 
 def erase_driver(locations: KeyedTable, driver_id: str | None = None) -> DataFrame:
-    """Delete all pings of one driver, by default the first, and report the counts before and after."""
+    """Delete all pings of one driver, by default the first, and report the counts in the versions before and after."""
     before = locations.read()
-    condition = F.col("driver_id") == (first_driver(before) if driver_id is None else F.lit(driver_id))
-    locations.delete(condition, f"driver_id = {driver_id or 'first driver'}")
+    if driver_id is None:
+        driver_id = before.agg(F.min("driver_id")).first()[0]
+    condition = F.col("driver_id") == F.lit(driver_id)
+    locations.delete(condition, f"driver_id = '{driver_id}'")
     return delete_audit(before, locations.read(), condition)
 
 
@@ -96,7 +98,7 @@ def open_rides_since(rides: KeyedTable, version: int = 0) -> DataFrame:
 
 # -- views -------------------------------------------------------------------------------------------
 
-# view -> report table behind it
+# View -> report table behind it
 GOLD_VIEWS = {
     "daily_ride_metrics": "daily_ride_metrics",
     "city_demand": "city_demand_heatmap",

@@ -83,7 +83,7 @@ def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.expr("""CASE WHEN event_id % 50 < 46 THEN 'success' WHEN event_id % 50 < 48 THEN 'failed'
                        WHEN event_id % 50 = 48 THEN 'pending' ELSE 'refunded' END""")
     return _dated(derive_payments(
-        _ride_rows(spark, sf_dir), F.expr("concat('pay_', event_id)"), status, F.expr("event_id % 56 + 5")))
+        _ride_rows(spark, sf_dir), status, F.expr("event_id % 56 + 5"), F.expr("concat('pay_', event_id)")))
 
 
 def cancellation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def cancellation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     reason = F.expr("""CASE event_id % 5 WHEN 0 THEN 'rider_cancelled' WHEN 1 THEN 'driver_cancelled'
                        WHEN 2 THEN 'no_driver_available' ELSE 'rider_no_show' END""")
     return _dated(derive_cancellations(
-        _ride_rows(spark, sf_dir), F.expr("concat('cancel_', event_id)"), by, reason, F.expr("event_id % 271 + 30")))
+        _ride_rows(spark, sf_dir), by, reason, F.expr("event_id % 271 + 30"), F.expr("concat('cancel_', event_id)")))
 
 
 READERS = {
@@ -100,7 +100,3 @@ READERS = {
     "payment_events": payment_events,
     "cancellation_events": cancellation_events,
 }
-
-
-def all_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: read(spark, sf_dir) for name, read in READERS.items()}

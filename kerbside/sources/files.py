@@ -34,10 +34,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, rows: int = 10_000) -> None:
+    """Records as files that each hold one array of up to `rows` of them."""
+    chunk = F.struct(F.spark_partition_id(), F.floor(F.monotonically_increasing_id() % (1 << 33) / rows))
+    arrays = (df.select(F.struct(*df.columns).alias("record"), chunk.alias("chunk"))
+              .groupBy("chunk").agg(F.collect_list("record").alias("records")))
+    (arrays.select(F.to_json("records", {"ignoreNullFields": "false"}))
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, on any file system the session knows."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def scan(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:

@@ -1,9 +1,14 @@
-"""Keyed tables with versions, kept as ordinary partitioned Parquet folders.
+"""Keyed tables with versions, kept as ordinary Parquet folders.
 
-A change rewrites only the partitions it touches, below `data/table_version=<version>/`, and then adds one row to
-the history table, which names those partitions. A version exists once its history row does: a job that
-dies half way leaves files that no reader looks at and that the next change with that number replaces.
-One writer at a time.
+A load writes all rows, by partition, below `data/version=<version>/`. An update or delete writes only the rows that it
+changes, each with its old and its new values, below `changes/version=<version>/`, so its cost is that of the change
+and not of the table. Reading lays the newest change of each key over the last load; the change feed between two
+versions without a load in between reads the changes alone. `overwrite(read())` folds them into a new load.
+
+A version exists once its row is in the history table: a job that dies half way leaves files that no reader looks at
+and that the next change with that number replaces. One writer at a time.
+
+Partition values must not be empty strings, which folders cannot tell from NULL; writing one fails the job.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbside.operators.changes import any_of, change_feed, conform, delete_where, merge_update
+from kerbside.operators.changes import change_feed, change_kind, conform, unique_updates
 from kerbside.sources.files import scan_or_empty, write_table
 
 HISTORY = T.StructType([
@@ -25,9 +30,8 @@ HISTORY = T.StructType([
     T.StructField("operation", T.StringType()),
     T.StructField("operationParameters", T.MapType(T.StringType(), T.StringType())),
     T.StructField("n_rows_written", T.LongType()),
-    T.StructField("replaces_all", T.BooleanType()),
-    T.StructField("partitions", T.ArrayType(T.StringType())),
-    T.StructField("schema", T.StringType()),
+    T.StructField("is_load", T.BooleanType()),
+    T.StructField("schema", T.StringType()),    # of a load
 ])
 
 
@@ -42,7 +46,7 @@ class KeyedTable:
 
     def history(self, n: int | None = None) -> DataFrame:
         """Versions, latest first: number, commit time, operation and its parameters."""
-        rows = self._history().orderBy(F.col("version").desc())
+        rows = self._history().drop("schema").orderBy(F.col("version").desc())
         return rows if n is None else rows.limit(n)
 
     def exists(self) -> bool:
@@ -57,21 +61,35 @@ class KeyedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version, by default the newest."""
-        return self._read(self._entries(version))
+        state = self._state(version)
+        rows = self._load(state)
+        if state["version"] == state["load"]:
+            return rows
+        newest = self._newest(state["load"], state["version"])
+        changed = newest.select(F.col("key").alias("_changed"))
+        kept = rows.join(changed, F.col(self.key).eqNullSafe(F.col("_changed")), "left_anti")
+        return kept.unionByName(newest.filter(F.col("new").isNotNull()).select("new.*").select(*rows.columns))
 
     def read_as_of(self, time: datetime) -> DataFrame:
         return self.read(self.version_at(time))
 
     def changes(self, since: int, until: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-        """Rows inserted, updated or deleted between two versions; reads only partitions rewritten since."""
-        entries = self._entries(until)
-        old = self._read([e for e in entries if e["version"] <= since])
-        new = self._read(entries)
-        later = [e for e in entries if e["version"] > since]
-        if not any(e["replaces_all"] for e in later):
-            touched = self._in_partitions(list({p for e in later for p in e["partitions"]}))
-            old, new = old.filter(touched), new.filter(touched)
-        return change_feed(old, new, self.key, columns)
+        """Rows inserted, updated or deleted between two versions: the net change of each key.
+
+        Reads only what the versions in between have written, unless one of them loads the table anew; then the
+        two versions are compared.
+        """
+        old, new = self._state(since), self._state(until)
+        if old["load"] != new["load"]:
+            return change_feed(self.read(since), self.read(until), self.key, columns)
+        schema = self._schema(new["load"])
+        compared = [c for c in schema.names if c != self.key]
+        if old["version"] == new["version"]:
+            return change_feed(self.read(since).limit(0), self.read(since).limit(0), self.key, columns)
+        net = self._newest(old["version"], new["version"])
+        net = net.select("key", *[F.when(F.col(c).isNotNull(), F.struct(*[f"{c}.{name}" for name in compared])).alias(c)
+                                  for c in ("old", "new")])
+        return change_kind(net, self.key, list(columns) if columns is not None else compared)
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -81,91 +99,87 @@ class KeyedTable:
         A reload must have the columns and types of the table, in any order; else SchemaMismatch is raised
         and the table stays as it is.
         """
-        entries = self._history_rows()
-        if entries:
-            df = conform(df, self._read(entries))
-        return self._commit(entries, df, "WRITE", {"mode": "Overwrite", "partitionBy": self.partition}, None)
+        newest = self._history().agg(F.max("version")).first()[0]
+        if newest is not None:
+            df = conform(df, self.read())
+        version = 0 if newest is None else newest + 1
+        # Folder columns come back last, so the table's column order is fixed that way from the start.
+        rows = df.select(*[c for c in df.columns if c != self.partition], self._partition_value(df))
+        n = write_table(rows, f"{self.path}/data/version={version}", self.partition)
+        return self._commit(version, "WRITE", {"mode": "Overwrite", "partitionBy": self.partition}, n,
+                            rows.schema.json())
 
     def merge(self, source: DataFrame, keys: Sequence[str], columns: Sequence[str],
               source_rows: int | None = None) -> int | None:
-        """Update `columns` of matching rows. Returns the new version, or None if nothing can match."""
-        entries = self._entries()
-        current = self._read(entries)
-        if self.partition in keys:
-            touched = self._partition_values(source.filter(F.col(self.partition).isNotNull()))
-        else:
-            touched = self._partition_values(current.join(source.select(*keys), list(keys), "left_semi"))
-        if not touched:
-            return None
-        rows = merge_update(current.filter(self._in_partitions(touched)), source, keys, columns, source_rows)
-        return self._commit(entries, rows, "MERGE", {"predicate": json.dumps(list(keys))}, touched)
+        """Update `columns` of matching rows. Returns the new version, or None if nothing matches.
+
+        Source rows without a target row are ignored; a target row that meets several source rows fails the job.
+        """
+        state = self._state()
+        current = self.read()
+        matched, updated = unique_updates(current, source, keys, columns, source_rows)
+        new = F.struct(*[updated(c) for c in current.columns])
+        rows = matched.select(F.struct(*current.columns).alias("old"), new.alias("new"))
+        return self._change(state, rows, "MERGE", {"predicate": json.dumps(list(keys))})
 
     def delete(self, condition: Column, description: str = "") -> int | None:
         """Delete the rows for which the condition is true. Returns the new version, or None if there are none."""
-        entries = self._entries()
-        current = self._read(entries)
-        touched = self._partition_values(current.filter(condition))
-        if not touched:
-            return None
-        rows = delete_where(current.filter(self._in_partitions(touched)), condition)
-        return self._commit(entries, rows, "DELETE", {"predicate": description}, touched)
+        state = self._state()
+        gone = self.read().filter(condition)
+        row = F.struct(*gone.columns)
+        rows = gone.select(row.alias("old"), F.when(F.lit(False), row).alias("new"))
+        return self._change(state, rows, "DELETE", {"predicate": description})
 
     # -- internals -------------------------------------------------------------------------------
 
     def _history(self) -> DataFrame:
         return scan_or_empty(self.spark, f"{self.path}/history", HISTORY)
 
-    def _history_rows(self) -> list[Row]:
-        """All versions, oldest first; one small row each."""
-        return sorted(self._history().collect(), key=lambda e: e["version"])
-
-    def _entries(self, version: int | None = None) -> list[Row]:
-        """The versions up to the given one, by default the newest."""
-        entries = self._history_rows()
-        if version is None and entries:
-            return entries
-        if version not in [e["version"] for e in entries]:
+    def _state(self, version: int | None = None) -> Row:
+        """A version, by default the newest, and the load it rests on: one row, worked out by Spark."""
+        rows = self._history()
+        if version is not None:
+            rows = rows.filter(F.col("version") <= version)
+        state = rows.agg(F.max("version").alias("version"),
+                         F.max(F.when(F.col("is_load"), F.col("version"))).alias("load")).first()
+        if state["version"] is None or version is not None and state["version"] != version:
             raise ValueError(f"{self.path} has no version" + ("" if version is None else f" {version}"))
-        return [e for e in entries if e["version"] <= version]
-
-    def _read(self, entries: list[Row]) -> DataFrame:
-        """The table after the given versions.
-
-        Only the folders of versions that still own a partition are listed; the filter on the two folder
-        columns then leaves out their replaced partitions.
-        """
-        start = max(i for i, e in enumerate(entries) if e["replaces_all"])
-        base = entries[start]["version"]
-        owners = {p: e["version"] for e in entries[start + 1:] for p in e["partitions"]}
-        schema = T.StructType.fromJson(json.loads(entries[-1]["schema"]))
-        stored = T.StructType([*schema.fields, T.StructField("table_version", T.LongType())])
-        paths = [f"{self.path}/data/table_version={v}" for v in sorted({base, *owners.values()})]
-        data = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*paths)
-        if owners:
-            version = F.col("table_version")
-            moved = [(version == v) & self._in_partitions([p for p, owner in owners.items() if owner == v])
-                     for v in sorted(set(owners.values()))]
-            data = data.filter(any_of(moved) | ((version == base) & ~self._in_partitions(list(owners))))
-        return data.select(*schema.names)
-
-    def _in_partitions(self, values: list[str | None]) -> Column:
-        value = F.col(self.partition).cast("string")
-        known = [v for v in values if v is not None]
-        inside = F.coalesce(value.isin(known), F.lit(False)) if known else F.lit(False)
-        return inside | value.isNull() if None in values else inside
-
-    def _partition_values(self, df: DataFrame) -> list[str | None]:
-        """Distinct partition values, which are folder names and as few as those."""
-        return [r[0] for r in df.select(F.col(self.partition).cast("string")).distinct().collect()]
-
-    def _commit(self, entries: list[Row], rows: DataFrame, operation: str, parameters: dict,
-                partitions: list[str | None] | None) -> int:
-        version = entries[-1]["version"] + 1 if entries else 0
-        # Folder columns come back last, so the table's column order is fixed that way from the start.
-        rows = rows.select(*[c for c in rows.columns if c != self.partition], self.partition)
-        n = write_table(rows, f"{self.path}/data/table_version={version}", self.partition)
-        entry = (version, datetime.now(timezone.utc), operation, parameters, n, partitions is None,
-                 partitions or [], rows.schema.json())
+        return state
+
+    def _schema(self, load: int) -> T.StructType:
+        return T.StructType.fromJson(json.loads(
+            self._history().filter(F.col("version") == load).select("schema").first()[0]))
+
+    def _load(self, state: Row) -> DataFrame:
+        schema = self._schema(state["load"])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/data/version={state['load']}")
+
+    def _newest(self, after: int, until: int) -> DataFrame:
+        """(key, old, new) of each key changed in these versions: as it was before them, and after."""
+        numbers = [r[0] for r in self._history().filter((F.col("version") > after) & (F.col("version") <= until)
+                                                        ).select("version").collect()]
+        paths = [f"{self.path}/changes/version={n}" for n in sorted(numbers)]
+        rows = self.spark.read.option("basePath", f"{self.path}/changes").parquet(*paths)
+        # A deleted row has no new values; min_by and max_by would not skip the NULL if it were not in a struct.
+        found = rows.groupBy(F.col(f"old.{self.key}").alias("key")).agg(
+            F.min_by(F.struct("old"), "version")["old"].alias("old"),
+            F.max_by(F.struct("new"), "version")["new"].alias("new"))
+        return found
+
+    def _partition_value(self, df: DataFrame) -> Column:
+        value = F.col(self.partition)
+        if df.schema[self.partition].dataType != T.StringType():
+            return value
+        empty = F.raise_error(F.lit(f"{self.partition} is an empty string"))
+        return F.when(value == "", empty.cast("string")).otherwise(value).alias(self.partition)
+
+    def _change(self, state: Row, rows: DataFrame, operation: str, parameters: dict) -> int | None:
+        version = state["version"] + 1
+        n = write_table(rows, f"{self.path}/changes/version={version}")
+        return self._commit(version, operation, parameters, n, None) if n else None
+
+    def _commit(self, version: int, operation: str, parameters: dict, n: int, schema: str | None) -> int:
+        entry = (version, datetime.now(timezone.utc), operation, parameters, n, schema is not None, schema)
         (self.spark.createDataFrame([entry], HISTORY).coalesce(1)
          .write.mode("append").parquet(f"{self.path}/history"))
         return version

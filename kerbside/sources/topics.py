@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from kerbside.functions.convert import blank_to_null, to_text
 from kerbside.schemas import Feed
 from kerbside.sources.files import union_all
 
 RECORD_SCHEMA = "key string, value string"
+STORED_SCHEMA = "key string, value string, offset long, written_at timestamp"
+ARRIVAL = ("written_at", "offset")
 
 
 def topic_options(topic: str, servers: str) -> dict[str, str]:
@@ -40,8 +42,8 @@ def read_topic_files(spark: SparkSession, folder: str, **options: str) -> DataFr
 
 
 def read_topic_files_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """All records a folder holds now."""
-    return spark.read.schema(RECORD_SCHEMA).parquet(folder)
+    """All records a folder holds now, with the time of the write that brought them and their place in it."""
+    return spark.read.schema(STORED_SCHEMA).parquet(folder)
 
 
 def topic_records(df: DataFrame, feed: Feed, columns: Sequence[str] | None = None) -> DataFrame:
@@ -57,7 +59,10 @@ def topic_records(df: DataFrame, feed: Feed, columns: Sequence[str] | None = Non
 
 
 def write_topic_files(records: DataFrame, folder: str, mode: str = "append") -> None:
-    records.select("key", "value").write.mode(mode).parquet(folder)
+    """Add records to a folder. `offset` grows in the order of the records; those of one write share `written_at`."""
+    (records.select("key", "value", F.monotonically_increasing_id().alias("offset"),
+                    F.lit(datetime.now(timezone.utc)).alias("written_at"))
+     .write.mode(mode).parquet(folder))
 
 
 def write_topic(records: DataFrame, servers: str) -> None:
@@ -65,11 +70,6 @@ def write_topic(records: DataFrame, servers: str) -> None:
     records.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
-def stream_to_topic(records: DataFrame, servers: str, checkpoint: str) -> DataStreamWriter:
-    return (records.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("checkpointLocation", checkpoint))
-
-
 def first_records(records: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """The first n records of one topic."""
     return records.orderBy(*order).limit(n)

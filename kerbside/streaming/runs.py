@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from kerbside.schemas import CANCELLATIONS, FEEDS, LOCATIONS, PAYMENTS, RIDES, Feed
-from kerbside.session import setting
+from kerbside.session import setting, working_folder
 from kerbside.sources.topics import decode
-from kerbside.streaming.windows import (availability_windows, cancellation_windows, payment_windows, ride_monitor,
-                                        ride_windows)
+from kerbside.streaming.windows import (availability_windows, cancellation_windows, payment_rates, payment_windows,
+                                        ride_monitor, ride_windows)
 
 # How long a window stays open for late records, and how often a stream looks for new ones.
 DELAY = "90 days"
 INTERVAL = "30 seconds"
+SHOWN = 30
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,9 @@ class StreamTable:
     build: Callable[[DataFrame], DataFrame]
 
 
+# Shares by method, for those who ask for them; a second table of the payments topic.
+RATE_TABLE = StreamTable("payment_success", PAYMENTS, payment_rates)
+
 STREAM_TABLES = {t.name: t for t in (
     StreamTable("ride_windows", RIDES, ride_windows),
     StreamTable("driver_availability", LOCATIONS, availability_windows),
@@ -66,27 +70,38 @@ def start_table(records: DataFrame, table: StreamTable, warehouse: str, delay: s
 
 def start_monitor(records: DataFrame, delay: str = DELAY, once: bool = False, folder: str | None = None,
                   checkpoint: str | None = None) -> StreamingQuery:
-    """Show the ride monitor on the console, or store each of its results below `folder`.
+    """Show the latest minutes of the ride monitor, or store each of its results below `folder`.
 
-    The whole result is worked out anew each time (complete mode). It is written by the tasks; the driver
-    sees no more of it than the 30 rows it prints.
+    The whole result is worked out anew each time (complete mode), by the tasks. Only the SHOWN rows that are printed
+    come to the driver. Of stored results the last two stay: each goes to one of two folders in turn, and a
+    reader looks at the one whose number was noted last, which the next result does not touch.
     """
+    spark = records.sparkSession
+
+    def show(result: DataFrame, batch: int) -> None:
+        latest_minutes(result).show(SHOWN, truncate=False)
+
+    def store(result: DataFrame, batch: int) -> None:
+        result.write.mode("overwrite").parquet(f"{folder}/result-{batch % 2}")
+        spark.createDataFrame([(batch,)], "batch long").coalesce(1).write.mode("overwrite").parquet(
+            f"{folder}/finished/slot={batch % 2}")
+
     writer = ride_monitor(decode_stream(records, RIDES, delay)).writeStream.outputMode("complete")
-    if folder:
-        def store(result: DataFrame, batch: int) -> None:
-            result.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
-        writer = writer.foreachBatch(store)
-    else:
-        writer = writer.format("console").option("truncate", "false").option("numRows", "30")
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(store if folder else show)
+    # State goes to the shared folder like that of every other stream.
+    writer = writer.option("checkpointLocation", checkpoint or working_folder(spark, "monitor"))
     return writer.trigger(**_trigger(once)).start()
 
 
+def latest_minutes(result: DataFrame) -> DataFrame:
+    """The newest SHOWN rows of a monitor result; each task keeps as many, so no more than these are collected."""
+    return result.orderBy(F.col("minute").desc(), "city").limit(SHOWN)
+
+
 def latest_monitor(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest stored result of the ride monitor."""
-    results = spark.read.parquet(folder)
-    return results.filter(F.col("batch") == results.select(F.max("batch")).scalar()).drop("batch")
+    """The newest stored result of the ride monitor that is finished."""
+    batch = spark.read.parquet(f"{folder}/finished").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{folder}/result-{batch % 2}")
 
 
 def run_once(query: StreamingQuery) -> None:
@@ -96,13 +111,13 @@ def run_once(query: StreamingQuery) -> None:
 
 def start_topics(spark: SparkSession, source: Callable[[str], DataFrame], warehouse: str,
                  topics: Iterable[str] | None = None, delay: str = DELAY, monitor: bool = True,
-                 once: bool = False) -> list[StreamingQuery]:
+                 once: bool = False, drop_repeats: bool = False) -> list[StreamingQuery]:
     """Start the tables (and the monitor) of the chosen topics; `source` gives a topic's records."""
     queries = []
     for topic in topics or FEEDS:
         for table in STREAM_TABLES.values():
             if table.feed.name == topic:
-                queries.append(start_table(source(topic), table, warehouse, delay, once))
+                queries.append(start_table(source(topic), table, warehouse, delay, once, drop_repeats))
         if monitor and topic == RIDES.name:
             queries.append(start_monitor(source(topic), delay, once))
     return queries

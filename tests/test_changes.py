@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import rows
 from kerbside.operators import layers
-from kerbside.operators.changes import (SchemaMismatch, change_feed, conform, delete_keys, delete_where, merge_update,
+from kerbside.operators.changes import (SchemaMismatch, change_feed, conform, delete_where, merge_update,
                                         open_ride_updates)
 from kerbside.plans import warehouse as wh
 from kerbside.sources.files import path_exists
@@ -58,9 +58,11 @@ def test_delete_keeps_rows_where_the_condition_is_null(spark, target):
     assert {r["id"] for r in delete_where(target, F.col("fare") < 2).collect()} == {"b", "c"}
 
 
-def test_delete_keys(spark, target):
-    keys = spark.createDataFrame([("a",), ("q",)], "id string")
-    assert {r["id"] for r in delete_keys(target, keys).collect()} == {"b", "c"}
+def test_more_source_rows_than_vouched_for_fail(spark, target):
+    many = source(spark, ("a", "Miami", 1.0), ("b", "Miami", 2.0), ("z", "Miami", 2.0))
+    assert merge_update(target, many, ["id", "city"], ["fare"], 3).count() == 3
+    with pytest.raises(Exception, match="more than 2 keys"):
+        merge_update(target, many, ["id", "city"], ["fare"], 2).collect()
 
 
 def test_change_feed_applied_to_the_old_version_gives_the_new_one(spark):
@@ -107,18 +109,49 @@ def test_versions(spark, folder):
     assert content(table.read(1)) == {k: v for k, v in loaded.items() if k != "a"}
     history = table.history().collect()
     assert [(r["version"], r["operation"]) for r in history] == [(3, "DELETE"), (2, "MERGE"), (1, "DELETE"), (0, "WRITE")]
-    assert [r["partitions"] for r in history] == [[None], ["Boston"], ["Miami"], []]
+    assert [r["n_rows_written"] for r in history] == [1, 1, 1, 4]
+    assert history[2]["operationParameters"] == {"predicate": "id = a"}
     assert content(table.read_as_of(history[2]["timestamp"])) == content(table.read(1))
     changes = {r["id"]: r["change"] for r in table.changes(0).collect()}
     assert changes == {"a": "delete", "c": "update", "d": "delete"}
     assert {r["id"]: r["change"] for r in table.changes(1, 2).collect()} == {"c": "update"}
 
 
-def test_a_change_rewrites_only_its_partitions(spark, folder):
+def test_a_change_writes_only_the_rows_it_changes(spark, folder):
     table = table_of(spark, folder)
     table.delete(F.col("id") == "a")
-    assert path_exists(spark, f"{folder}/data/table_version=1/city=Miami")
-    assert not path_exists(spark, f"{folder}/data/table_version=1/city=Boston")
+    assert not path_exists(spark, f"{folder}/data/version=1")
+    assert spark.read.parquet(f"{folder}/changes/version=1").count() == 1
+
+
+def test_changes_between_merges_read_changes_only(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(source(spark, ("c", "Boston", 30.0)), ["id", "city"], ["fare"])
+    table.delete(F.col("id") == "a")
+    table.merge(source(spark, ("c", "Boston", 3.0), ("b", "Miami", 5.0)), ["id", "city"], ["fare"])
+    changes = table.changes(0, columns=["fare"])
+    # What was set back is no change.
+    assert {tuple(r) for r in changes.collect()} == {("a", "delete", 1.0, None), ("b", "update", 2.0, 5.0)}
+    files = {f.split("/version=")[0].rsplit("/", 1)[1] for f in changes.inputFiles()}
+    assert files == {"changes"} and "Join" not in changes._jdf.queryExecution().optimizedPlan().toString()
+    assert table.changes(2, 2).count() == 0
+    assert table.overwrite(table.read()) == 4
+    assert content(table.read(4)) == content(table.read(3))
+    assert {tuple(r) for r in table.changes(2, columns=["fare"]).collect()} == {("b", "update", 2.0, 5.0),
+                                                                              ("c", "update", 30.0, 3.0)}
+
+
+def test_rows_with_a_null_key_change_too(spark, folder):
+    table = KeyedTable(spark, folder, "id", "city")
+    table.overwrite(source(spark, (None, "Miami", 1.0), ("b", "Miami", 2.0)))
+    table.delete(F.col("id").isNull())
+    assert content(table.read()) == {"b": ("Miami", 2.0)}
+    assert [tuple(r) for r in table.changes(0, columns=["fare"]).collect()] == [(None, "delete", 1.0, None)]
+
+
+def test_an_empty_partition_value_is_refused(spark, folder):
+    with pytest.raises(Exception, match="city is an empty string"):
+        KeyedTable(spark, folder, "id", "city").overwrite(source(spark, ("a", "", 1.0)))
 
 
 def test_deleting_a_whole_partition(spark, folder):
@@ -146,7 +179,7 @@ def test_nothing_to_do_makes_no_version(spark, folder):
 
 def test_files_of_an_unfinished_change_are_not_read(spark, folder):
     table = table_of(spark, folder)
-    source(spark, ("x", "Miami", 0.0)).write.partitionBy("city").parquet(f"{folder}/data/table_version=1")
+    source(spark, ("x", "Miami", 0.0)).write.parquet(f"{folder}/changes/version=1")
     assert "x" not in content(table.read())
     table.delete(F.col("id") == "a")
     assert set(content(table.read())) == {"b", "c", "d"}

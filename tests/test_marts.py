@@ -1,15 +1,17 @@
 """Dashboard summaries, derived feeds, prices and checks on small frames."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 import rows
+from kerbside.functions.measures import exact_mean, exact_sum
 from kerbside.functions.pricing import SURGE_BY_HOUR, fare_quote, shift_seconds, surge_at
 from kerbside.operators import marts
 from kerbside.operators.dedup import keep_first, keep_latest
 from kerbside.operators.derive import derive_cancellations, derive_payments
 from kerbside.operators.quality import MissingData, check_tables, require
-from kerbside.schemas import CANCEL_REASONS, CANCELLED_BY, PAYMENT_STATUSES
 
 
 def numbers(spark, *values):
@@ -29,6 +31,22 @@ def test_histogram_of_one_value_and_of_none(spark):
     assert bins(spark, None) == {}
 
 
+def total(spark, *values):
+    return numbers(spark, *values).agg(exact_sum("x"), exact_mean("x")).first()
+
+
+def test_sums_beyond_whole_units_do_not_fail(spark):
+    assert total(spark, *[9e13] * 11) == (9.9e14, 9e13)
+    assert total(spark, *[9e13] * 10) == (9e14, 9e13)
+    assert total(spark, *[1.1e14] * 11) == (1.21e15, 1.1e14)
+    assert total(spark, 9.9e13, 1.01e14, -9.9e13)[0] == 1.01e14
+    assert total(spark, 1e300, 1.25, None)[0] == 1e300
+    assert total(spark, 0.1, 0.2, None) == (0.3, 0.15)
+    assert total(spark, None) == (None, None)
+    assert total(spark, math.inf, 1.0)[0] == math.inf
+    assert math.isnan(total(spark, math.nan, 1.0)[0]) and math.isnan(total(spark, math.inf, -math.inf)[0])
+
+
 def test_means_of_means_are_not_weighted(spark):
     metrics = spark.createDataFrame(
         [("Miami", "completed", 1, 10.0, 10.0), ("Miami", "completed", 9, 180.0, 20.0), (None, "completed", 1, 1.0, 1.0),
@@ -82,24 +100,16 @@ def test_prices(spark):
     assert len(SURGE_BY_HOUR) == 24
 
 
-def test_derived_feeds_repeat_exactly_and_stay_in_range(spark):
+def test_derived_feeds(spark):
     df = rows.rides(spark, *[{"ride_id": f"ride_{i:04d}", "ride_status": s} for i in range(300)
                              for s in (("completed", "cancelled", "in_progress")[i % 3],)])
-    payments, cancellations = derive_payments(df), derive_cancellations(df)
-    assert payments.count() == cancellations.count() == 100
-    assert payments.orderBy("payment_id").collect() == derive_payments(df.repartition(7)).orderBy("payment_id").collect()
-    waits = payments.join(df, "ride_id").select(
-        (F.unix_timestamp(payments["event_timestamp"]) - F.unix_timestamp("dropoff_time")).alias("s"))
-    low, high = waits.agg(F.min("s"), F.max("s")).first()
-    assert 5 <= low < high <= 60
-    waits = cancellations.join(df, "ride_id").select(
-        (F.unix_timestamp(cancellations["event_timestamp"]) - F.unix_timestamp("request_time")).alias("s"))
-    low, high = waits.agg(F.min("s"), F.max("s")).first()
-    assert 30 <= low < high <= 300
-    assert {r[0] for r in payments.select("payment_status").collect()} <= set(PAYMENT_STATUSES)
-    assert {r[0] for r in cancellations.select("reason").collect()} == set(CANCEL_REASONS)
-    assert {r[0] for r in cancellations.select("cancelled_by").collect()} == set(CANCELLED_BY)
-    assert payments.filter(F.col("payment_id") == "pay_0000").count() == 1
+    payments = derive_payments(df, F.lit("success"), F.lit(7)).orderBy("payment_id").collect()
+    cancellations = derive_cancellations(df, F.lit("rider"), F.lit("rider_no_show"), F.lit(30)).collect()
+    assert len(payments) == len(cancellations) == 100
+    first = df.filter("ride_id = 'ride_0000'").first()
+    assert payments[0]["payment_id"] == "pay_0000" and payments[0]["payment_status"] == "success"
+    assert (payments[0]["event_timestamp"] - first["dropoff_time"]).total_seconds() == 7
+    assert {(r["cancelled_by"], r["reason"]) for r in cancellations} == {("rider", "rider_no_show")}
 
 
 def test_checks(spark):

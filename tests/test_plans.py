@@ -3,20 +3,20 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 import rows
 from kerbside.operators import gold, layers, marts
 from kerbside.operators.dedup import keep_latest
+from kerbside.plans.catalogue import QUERIES
 from kerbside.schemas import FEEDS
-from kerbside.session import MB, size_for, stored_bytes
+from kerbside.session import MB, sized, stored_bytes
 from kerbside.sources import feeds
 from kerbside.sources.files import scan, write_table
 
-QUERIES = entry.queries()
 # These write tables or run streams when they are called.
-STORING = [n for n in QUERIES if n.startswith("stream_") and n != "stream_city_totals"] + [
-    "layer_counts", "table_current", "time_travel", "time_travel_ts", "table_history", "change_feed",
-    "schema_enforce", "table_counts", "validate_inputs", "scan_or_empty", "bronze_roundtrip", "gold_roundtrip"]
+STORING = [n for n in QUERIES if n.startswith(("stream_", "table_", "time_travel", "validate_", "topic_"))] + [
+    "layer_counts", "change_feed", "change_feed_deletes", "change_feed_versions", "schema_enforce", "scan_or_empty",
+    "bronze_roundtrip", "gold_roundtrip", "sort_mixed", "trips_histogram", "earnings_histogram", "latest_windows",
+    "json_array"]
 
 
 def plan(df):
@@ -68,10 +68,19 @@ def test_top_k_keeps_k_rows_per_task(spark, stored):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_histogram_bounds_reuse_the_values(spark, stored):
-    df = marts.histogram(gold.driver_utilization(scan(spark, f"{stored}/rides")), "total_earnings")
+def test_histogram_bins_before_its_one_shuffle(spark, stored):
+    df = marts.histogram(scan(spark, f"{stored}/rides"), "fare_amount")
     df.collect()
-    assert "ReusedExchange" in plan(df) and "ReusedSubquery" in plan(df)
+    outer = plan(df).split("Subqueries")[0]
+    assert outer.count("Exchange hashpartitioning") == outer.count("partial_count(1)") > 0
+    assert "hashpartitioning(value" not in plan(df)
+    assert "ReadSchema: struct<fare_amount:double>" in plan(df)
+
+
+def test_cleaning_carries_only_the_columns_asked_for(spark, sf_dir):
+    rides = layers.silver_rides(feeds.ride_events(spark, sf_dir)).select("fare_amount")
+    shuffled = [line for line in plan(rides).splitlines() if "pickup_lat" in line or "payment_type" in line]
+    assert not shuffled
 
 
 def test_a_hot_partition_value_is_cut_into_several_files(spark, folder):
@@ -104,15 +113,18 @@ def test_hot_keys_give_whole_results(spark):
 
 
 def test_tasks_are_sized_by_the_input(spark, sf_dir):
+    names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(n, None) for n in names]
+
     def sizes(stored):
-        size_for(spark, stored)
-        return (int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")),
-                int(spark.conf.get("spark.sql.files.maxPartitionBytes")) // MB)
-    try:
-        assert sizes(100_000_000 * MB) == (40_000, 500)
-        assert sizes(1_000_000 * MB) == (7_813, 128)
-    finally:
-        assert sizes(stored_bytes(spark, sf_dir)) == (8, 128)
+        with sized(spark, stored):
+            partitions, *sizes = [int(spark.conf.get(n)) for n in names]
+            return (partitions, *[size // MB for size in sizes])
+    assert sizes(100_000_000 * MB) == (40_000, 500, 1000)
+    assert sizes(1_000_000 * MB) == (7_813, 128, 64)
+    assert sizes(stored_bytes(spark, sf_dir)) == (8, 128, 64)
+    assert [spark.conf.get(n, None) for n in names] == before
     assert stored_bytes(spark, f"{sf_dir}/none") == 0 < stored_bytes(spark, f"{sf_dir}/events.parquet")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import rows
 from kerbside.schemas import CANCELLATIONS, LOCATIONS, PAYMENTS, RIDES
 from kerbside.sources import topics
+from kerbside.sources.files import path_exists
 from kerbside.streaming import runs, windows
 
 PINGS = runs.STREAM_TABLES["driver_availability"]
@@ -160,6 +161,21 @@ def test_monitor_shows_all_minutes_so_far(spark, folder):
     assert [(str(r["minute"])[11:16], r["requests"], r["avg_surge"]) for r in found] == [("10:00", 1, 1.23), ("10:05", 1, 1.23)]
 
 
+def test_monitor_keeps_two_results_and_shows_few_rows(spark, folder):
+    for hour in range(5):
+        topics.write_topic_files(topics.topic_records(rows.rides(spark, *[
+            {"ride_id": f"r{hour}-{m}", "event_timestamp": f"2024-01-07 1{hour}:{m:02d}:00"} for m in range(20)]), RIDES),
+            f"{folder}/topic")
+        source = topics.read_topic_files(spark, f"{folder}/topic")
+        runs.run_once(runs.start_monitor(source, "10 minutes", True, f"{folder}/monitor", f"{folder}/check"))
+    result = runs.latest_monitor(spark, f"{folder}/monitor")
+    assert result.count() == 100 and not path_exists(spark, f"{folder}/monitor/result-2")
+    shown = runs.latest_minutes(result)
+    assert "TakeOrderedAndProject" in shown._jdf.queryExecution().executedPlan().toString()
+    found = shown.collect()
+    assert len(found) == runs.SHOWN and str(found[0]["minute"])[11:16] == "14:19"
+
+
 def test_topics_run_for_a_while_and_stop(spark, folder):
     topics.write_topic_files(ping_at(spark, "10:00:10", "10:30:00"), f"{folder}/{LOCATIONS.name}")
     runs.run_topics(spark, lambda t: topics.read_topic_files(spark, f"{folder}/{t}"), folder, [LOCATIONS.name],
