@@ -16,6 +16,7 @@ from kerbside.session import working_folder
 
 # Rows of a batch that goes to Python: long texts must not add up to more than a task can hold.
 BATCH_ROWS = 500
+BATCH_BYTES = "16m"
 WHITE = b"\t\n\x0b\x0c\r "
 
 
@@ -34,7 +35,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the session's Python workers, wherever the driver imported it from."""
+    """Give this package to the session's Python workers, wherever the driver imported it from, and bound what a
+    batch brings them."""
+    # Long texts make large batches: they are cut by size too, so that a worker's memory does not follow the texts.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -40,7 +40,7 @@ RISK = 1e-9
 TILE = 1024
 # Bits of the filter by which documents without any candidate are kept from the second pass.
 FILTER_BITS = 1 << 22
-WORDS = 500_000
+WORDS = 150_000
 THRESHOLD = 0.8
 
 _MIX = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)

@@ -32,7 +32,6 @@ FEATURE_BITS = 20
 POSITIVES, UNLABELLED = 2_000, 8_000
 LEAST_Z = 5.0
 STEPS, RATE, DECAY = 300, 0.1, 1e-5
-WORDS = 500_000
 
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -52,25 +51,14 @@ def held_out(fold: int = 0, folds: int = 5) -> Column:
 class Classifier:
     """A linear function of the features of a text."""
 
-    def __init__(self, weights: np.ndarray, bias: float) -> None:
+    def __init__(self, weights: dict[int, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
-        self.words: dict[bytes, float] = {}
-
-    def __getstate__(self) -> dict:
-        return {"weights": self.weights, "bias": self.bias, "words": {}}
 
     def score(self, text: str) -> float:
         if self.bias == -math.inf:
             return 0.0
-        known, parts = self.words, [self.bias]
-        for word in distinct_words(text):
-            weight = known.get(word)
-            if weight is None:
-                if len(known) >= WORDS:
-                    known.clear()
-                weight = known[word] = float(self.weights[feature(word)])
-            if weight:
-                parts.append(weight)
+        found = map(self.weights.get, {feature(word) for word in distinct_words(text)})
+        parts = [self.bias, *filter(None, found)]
         # Exactly rounded, hence the same for any order of the words.
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, math.fsum(parts)))))
 
@@ -86,9 +74,8 @@ def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.nda
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Classifier:
     """Train on feature lists of the two samples."""
-    weights = np.zeros(1 << FEATURE_BITS, np.float32)
     if not positive or not unlabelled or not prior:
-        return Classifier(weights, -math.inf)
+        return Classifier({}, -math.inf)
     rows = positive + unlabelled
     columns = np.concatenate(rows)
     used = _telling(positive, unlabelled)
@@ -114,8 +101,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient ** 2
         w -= RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
-    weights[used] = w[:-1]
-    return Classifier(weights, float(w[-1]))
+    return Classifier(dict(zip(used.tolist(), w[:-1].tolist())), float(w[-1]))
 
 
 def _features(docs: DataFrame) -> list[tuple[bool, np.ndarray]]:
