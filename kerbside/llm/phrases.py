@@ -35,7 +35,7 @@ NAMES = 40
 ENOUGH = 12
 # Characters that are parsed together, and documents.
 CHARS, DOCS = 1 << 19, 200
-RANGES = 512
+RANGES_PER_PARTITION = 8
 LOWEST = -(1 << 63)
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
@@ -192,11 +192,13 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
     # A null id comes after all others.
     ordered = docs.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("place"),
                           F.coalesce("text", F.lit("")).alias("text"))
-    bounds = ordered.approxQuantile("place", [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)
+    # As many ranges as keep a task's share small, whatever the number of its partitions is set to for an input.
+    n = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = ordered.approxQuantile("place", [k / n for k in range(1, n)], 0.25 / n)
     splits = [-float("inf"), *(sorted(set(bounds)) or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(ordered)
     dealt = cut.select((F.lit(len(splits)) - F.col("bucket")).cast("int").alias("range"), "doc_id", "place", "text")
-    # The first row of each range, at most RANGES rows, closes the range before it, the very first one the last.
+    # The first row of each range, one row per range, closes the range before it, the very first one the last.
     highest = dealt.groupBy("range").agg(F.max("place").alias("place"))
     firsts = (dealt.join(F.broadcast(highest), ["range", "place"]).groupBy("range")
               .agg(F.max(F.struct("place", "text", "doc_id")).alias("row")))
