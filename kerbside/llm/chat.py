@@ -27,8 +27,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,9 +93,7 @@ class _Tree:
 
     def __init__(self, encode) -> None:
         self.encode = encode
-        self.ids: list[int] = []
-        self.positions: list[int] = []
-        self.loss: list[int] = []
+        self.ids, self.positions, self.loss = array("i"), array("i"), array("b")
         self.segments: list[dict] = []
         self.leaves: list[dict] = []
         self.open: list[tuple[tuple[str, str], int]] = []
@@ -108,14 +108,14 @@ class _Tree:
             start = len(self.ids)
             for part, learned in ((TURN + escape(role) + TEXT, 0), (escape(text), int(role == ASSISTANT)), (END, 0)):
                 found = self.encode(part)
-                self.ids += found
-                self.loss += [learned] * len(found)
+                self.ids.extend(found)
+                self.loss.extend([learned] * len(found))
             above = [] if parent < 0 else [*self.segments[parent]["attends"], {
                 "start": self.segments[parent]["start"], "stop": self.segments[parent]["stop"]}]
             if len(above) > 1 and above[-2]["stop"] == above[-1]["start"]:
                 above[-2:] = [{"start": above[-2]["start"], "stop": above[-1]["stop"]}]
             first = sum(a["stop"] - a["start"] for a in above)
-            self.positions += range(first, first + len(self.ids) - start)
+            self.positions.extend(range(first, first + len(self.ids) - start))
             self.open.append(((role, text), len(self.segments)))
             self.segments.append({"parent": parent, "start": start, "stop": len(self.ids), "attends": above})
         self.leaves.append({"conv_id": conv_id, "segment": self.open[-1][1] if self.open else -1})
@@ -124,7 +124,7 @@ class _Tree:
         return len(self.ids) >= BLOCK or len(self.leaves) >= LEAVES
 
     def batch(self) -> pa.RecordBatch:
-        columns = [self.ids, self.positions, self.loss, self.segments, self.leaves]
+        columns = [np.asarray(self.ids), np.asarray(self.positions), np.asarray(self.loss), self.segments, self.leaves]
         return pa.RecordBatch.from_arrays([pa.array([c], field.type) for c, field in zip(columns, BLOCKS)],
                                           schema=BLOCKS)
 
@@ -152,16 +152,18 @@ def read_back(blocks: DataFrame) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = byte_encoder(TOKENIZER).coder
         out = []
-        for block in batch.to_pylist():
-            ids, loss, segments = block["ids"], block["loss"], block["segments"]
-            for leaf in block["leaves"]:
+        tokens = [batch.column(c) for c in ("ids", "positions", "loss")]
+        trees = zip(batch.column("segments").to_pylist(), batch.column("leaves").to_pylist())
+        for k, (segments, leaves) in enumerate(trees):
+            ids, positions, loss = (column[k].values.to_numpy() for column in tokens)
+            for leaf in leaves:
                 last = segments[leaf["segment"]]
-                spans = [(a["start"], a["stop"]) for a in [*last["attends"], last]]
-                if [p for a, b in spans for p in block["positions"][a:b]] != list(range(sum(b - a for a, b in spans))):
+                at = np.concatenate([np.arange(a["start"], a["stop"]) for a in [*last["attends"], last]])
+                if not np.array_equal(positions[at], np.arange(len(at))):
                     raise ValueError("positions of a conversation do not follow each other")
-                formatted = coder.decode([i for a, b in spans for i in ids[a:b]])
+                formatted = coder.decode(ids[at].tolist())
                 turns = parse(formatted)
-                learned = unescape(coder.decode([i for a, b in spans for i, on in zip(ids[a:b], loss[a:b]) if on]))
+                learned = unescape(coder.decode(ids[at[loss[at] > 0]].tolist()))
                 whole = "".join(f"{role}\n{text}\n" for role, text in turns)
                 out.append((leaf["conv_id"], len(turns), _hex(whole), len(learned), _hex(learned), len(formatted)))
         names = [field.split()[0] for field in DIGESTS.split(", ")]
