@@ -160,6 +160,32 @@ def test_one_kind_as_brute_force(spark, monkeypatch):
         i: sum(map(chance, tokens_of(text))) for i, text in texts.items()}
 
 
+def test_rare_contexts_stay(spark, monkeypatch):
+    """With more than 2**19 symbols of distinct tokens, contexts that were seen once still count."""
+    monkeypatch.setattr(ppm, "KINDS", 1)
+    monkeypatch.setattr(ppm, "COUNTS", ["c0"])
+    pick = random.Random(8)
+    word = lambda: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=11))
+    texts = {i: " ".join(word() for _ in range(300)) for i in range(210)}
+    texts[0] = texts[0] + " \u0416\u0418\u0417\u041d\u042c"  # in the training part
+    texts[2000] = "\u0416\u0418\u0417 \u0418\u0417\u041d"
+    assert checksum(0) % 7 != 2
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    seen = Counter(t for i, text in texts.items() if checksum(i) % 7 != 2 for t in tokens_of(text))
+    assert sum(len(t) + 1 for t in seen) > 1 << 19
+    trie, n, once = trie_of(sorted(seen)), sum(seen.values()), sum(c == 1 for c in seen.values())
+    left = 1 - sum(10 ** trie.log10(sorted(seen)))
+
+    def chance(token):
+        if seen[token]:
+            return math.log10(seen[token] / (n + once + 1))
+        return math.log10((once + 1) / (n + once + 1)) + trie.log10([token])[0] - math.log10(left)
+
+    rows = {r.doc_id: r.score for r in ppm.score_documents(frame).collect()}
+    for i in (2000, *[i for i in texts if checksum(i) % 7 == 2][:3]):
+        assert rows[i] == pytest.approx(sum(map(chance, tokens_of(texts[i]))))
+
+
 def test_held_out_score_beats_the_base(spark):
     held = [r for r in QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.1").collect() if r.held_out]
     assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
