@@ -13,11 +13,17 @@ the conversation before does not have. This gives blocks of at most about BLOCK
     loss        1 for the tokens of an assistant's text, else 0
     segments    parent segment (-1 for a first turn), first and last+1 token, and the intervals of tokens of all
                 ancestors: a token attends to these and to the earlier ones of its own segment
-    leaves      conversation id and its last segment
+    leaves      conversation id and its last segment; run, runs and first are 0, 1 and 0 for a whole conversation
 
 A block that begins within a shared beginning writes it once more, so that blocks stand alone: a beginning that a third
-of all conversations share is written once per block, and no task holds more than a block and a conversation. A
-conversation is one record, and its turns are in one task.
+of all conversations share is written once per block, and no task holds more than a block and a conversation.
+
+A conversation of more than RUN characters or TURNS turns is not gathered: its turns are dealt by range in their order
+and cut into runs of about RUN characters or TURNS turns, each a block of its own. Its leaf names the run, how many
+there are, and `first`, the place of the block's first token in the conversation: the block continues the run before,
+and its positions count from there. Blocks are read back one by one; the digests of runs are folded in order by one
+task, which holds a batch of runs at a time. Range bounds use the first KEY characters of roles and texts, so turns of
+one conversation that are equal up to there are sorted by one task.
 
 Turns are in order of turn, of equal ones in order of role and text; null roles and texts are empty, a null turn comes
 first, and rows without conv_id are one conversation. Repeated rows are repeated turns. An empty table gives no blocks.
@@ -32,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import map_arrow, map_batches
+from kerbside.llm.common import map_arrow, map_batches, store
 from kerbside.llm.packing import byte_encoder
 
 # Marks of this template and of widespread ones.
@@ -44,17 +51,20 @@ CONTROL = re.compile(r"<\|[A-Za-z0-9_]+\|>|</?s>|\[/?INST\]|<</?SYS>>")
 ASSISTANT = "assistant"
 TOKENIZER = "byte_bpe_50k.json"
 BLOCK, LEAVES = 1 << 16, 2048
+RUN, TURNS, KEY = 1 << 18, 4096, 128
 
 SEGMENT = pa.struct([("parent", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()),
                      ("attends", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
-LEAF = pa.struct([("conv_id", pa.int64()), ("segment", pa.int32())])
+LEAF = pa.struct([("conv_id", pa.int64()), ("segment", pa.int32()), ("run", pa.int32()), ("runs", pa.int32()),
+                  ("first", pa.int64())])
 BLOCKS = pa.schema([("ids", pa.list_(pa.int32())), ("positions", pa.list_(pa.int32())), ("loss", pa.list_(pa.int8())),
                     ("segments", pa.list_(SEGMENT)), ("leaves", pa.list_(LEAF))])
 BLOCK_SCHEMA = ("ids array<int>, positions array<int>, loss array<tinyint>, segments array<struct<parent:int, "
                 "start:int, stop:int, attends:array<struct<start:int, stop:int>>>>, "
-                "leaves array<struct<conv_id:long, segment:int>>")
+                "leaves array<struct<conv_id:long, segment:int, run:int, runs:int, first:long>>")
 DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
            "formatted_chars long")
+PARTS = f"{DIGESTS}, run int, runs int, whole binary, learned binary"
 
 
 def escape(text: str) -> str:
@@ -118,7 +128,8 @@ class _Tree:
             self.positions.extend(range(first, first + len(self.ids) - start))
             self.open.append(((role, text), len(self.segments)))
             self.segments.append({"parent": parent, "start": start, "stop": len(self.ids), "attends": above})
-        self.leaves.append({"conv_id": conv_id, "segment": self.open[-1][1] if self.open else -1})
+        self.leaves.append({"conv_id": conv_id, "segment": self.open[-1][1] if self.open else -1,
+                            "run": 0, "runs": 1, "first": 0})
 
     def full(self) -> bool:
         return len(self.ids) >= BLOCK or len(self.leaves) >= LEAVES
@@ -129,8 +140,69 @@ class _Tree:
                                           schema=BLOCKS)
 
 
+def long_conversations(rows: DataFrame) -> DataFrame:
+    """(conv_id) of conversations that are cut into runs: at most one per RUN characters or TURNS turns of the input."""
+    chars = sum(F.coalesce(F.length(c), F.lit(0)).cast("long") for c in ("role", "text"))
+    return (rows.groupBy(F.col("conv_id").cast("long").alias("conv_id"))
+            .agg(F.count("*").alias("n"), F.sum(chars).alias("chars"))
+            .filter((F.col("n") > TURNS) | (F.col("chars") > RUN)).select("conv_id"))
+
+
+def format_runs(rows: DataFrame) -> DataFrame:
+    """Blocks of long conversations, each of one run of turns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = byte_encoder(TOKENIZER).coder
+        place = TaskContext.get().partitionId() << 32
+        conv_id, turns, chars = None, [], 0
+
+        def block() -> pa.RecordBatch:
+            tree = _Tree(coder.encode_ordinary)
+            tree.add(conv_id, turns)
+            made = tree.batch()
+            return pa.RecordBatch.from_arrays(
+                [*made.columns, pa.array([conv_id], pa.int64()), pa.array([place]), pa.array([len(tree.ids)])],
+                [*made.schema.names, "conv_id", "place", "n"])
+
+        for batch in batches:
+            for following, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+                if turns and (following != conv_id or chars >= RUN or len(turns) >= TURNS):
+                    yield block()
+                    turns, chars, place = [], 0, place + 1
+                conv_id = following
+                turns.append((role, text))
+                chars += len(role) + len(text)
+        if turns:
+            yield block()
+
+    key = ["conv_id", "turn", *(F.substring(c, 1, KEY) for c in ("role", "text"))]
+    ordered = (rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
+                           *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))
+               .repartitionByRange(*key).sortWithinPartitions("conv_id", "turn", "role", "text"))
+    runs = store(map_arrow(ordered.select("conv_id", "role", "text"), run,
+                           f"{BLOCK_SCHEMA}, conv_id long, place long, n long"), "chat-runs")
+    # One short row per run; places follow the order of turns.
+    each = Window.partitionBy("conv_id")
+    before = each.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    placed = runs.select("place", (F.row_number().over(each.orderBy("place")) - 1).alias("run"),
+                         F.count("*").over(each).cast("int").alias("runs"),
+                         F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("first"))
+    leaf = F.struct("conv_id", F.col("leaves")[0]["segment"].alias("segment"), "run", "runs", "first")
+    return runs.join(placed, "place").select("ids", "positions", "loss", "segments", F.array(leaf).alias("leaves"))
+
+
 def format_conversations(rows: DataFrame) -> DataFrame:
     """Blocks of a table with columns conv_id, turn, role and text."""
+    found = store(long_conversations(rows), "chat-long")
+    if found.isEmpty():
+        return format_whole(rows)
+    found = F.broadcast(found.withColumnRenamed("conv_id", "found"))
+    is_long = F.col("conv_id").cast("long").eqNullSafe(F.col("found"))
+    return format_whole(rows.join(found, is_long, "left_anti")).unionAll(
+        format_runs(rows.join(found, is_long, "left_semi")))
+
+
+def format_whole(rows: DataFrame) -> DataFrame:
+    """Blocks of conversations that are gathered whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_encoder(TOKENIZER).coder
         tree = _Tree(coder.encode_ordinary)
@@ -165,13 +237,39 @@ def read_back(blocks: DataFrame) -> DataFrame:
                 turns = parse(formatted)
                 learned = unescape(coder.decode(ids[at[loss[at] > 0]].tolist()))
                 whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                out.append((leaf["conv_id"], len(turns), _hex(whole), len(learned), _hex(learned), len(formatted)))
-        names = [field.split()[0] for field in DIGESTS.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        columns = list(zip(*out)) or [[]] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-    return map_batches(blocks, work, DIGESTS)
+                raw = [part.encode("utf-8", "surrogatepass") for part in (whole, learned)]
+                alone = leaf["runs"] == 1
+                hashes = [hashlib.sha256(part).hexdigest() if alone else None for part in raw]
+                out.append((leaf["conv_id"], len(turns), hashes[0], len(learned), hashes[1], len(formatted),
+                            leaf["run"], leaf["runs"], *([None, None] if alone else raw)))
+        return _batch(out, PARTS)
+    parts = map_batches(blocks, work, PARTS).repartition("conv_id").sortWithinPartitions("conv_id", "run")
+    return map_arrow(parts, _fold, DIGESTS)
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per conversation, from rows in order of conversation and run."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            if row["runs"] == 1:
+                out.append(tuple(row.values())[:6])
+                continue
+            if row["run"] == 0:
+                due, sums, hashes = 0, [0, 0, 0], [hashlib.sha256(), hashlib.sha256()]
+            if row["run"] != due:
+                raise ValueError("a run of a conversation is missing")
+            due += 1
+            sums = [a + row[c] for a, c in zip(sums, ("n_turns", "loss_chars", "formatted_chars"))]
+            hashes[0].update(row["whole"])
+            hashes[1].update(row["learned"])
+            if due == row["runs"]:
+                out.append((row["conv_id"], sums[0], hashes[0].hexdigest(), sums[1], hashes[1].hexdigest(), sums[2]))
+        yield _batch(out, DIGESTS)
 
 
-def _hex(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(field.split() for field in schema.split(", ")))
+    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    columns = list(zip(*rows)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(columns, kinds)], names)

@@ -358,6 +358,32 @@ def test_shared_turns_are_written_once(spark, monkeypatch):
     assert {r.conv_id for r in chat.read_back(chat.format_conversations(frame)).collect()} == set(range(300))
 
 
+def test_long_conversations_are_cut(spark):
+    """Conversations of a third of the rows, one of them without id, come in bounded blocks and back whole."""
+    pick = random.Random(6)
+    rows = [(None if k % 2 else 9, k // 7, pick.choice(["user", "assistant"]), f"turn {pick.randint(0, 99)} " * 12)
+            for k in range(9000)]
+    rows += [(100 + k // 2, k % 2, "user", f"q {k}") for k in range(2000)]
+    pick.shuffle(rows)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    blocks = chat.format_conversations(frame).collect()
+    assert max(len(b.ids) for b in blocks) < 2 * chat.BLOCK and max(len(b.segments) for b in blocks) <= 8192
+    for conv in (None, 9):
+        runs = sorted((b.leaves[0].run, b.leaves[0].first, len(b.ids)) for b in blocks if b.leaves[0].runs > 1
+                      and b.leaves[0].conv_id == conv)
+        assert len(runs) > 1 and [r for r, _, _ in runs] == list(range(len(runs)))
+        assert [first for _, first, _ in runs] == [sum(n for _, _, n in runs[:k]) for k in range(len(runs))]
+    found = {r.conv_id: r for r in chat.read_back(chat.format_conversations(frame)).collect()}
+    assert len(found) == 1002
+    for conv in (None, 9, 100):
+        turns = sorted(r[1:] for r in rows if r[0] == conv)
+        learned = "".join(text for _, role, text in turns if role == "assistant")
+        assert found[conv].turns_sha256 == digest("".join(f"{role}\n{text}\n" for _, role, text in turns))
+        assert (found[conv].n_turns, found[conv].loss_chars) == (len(turns), len(learned))
+        assert found[conv].loss_sha256 == digest(learned)
+        assert found[conv].formatted_chars == sum(23 + len(role) + len(text) for _, role, text in turns)
+
+
 def test_chat_edges(spark):
     rows = [(1, 0, None, None), (1, None, "user", "a"), (1, 1, "assistant", ""), (2, 0, "assistant", LONG),
             (2, 0, "assistant", LONG), (None, 0, "user", "nobody"), (3, 5, "<|end|>", "é\\"), (3, 4, "assistant", "\\<s>")]
