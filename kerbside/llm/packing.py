@@ -37,8 +37,8 @@ LENGTH = 2048
 BLOCK = 1 << 18
 # Penalties in tokens of padding.
 SENTENCE_CUT, HARD_CUT, SEQUENCE = 1.0, 24.0, 4.0
-# Tokens between two sentence cuts at least, and between two hard cuts.
-SENTENCE_STEP, HARD_STEP = 32, 128
+# Tokens between two hard cuts.
+HARD_STEP = 128
 LEAST_POWER = 256
 END_ID = 1
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -77,10 +77,6 @@ def cut_places(ids: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray,
     """
     n = len(ids)
     ends = np.flatnonzero(ends_sentence[ids[:-2]]) + 1 if n > 2 else np.empty(0, np.int64)
-    if len(ends):
-        # At most one sentence end of each stretch of SENTENCE_STEP tokens.
-        stretch = ends // SENTENCE_STEP
-        ends = ends[np.r_[True, stretch[1:] != stretch[:-1]]]
     marks = np.r_[0, ends, n]
     gaps = np.flatnonzero(np.diff(marks) > HARD_STEP)
     hard = [np.arange(marks[g] + HARD_STEP, marks[g + 1], HARD_STEP) for g in gaps]

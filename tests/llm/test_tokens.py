@@ -111,6 +111,14 @@ def test_documents_span_blocks(spark, monkeypatch):
     assert sum(p[2] for p in pieces) == block.size and max(p[7] for p in pieces) <= 512
 
 
+def test_every_sentence_end_may_be_a_cut():
+    ids = np.array([5, 6, 7] * 40 + [1])
+    places, penalty = packing.cut_places(ids, np.arange(10) == 7)
+    # The end token is not parted from the last sentence.
+    assert places.tolist() == [*range(3, 120, 3), 121]
+    assert penalty.tolist() == [packing.SENTENCE_CUT] * 39 + [0.0]
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_cuts_are_cheapest(seed):
     pick = np.random.default_rng(seed)
