@@ -122,9 +122,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
     labelled = ids.distinct().join(marks, "doc_id")
     prior = labelled.agg(F.avg("toxic")).first()[0] or 0.0
     positive = labelled.filter("toxic = 1").orderBy(*order).limit(POSITIVES).select("doc_id", F.lit(1).alias("toxic"))
-    anyone = ids.orderBy(*order).limit(UNLABELLED).distinct().select("doc_id", F.lit(0).alias("toxic"))
+    anyone = ids.distinct().orderBy(*order).limit(UNLABELLED).select("doc_id", F.lit(0).alias("toxic"))
     sample = positive.unionAll(anyone)  # at most POSITIVES + UNLABELLED ids
-    found = _features(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
+    # One row of each id, of different ones the smallest text.
+    chosen = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+              .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("toxic", "doc_id"))
+    found = _features(chosen)
     return fit([f for toxic, f in found if toxic], [f for toxic, f in found if not toxic], float(prior))
 
 

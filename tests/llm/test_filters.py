@@ -100,6 +100,16 @@ def test_risk_is_not_negative():
     assert np.mean([score(r) > 0 for r in rows(400, False)]) < 0.05
 
 
+def test_sample_with_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 4)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 5)
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda *a: sizes.append((len(a[0]), len(a[1]))))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60) for _ in range(10)], "doc_id long, text string")
+    toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    assert sizes == [(4, 5)]
+
+
 def test_toxicity_edges(spark):
     docs = edge_frame(spark)
     labels = spark.createDataFrame([(4, 0, 1), (5, None, 0), (5, None, None), (None, 1, 1), (99, 1, 1)],

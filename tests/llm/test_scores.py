@@ -186,6 +186,15 @@ def test_rare_contexts_stay(spark, monkeypatch):
         assert rows[i] == pytest.approx(sum(map(chance, tokens_of(texts[i]))))
 
 
+def test_kinds_with_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "SAMPLE", 5)
+    sizes = []
+    monkeypatch.setattr(ppm, "spherical_k_means", lambda x, k: sizes.append(len(x)) or x[:k])
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60) for _ in range(10)], "doc_id long, text string")
+    ppm.fit_kinds(docs)
+    assert sizes == [5]
+
+
 def test_held_out_score_beats_the_base(spark):
     held = [r for r in QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.1").collect() if r.held_out]
     assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
