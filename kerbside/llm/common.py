@@ -8,8 +8,10 @@ import tempfile
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.session import working_folder
@@ -82,6 +84,51 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+# -- places in an order ------------------------------------------------------------------------------
+
+PLACE_BITS = 33
+
+
+def key_of(column: str) -> Column:
+    """A column as text that is never null: empty for a null, else `=` and the value."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+
+def numbered(rows: DataFrame, group: str, order: list[Column | str], within: list[Column | str], label: str) -> DataFrame:
+    """Rows as stored in order of group and `within`, with `place`, their place in the whole table, and `index`, that in
+    their group from 0.
+
+    Rows are dealt by ranges of the group and `order`, which must come to the same order as `within` but may be cut short,
+    so a group of any size is spread over tasks. Each task counts its rows of a group; a group that began in an earlier
+    range adds the rows there. Only the first group of a range can have done so, so that table has at most one row for
+    each range, and is sent to all tasks. `group` is not null.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << PLACE_BITS
+        before, first = None, place
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            groups = batch.column(group)
+            codes = np.asarray(groups.dictionary_encode().indices)
+            begins = np.append(groups[0].as_py() != before, codes[1:] != codes[:-1])
+            here = place + np.arange(len(codes), dtype=np.int64)
+            firsts = np.maximum.accumulate(np.where(begins, here, first))
+            before, first, place = groups[-1].as_py(), int(firsts[-1]), place + len(codes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(here), pa.array(here - firsts)],
+                                             [*batch.schema.names, "place", "index"])
+
+    ordered = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *within)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    stored = store(map_arrow(ordered, run, f"{fields}, place long, index long"), label)
+    part = F.shiftright("place", PLACE_BITS).alias("part")
+    earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (stored.groupBy(group, part).agg(F.count("*").alias("n"))
+             .select(group, "part", F.sum("n").over(earlier).alias("earlier")).filter("earlier > 0"))
+    found = stored.withColumn("part", part).join(F.broadcast(spans), [group, "part"], "left")
+    return found.withColumn("index", F.col("index") + F.coalesce("earlier", F.lit(0))).select(*stored.columns)
+
+
 # -- connected components ----------------------------------------------------------------------------
 
 def components(links: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, chat, counts, langid, minhash, packing, phrases, ppm, toxicity, vectors
+from kerbside.llm import (bpe, chat, counts, langid, manifest, minhash, packing, phrases, ppm, toxicity, vectors)
 from kerbside.llm.common import table
 from kerbside.session import prepare
 
@@ -83,6 +83,11 @@ def op10_fingerprints(spark, sf_dir):
     return phrases.fingerprints_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_manifest(spark, sf_dir):
+    return manifest.check_altered(table(spark, sf_dir, "documents"))
+
+
 # -- SQL ---------------------------------------------------------------------------------------------
 
 # An escaped control string is longer by one character, like one with a mark behind it.
@@ -149,3 +154,63 @@ SELECT e.vec_id, coalesce(d.n, 0) AS n_links, min(r.other) AS component_id, e.ve
 FROM embeddings e LEFT JOIN degrees d ON d.a = e.vec_id JOIN reached r ON r.node = e.vec_id
 GROUP BY e.vec_id, d.n
 """
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of ASCII text, bit by bit; 3988292384 is its polynomial."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# Sources' trees, then the tree over them: nodes by level, each one's siblings, and every leaf folded to the top.
+ORACLE["op13_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_leaf(
+        "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS altered
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS level, i, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, i // 16, sha256(string_agg(d, '' ORDER BY i)), (max(n) + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY tree, level, i // 16),
+upper AS (
+  SELECT 0 AS level, tree AS i, d, count(*) OVER () AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, i // 16, sha256(string_agg(d, '' ORDER BY i)), (max(n) + 15) // 16
+  FROM upper WHERE n > 1 GROUP BY level, i // 16),
+every AS (
+  SELECT tree, level, i, d, n FROM nodes UNION ALL SELECT -1, level, i, d, n FROM upper),
+steps AS (
+  SELECT a.tree, a.level, a.i, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l,
+    coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r
+  FROM every a JOIN every b ON a.tree = b.tree AND a.level = b.level AND a.i // 16 = b.i // 16
+  WHERE a.n > 1 GROUP BY a.tree, a.level, a.i),
+folded AS (
+  SELECT tree, i AS leaf, 0 AS level, i AS at, coalesce(altered, leaf) AS d, '' AS proof FROM placed
+  UNION ALL
+  SELECT f.tree, f.leaf, f.level + 1, f.at // 16, sha256(s.l || f.d || s.r), f.proof || s.l || s.r
+  FROM folded f JOIN steps s ON s.tree = f.tree AND s.level = f.level AND s.i = f.at),
+lower AS (
+  SELECT tree, leaf, arg_max(d, level) AS d, arg_max(proof, level) AS proof FROM folded GROUP BY tree, leaf),
+climbed AS (
+  SELECT tree, leaf, 0 AS level, tree AS at, d, proof FROM lower
+  UNION ALL
+  SELECT f.tree, f.leaf, f.level + 1, f.at // 16, sha256(s.l || f.d || s.r), f.proof || s.l || s.r
+  FROM climbed f JOIN steps s ON s.tree = -1 AND s.level = f.level AND s.i = f.at),
+whole AS (
+  SELECT tree, leaf, arg_max(d, level) AS d, arg_max(proof, level) AS proof FROM climbed GROUP BY tree, leaf)
+SELECT p.doc_id, p.leaf, t.d AS subroot, u.d AS root, sha256(w.proof) AS proof_sha256, w.d AS folded_root,
+  w.d = u.d AS verified
+FROM placed p JOIN whole w ON w.tree = p.tree AND w.leaf = p.i JOIN nodes t ON t.tree = p.tree AND t.n = 1
+JOIN upper u ON u.n = 1
+"""
