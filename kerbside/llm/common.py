@@ -94,39 +94,54 @@ def key_of(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
-def numbered(rows: DataFrame, group: str, order: list[Column | str], within: list[Column | str], label: str) -> DataFrame:
-    """Rows as stored in order of group and `within`, with `place`, their place in the whole table, and `index`, that in
-    their group from 0.
-
-    Rows are dealt by ranges of the group and `order`, which must come to the same order as `within` but may be cut short,
-    so a group of any size is spread over tasks. Each task counts its rows of a group; a group that began in an earlier
-    range adds the rows there. Only the first group of a range can have done so, so that table has at most one row for
-    each range, and is sent to all tasks. `group` is not null.
+def in_order(rows: DataFrame, group: str, order: list[Column | str], label: str, weight: str | None = None,
+             most_rows: int = 0, most_weight: int = 0) -> DataFrame:
+    """Rows as stored in order of group and `order`, with `place`, their place in the whole table, and `begin`, the place
+    of the first row of their group in the same range; with `weight`, of the first row of a run of such rows.
+
+    Rows are dealt by ranges of that order, so a group of any size is spread over tasks, and each task counts its own
+    rows. A run ends after `most_rows` rows, or once its rows' weights come to `most_weight`. `group` is not null.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << PLACE_BITS
-        before, first = None, place
+        before, begin, total = None, place, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             groups = batch.column(group)
             codes = np.asarray(groups.dictionary_encode().indices)
-            begins = np.append(groups[0].as_py() != before, codes[1:] != codes[:-1])
+            starts = np.append(groups[0].as_py() != before, codes[1:] != codes[:-1])
             here = place + np.arange(len(codes), dtype=np.int64)
-            firsts = np.maximum.accumulate(np.where(begins, here, first))
-            before, first, place = groups[-1].as_py(), int(firsts[-1]), place + len(codes)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(here), pa.array(here - firsts)],
-                                             [*batch.schema.names, "place", "index"])
-
-    ordered = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *within)
+            if weight:
+                at, first = begin, place
+                for k, own in enumerate(batch.column(weight).to_pylist()):
+                    if starts[k] or total >= most_weight or first + k - at >= most_rows:
+                        starts[k], at, total = True, first + k, 0
+                    total += own
+            begins = np.maximum.accumulate(np.where(starts, here, begin))
+            before, begin, place = groups[-1].as_py(), int(begins[-1]), place + len(codes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(here), pa.array(begins)],
+                                             [*batch.schema.names, "place", "begin"])
+
+    ordered = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    stored = store(map_arrow(ordered, run, f"{fields}, place long, index long"), label)
+    return store(map_arrow(ordered, run, f"{fields}, place long, begin long"), label)
+
+
+def numbered(rows: DataFrame, group: str, order: list[Column | str], label: str) -> DataFrame:
+    """Rows with `index`, their place in their group from 0.
+
+    A group that began in an earlier range adds its rows there. Only the first group of a range can have done so: that
+    table has at most one row for each range, and is sent to all tasks.
+    """
+    stored = in_order(rows, group, order, label)
     part = F.shiftright("place", PLACE_BITS).alias("part")
     earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     spans = (stored.groupBy(group, part).agg(F.count("*").alias("n"))
              .select(group, "part", F.sum("n").over(earlier).alias("earlier")).filter("earlier > 0"))
     found = stored.withColumn("part", part).join(F.broadcast(spans), [group, "part"], "left")
-    return found.withColumn("index", F.col("index") + F.coalesce("earlier", F.lit(0))).select(*stored.columns)
+    index = F.col("place") - F.col("begin") + F.coalesce("earlier", F.lit(0))
+    return found.select(*rows.columns, index.alias("index"))
 
 
 # -- connected components ----------------------------------------------------------------------------

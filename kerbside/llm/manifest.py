@@ -46,8 +46,7 @@ def leaves(docs: DataFrame, altered: dict[str, Column], where: Column) -> DataFr
                               leaf().alias("leaf"), F.when(where, leaf(altered)).alias("shown"),
                               F.monotonically_increasing_id().alias("row")), "manifest-leaves")
     # Repeated rows are equal in all but `row`, by which ranges can part them.
-    order = ["doc_id", "leaf", "row"]
-    return numbered(found, "tree", order, order, "manifest-order").select(
+    return numbered(found, "tree", ["doc_id", "leaf", "row"], "manifest-order").select(
         "tree", "index", F.col("leaf").alias("digest"), "doc_id", F.coalesce("shown", "leaf").alias("shown"))
 
 
@@ -112,7 +111,7 @@ def prove(docs: DataFrame, altered: dict[str, Column], where: Column) -> DataFra
         subroots = above[0].filter("alone")
         for emitted in above[1:]:
             subroots = subroots.unionAll(emitted.filter("alone"))
-        subroots = numbered(subroots.select(F.lit("").alias("forest"), "tree", "digest"), "forest", ["tree"], ["tree"],
+        subroots = numbered(subroots.select(F.lit("").alias("forest"), "tree", "digest"), "forest", ["tree"],
                             "manifest-subroots")
         upper, over = climb(subroots.select(F.col("forest").alias("tree"), "index", "digest", F.col("tree").alias("source")))
         top = over[-1].filter("alone")

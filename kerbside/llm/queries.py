@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import (bpe, chat, counts, langid, manifest, minhash, packing, phrases, ppm, toxicity, vectors)
+from kerbside.llm import (bpe, chat, counts, langid, manifest, minhash, packing, phrases, ppm, repair, toxicity,
+                          vectors)
 from kerbside.llm.common import table
 from kerbside.session import prepare
 
@@ -83,6 +84,12 @@ def op10_fingerprints(spark, sf_dir):
     return phrases.fingerprints_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(rows, repair.damage(rows))
+
+
 @query
 def op13_manifest(spark, sf_dir):
     return manifest.check_altered(table(spark, sf_dir, "documents"))
@@ -214,3 +221,71 @@ SELECT p.doc_id, p.leaf, t.d AS subroot, u.d AS root, sha256(w.proof) AS proof_s
 FROM placed p JOIN whole w ON w.tree = p.tree AND w.leaf = p.i JOIN nodes t ON t.tree = p.tree AND t.n = 1
 JOIN upper u ON u.n = 1
 """
+
+
+def _edit(state: str, cost: str, letter: str, line: str, where: str = "TRUE") -> str:
+    """SQL for what an edit makes of the best way into a state: cost, letters, lines, or NULL."""
+    return (f"CASE WHEN {state} IS NOT NULL AND {where} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', "
+            f"'r': {state}.r || {line}}} END")
+
+
+def _edits(*edits: tuple[str, str, str]) -> str:
+    """SQL for the best of deleting, keeping and giving another role; (state before, first letter, role) for each way."""
+    kept = [_edit(f"v{state}", "t", "K", "chr(10) || role || ':' || text", f"fault < 2 AND initial = '{initial}'")
+            for state, initial, _ in edits]
+    other = [_edit(f"v{state}", "3 + t", "R", f"chr(10) || '{role}:' || text", "fault < 2")
+             for state, _, role in edits if role]
+    return ", ".join(kept + other)
+
+
+def _least(first: str, *edits: tuple[str, str, str]) -> str:
+    return f"least({_edit(first, '4', 'D', chr(39) * 2)}, {_edits(*edits)})"
+
+
+# Rows one after the other, with the best (cost, letters, lines) for each of the four states; least() compares in that order.
+ORACLE["op12_repair"] = f"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(
+      "(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM said WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+  FROM damaged),
+faulty AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN body = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3 WHEN right(body, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault
+  FROM placed),
+costed AS (SELECT *, CASE fault WHEN 1 THEN 3 ELSE 0 END AS t FROM faulty),
+best AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 'r': ''}} AS v0,
+    CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, r VARCHAR)) AS v1, {{'c': 3, 'a': 'I', 'r': chr(10) || 'user:'}} AS v2,
+    {{'c': 6, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS v3
+  FROM conversations
+  UNION ALL
+  SELECT conv_id, i, v0, v1, v2, least(v3, {_edit("v2", "3", "I", "chr(10) || 'assistant:'")})
+  FROM (
+    SELECT conv_id, i, v0, v1, least(v2, {", ".join(
+        _edit(f"v{s}", "3", "I", "chr(10) || 'user:'") for s in (0, 1, 3))}) AS v2, v3
+    FROM (
+      SELECT b.conv_id, f.i, {_edit("v0", "4", "D", "''")} AS v0, {_least("v1", (0, "s", ""))} AS v1,
+        {_least("v2", (0, "u", "user"), (1, "u", "user"), (3, "u", "user"))} AS v2,
+        {_least("v3", (2, "a", "assistant"))} AS v3
+      FROM best b JOIN costed f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1) x) y),
+chosen AS (SELECT conv_id, arg_max(least(v0, v3), i) AS v FROM best GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 2) AS blank, count(*) FILTER (WHERE fault = 3) AS duplicate,
+    count(*) FILTER (WHERE fault = 1) AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id)
+SELECT v.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(v.v.c AS BIGINT) AS cost, v.v.a AS audit,
+  sha256(substr(v.v.r, 2)) AS repaired_sha256
+FROM chosen v LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
