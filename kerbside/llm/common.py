@@ -190,3 +190,19 @@ def tiles(members: DataFrame, keys: list[str], spread: str, size: int) -> DataFr
     return (placed.withColumn("other", other)
             .withColumn("tile_a", F.least("tile", "other")).withColumn("tile_b", F.greatest("tile", "other"))
             .drop("other", "n_tiles"))
+
+
+# Keys with this share of all rows, or more, are heavy: there are at most so many of them.
+HEAVY = 1000
+
+
+def meet(rows: DataFrame, nodes: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """Inner join of rows with one node per key, for keys that may hold any share of the rows.
+
+    `weight` counts a node's rows, of which there are at most `total`: nodes with one in HEAVY of them or more, at most
+    HEAVY nodes, are sent to all tasks, so that their rows stay where they are; the others are joined by their keys.
+    """
+    heavy = F.col(weight) * HEAVY >= total
+    known = F.broadcast(nodes.filter(heavy))
+    light = rows.join(F.broadcast(nodes.filter(heavy).select(*keys)), keys, "left_anti")
+    return rows.join(known, keys).unionByName(light.join(nodes.filter(~heavy), keys))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (bpe, chat, counts, langid, manifest, minhash, packing, phrases, ppm, repair, toxicity,
-                          vectors)
+                          urls, vectors)
 from kerbside.llm.common import table
 from kerbside.session import prepare
 
@@ -84,6 +84,11 @@ def op10_fingerprints(spark, sf_dir):
     return phrases.fingerprints_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_urls(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op12_repair(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -289,3 +294,77 @@ SELECT v.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   sha256(substr(v.v.r, 2)) AS repaired_sha256
 FROM chosen v LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
 """
+
+
+def _rule(column: str) -> str:
+    """SQL for the longest rule that fits a host and path: its text or verdict."""
+    cases = []
+    for rule, verdict in sorted(urls.RULES, key=lambda r: (len(r[0]), r[0]), reverse=True):
+        host, _, path = rule.partition("/")
+        cases.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}') "
+                     f"THEN '{rule if column == 'rule' else verdict}'")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _url_level(d: int) -> str:
+    """SQL for one more level of the tree: branches of every node, merged ones, and the pages one segment further."""
+    above, node = f"level{d - 1}", "host, template"
+    return f"""
+kids{d} AS (
+  SELECT {node}, estimate, segs[{d}] AS segment, count(*) AS n, count(blocked) AS labelled,
+    coalesce(sum(blocked), 0) AS blocked
+  FROM {above} WHERE len(segs) >= {d} GROUP BY {node}, estimate, segs[{d}]),
+literal{d} AS (
+  SELECT *, CASE WHEN n * {urls.MANY} >= sum(n) OVER (PARTITION BY {node}) AND n >= {urls.LEAST} THEN segment END AS lit
+  FROM kids{d}),
+branch{d} AS (
+  SELECT {node}, estimate, lit, sum(labelled) AS labelled, sum(blocked) AS blocked,
+    sum(labelled) >= {urls.LEAST} AS compared, sum(blocked) / greatest(sum(labelled), 1) AS share
+  FROM literal{d} GROUP BY {node}, estimate, lit),
+lagged{d} AS (
+  SELECT *, lag(share) OVER w AS last_share, lag(labelled) OVER w AS last_labelled FROM branch{d}
+  WINDOW w AS (PARTITION BY {node}, compared ORDER BY share, lit NULLS FIRST)),
+grouped{d} AS (
+  SELECT *, sum(CASE WHEN compared AND share - last_share < {urls.BOUND!r}::DOUBLE
+      * (1 / sqrt(labelled) + 1 / sqrt(last_labelled)) THEN 0 ELSE 1 END)
+    OVER (PARTITION BY {node}, compared ORDER BY share, lit NULLS FIRST) AS grp
+  FROM lagged{d}),
+merged{d} AS (
+  SELECT {node}, lit, (sum(blocked) OVER w + {urls.WEIGHT} * estimate) / (sum(labelled) OVER w + {urls.WEIGHT}) AS own,
+    list_sort(list(coalesce(regexp_replace(lit, '([*{{|}}\\\\])', '\\\\\\1', 'g'), '*')) OVER w) AS names
+  FROM grouped{d} WINDOW w AS (PARTITION BY {node}, compared, grp)),
+level{d} AS (
+  SELECT page_id, l.host, path, rule, label, l.blocked, segs, l.template || '/' || CASE WHEN len(names) = 1 THEN names[1]
+    ELSE '{{' || array_to_string(names, '|') || '}}' END AS template, own AS estimate
+  FROM {above} l JOIN literal{d} k ON k.host = l.host AND k.template = l.template AND k.segment = l.segs[{d}]
+  JOIN merged{d} m ON m.host = l.host AND m.template = l.template AND m.lit IS NOT DISTINCT FROM k.lit
+  WHERE len(l.segs) >= {d}
+  UNION ALL SELECT * FROM {above} WHERE len(segs) < {d})"""
+
+
+ORACLE["op11_urls"] = f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rest),
+ruled AS (
+  SELECT page_id, host, path, {_rule("rule")} AS rule, {_rule("verdict")} AS label,
+    list_filter(string_split(path, '/'), lambda s: s <> '') AS parts
+  FROM parts),
+cut AS (
+  SELECT page_id, host, path, rule, label, CASE label WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS blocked,
+    CASE WHEN len(parts) > {urls.DEPTH} THEN list_concat(parts[1:{urls.DEPTH - 1}],
+      [array_to_string(parts[{urls.DEPTH}:], '/')]) ELSE parts END AS segs
+  FROM ruled),
+overall AS (SELECT (coalesce(sum(blocked), 0) + 1) / (count(blocked) + 2) AS p FROM cut),
+level0 AS (
+  SELECT c.*, '' AS template, (coalesce(sum(blocked) OVER w, 0) + {urls.WEIGHT} * p) / (count(blocked) OVER w + {urls.WEIGHT})
+    AS estimate
+  FROM cut c, overall WINDOW w AS (PARTITION BY host)),
+{",".join(_url_level(d) for d in range(1, urls.DEPTH + 1))}
+SELECT page_id, host, path, rule, coalesce(label, CASE WHEN estimate >= {urls.PURITY} THEN 'block' ELSE 'allow' END)
+  AS verdict, template, estimate AS score
+FROM level{urls.DEPTH}
+"""
