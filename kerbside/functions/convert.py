@@ -23,17 +23,20 @@ def from_text(name: str, kind: str, on_error: str = "raise") -> Column:
     return text
 
 
+def as_text(df: DataFrame, name: str) -> Column:
+    """A column of a table as text: times in ISO form, numbers in their shortest form, NULL stays NULL."""
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(F.col(name), ISO_TIME).alias(name)
+    return F.col(name).cast("string").alias(name)
+
+
 def to_text(df: DataFrame) -> DataFrame:
-    """Every column as text: times in ISO form, numbers in their shortest form, NULL stays NULL."""
-    def text(field: T.StructField) -> Column:
-        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(F.col(field.name), ISO_TIME).alias(field.name)
-        return F.col(field.name).cast("string").alias(field.name)
-    return df.select(*[text(field) for field in df.schema.fields])
+    """Every column as text."""
+    return df.select(*[as_text(df, name) for name in df.columns])
 
 
-def blank_to_null(name: str) -> Column:
-    return F.nullif(F.col(name), F.lit("")).alias(name)
+def blank_to_null(text: Column, name: str) -> Column:
+    return F.nullif(text, F.lit("")).alias(name)
 
 
 def local_times(df: DataFrame) -> DataFrame:

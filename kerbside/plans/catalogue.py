@@ -28,7 +28,7 @@ from kerbside.sources import feeds, topics
 from kerbside.sources.files import (read_csv, read_json, scan, scan_or_empty, union_all, write_csv, write_json,
                                     write_json_arrays, write_table)
 from kerbside.sources.keyed import KeyedTable
-from kerbside.streaming import runs, windows
+from kerbside.streaming import faults, runs, windows
 
 DELAY = "10 minutes"
 CLOSED_AT = "2024-03-01 00:00:00"
@@ -239,27 +239,33 @@ def parse_topic(spark, sf_dir):
     return topics.decode(records_of(spark, sf_dir, RIDES.name), RIDES).drop("event_timestamp")
 
 
-def _stored_topics(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """All topics as stored, sent in order of time."""
-    folder, found = working_folder(spark, "topics"), []
-    for name in FEEDS:
-        sent = records_of(spark, sf_dir, name).orderBy(
-            F.get_json_object("value", "$.event_timestamp").asc_nulls_last(), "key", "value")
-        topics.write_topic_files(sent, f"{folder}/{name}")
-        found.append(topics.read_topic_files_batch(spark, f"{folder}/{name}").withColumn("topic", F.lit(name)))
-    return found
+def _stored_topics(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFrame:
+    """All topics as stored, by one write that neither sorts nor shuffles."""
+    folder = working_folder(spark, "topics")
+    topics.write_topics(union_all(topics.topic_records(feeds.READERS[name](spark, sf_dir), feed, timed=timed)
+                                  for name, feed in FEEDS.items()), folder)
+    return topics.read_topic_files_batch(spark, folder)
 
 
 @query
 def topic_tail(spark, sf_dir):
-    """The first records of each stored topic, chosen by place before any is decoded."""
-    first = topics.tail(_stored_topics(spark, sf_dir), 3, [F.col(c) for c in topics.ARRIVAL])
+    """The earliest records of each stored topic, chosen by the time they were sent at before any is decoded."""
+    stored = _stored_topics(spark, sf_dir, timed=True)
+    order = [F.col("sent_at").asc_nulls_last(), F.col("key"), F.col("value")]
+    first = topics.tail([stored.filter(F.col("topic") == name) for name in FEEDS], 3, order)
     return first.select("topic", "key", F.get_json_object("value", "$.event_timestamp").alias("event_timestamp"))
 
 
 @query
 def topic_counts(spark, sf_dir):
-    return topics.topic_counts(union_all(_stored_topics(spark, sf_dir)))
+    """Records of each topic as they are sent; `topic_places` counts stored ones."""
+    return topics.topic_counts(union_all(records_of(spark, sf_dir, name) for name in FEEDS))
+
+
+@query
+def topic_places(spark, sf_dir):
+    """Records of each stored topic, and whether the places that their writers gave them are without gaps and repeats."""
+    return topics.topic_places(_stored_topics(spark, sf_dir))
 
 
 @query
@@ -558,14 +564,23 @@ def _slots(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _stream_in_steps(spark: SparkSession, table: runs.StreamTable, steps: list[DataFrame]) -> DataFrame:
+def _run_step(spark: SparkSession, table: runs.StreamTable, folder: str, step: DataFrame | None, delay: str = DELAY,
+              drop_repeats: bool = False) -> None:
+    """Write a step's records to the topic, and run the stream over what it has not finished."""
+    if step is not None:
+        topics.write_topic_files(step, f"{folder}/topic")
+    with runs.state_partitions(spark, _slots(spark)):
+        started = runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), table, folder, delay, True,
+                                   drop_repeats)
+    runs.run_once(started)
+
+
+def _stream_in_steps(spark: SparkSession, table: runs.StreamTable, steps: list[DataFrame], delay: str = DELAY,
+                     drop_repeats: bool = False) -> DataFrame:
     """Write each step's records to the topic, and run the stream over them before the next step comes."""
     folder = working_folder(spark, f"stream-{table.name}")
     for step in steps:
-        topics.write_topic_files(step, f"{folder}/topic")
-        with runs.state_partitions(spark, _slots(spark)):
-            started = runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), table, folder, DELAY, True)
-        runs.run_once(started)
+        _run_step(spark, table, folder, step, delay, drop_repeats)
     return spark.read.parquet(f"{folder}/streaming/{table.name}")
 
 
@@ -616,6 +631,41 @@ def stream_late(spark, sf_dir):
         topics.topic_records(step, RIDES) for step in (first, second, third.unionByName(late))])
 
 
+@query
+def stream_crash_restart(spark, sf_dir):
+    """A stream that twice dies within a batch and starts again: after its files were listed, and after they were
+    written only. Files of a lost batch are written once more, and each ride still counts once."""
+    table = runs.STREAM_TABLES["ride_windows"]
+    folder = working_folder(spark, "stream-crash")
+    first, second, third = (topics.topic_records(step, RIDES) for step in _by_day(feeds.ride_events(spark, sf_dir)))
+    paths = f"{folder}/streaming/{table.name}", f"{folder}/checkpoints/{table.name}"
+    _run_step(spark, table, folder, first)
+    _run_step(spark, table, folder, second)
+    faults.unfinish(spark, *paths, faults.LOGGED)
+    _run_step(spark, table, folder, third)
+    faults.unfinish(spark, *paths, faults.WRITTEN)
+    _run_step(spark, table, folder, None)
+    return spark.read.parquet(paths[0])
+
+
+LONG_DELAY = "2 days"
+
+
+@query
+def stream_redelivered(spark, sf_dir):
+    """Rides of which each step brings the last two days of the step before once more, and the last step all that were ever
+    sent. What is still remembered is dropped as a repeat, what is not is too late."""
+    first, second, third = _by_day(feeds.ride_events(spark, sf_dir))
+
+    def again(step: DataFrame) -> DataFrame:
+        since = shift_seconds(step.select(F.max("event_timestamp")).scalar(), F.lit(-2 * 86_400))
+        return step.filter(F.col("event_timestamp") > since)
+
+    steps = [first, union_all([second, again(first)]), union_all([third, first, second])]
+    return _stream_in_steps(spark, runs.STREAM_TABLES["ride_windows"],
+                            [topics.topic_records(step, RIDES) for step in steps], LONG_DELAY, drop_repeats=True)
+
+
 def _all_streams(spark: SparkSession, sf_dir: str) -> str:
     """Run all four topics side by side, and return the folder of their tables."""
     folder = working_folder(spark, "stream-all")

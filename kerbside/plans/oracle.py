@@ -220,11 +220,11 @@ def counted(tables: dict[str, str], extra: str = "") -> str:
         f"SELECT '{name}' AS \"table\", count(*) AS n_rows{extra} FROM {source}" for name, source in tables.items())
 
 
-def closed(table: str) -> str:
-    """Rows of a window table whose window ended ten minutes before the last event."""
+def closed(table: str, delay: str = "10 minutes") -> str:
+    """Rows of a window table whose window ended some time before the last event."""
     length = "1 minute" if table == "driver_availability" else "5 minutes"
     return (f"SELECT * FROM {table} WHERE window_start + INTERVAL '{length}' <= "
-            f"(SELECT max(event_timestamp) FROM {STREAMS[table]}) - INTERVAL '10 minutes'")
+            f"(SELECT max(event_timestamp) FROM {STREAMS[table]}) - INTERVAL '{delay}'")
 
 
 def records(feed: str) -> str:
@@ -328,6 +328,8 @@ BODIES = {
                       f"SELECT topic, key, value, {text_of('event_timestamp')} AS event_time FROM ({records(f)}) r"
                       for f in KEYS) + ") a) t WHERE rn <= 3",
     "topic_counts": "\nUNION ALL ".join(f"SELECT '{f}' AS topic, count(*) AS n_records FROM {f}" for f in KEYS),
+    "topic_places": "\nUNION ALL ".join(
+        f"SELECT '{f}' AS topic, count(*) AS n_records, count(*) AS n_by_place, true AS whole FROM {f}" for f in KEYS),
     "topic_limit": f"SELECT topic, key, value FROM ({records('payment_events')}) r ORDER BY key, value LIMIT 500",
     "fare_quote": "SELECT ride_id, event_timestamp, " + rounded(
         "(2.5 + 1.25 * distance_miles + 0.25 * (distance_miles / 15 * 60)) * surge_multiplier", 2)
@@ -454,6 +456,8 @@ BODIES = {
     "stream_ride_monitor": "SELECT * FROM ride_monitor",
     "stream_restart": closed("ride_windows"),
     "stream_late": closed("ride_windows"),
+    "stream_crash_restart": closed("ride_windows"),
+    "stream_redelivered": closed("ride_windows", "2 days"),
     "stream_all": counted({t: f"({closed(t)}) c" for t in STREAMS}),
 }
 

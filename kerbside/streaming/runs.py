@@ -52,10 +52,11 @@ def state_partitions(spark: SparkSession, n: int) -> AbstractContextManager:
 def decode_stream(records: DataFrame, feed: Feed, delay: str = DELAY, drop_repeats: bool = False) -> DataFrame:
     """Decoded records of a stream, which waits `delay` for late ones.
 
-    With `drop_repeats` records that are delivered again within the delay are dropped.
+    With `drop_repeats` records that are delivered again within the delay are dropped: those of one id and one time of
+    event. A later event of the same id is a record of its own. An id and time are kept until the delay has passed.
     """
     rows = decode(records, feed).withWatermark("event_ts", delay)
-    return rows.dropDuplicatesWithinWatermark([feed.key]) if drop_repeats else rows
+    return rows.dropDuplicatesWithinWatermark([feed.key, "event_ts"]) if drop_repeats else rows
 
 
 def start_table(records: DataFrame, table: StreamTable, warehouse: str, delay: str = DELAY,

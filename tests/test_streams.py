@@ -9,7 +9,7 @@ import rows
 from kerbside.schemas import CANCELLATIONS, LOCATIONS, PAYMENTS, RIDES
 from kerbside.sources import topics
 from kerbside.sources.files import path_exists
-from kerbside.streaming import runs, windows
+from kerbside.streaming import faults, runs, windows
 
 PINGS = runs.STREAM_TABLES["driver_availability"]
 
@@ -199,3 +199,87 @@ def test_payment_rates(spark):
              for r in windows.payment_rates(df).collect()}
     assert found == {"card": (3, 2 / 3, 1 / 3), "cash": (1, 0.0, 0.0)}
     assert PAYMENTS.name in {t.feed.name for t in runs.STREAM_TABLES.values()}
+
+
+def crash(spark, folder, point, table=PINGS):
+    return faults.unfinish(spark, f"{folder}/streaming/{table.name}", f"{folder}/checkpoints/{table.name}", point)
+
+
+@pytest.mark.parametrize("point", [faults.LOGGED, faults.WRITTEN])
+def test_a_lost_batch_counts_once(spark, folder, point):
+    """The files of a batch that was not finished lie in the folder, and its windows come once all the same."""
+    steps = ping_at(spark, "10:00:10", "10:20:00"), ping_at(spark, "10:20:30", "10:40:00"), ping_at(spark, "11:00:00")
+    run(spark, folder, *steps[:2])
+    whole = {"10:00": 1, "10:20": 2}
+    assert stored(spark, folder) == whole
+    lost = crash(spark, folder, point)
+    again = run(spark, folder, steps[2])
+    assert min(p["batchId"] for p in again[0]) == lost
+    assert stored(spark, folder) == whole | {"10:40": 1}
+    rows_found = spark.read.parquet(f"{folder}/streaming/{PINGS.name}/*.parquet").count()
+    assert rows_found == (3 if point == faults.LOGGED else 4)   # the second batch's file is there twice, listed once
+
+
+def test_a_failed_task_leaves_nothing_to_readers(spark, folder):
+    """One task of a batch fails; the restarted stream, without the fault, takes the same records again."""
+    run(spark, folder, ping_at(spark, "10:00:10", "10:20:00"))
+    topics.write_topic_files(ping_at(spark, "10:30:00", "10:50:00"), f"{folder}/topic")
+    source = topics.read_topic_files(spark, f"{folder}/topic")
+    bad = source.withColumn("value", F.when(F.col("value").contains("10:50"), F.raise_error(F.lit("lost"))).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="lost"):
+        runs.run_once(runs.start_table(bad, PINGS, folder, "10 minutes", once=True))
+    assert stored(spark, folder) == {"10:00": 1}
+    run(spark, folder, ping_at(spark, "11:30:00"))
+    assert stored(spark, folder) == {"10:00": 1, "10:20": 1, "10:30": 1, "10:50": 1}
+
+
+def test_only_known_points(spark, folder):
+    run(spark, folder, ping_at(spark, "10:00:10"))
+    with pytest.raises(ValueError, match="point"):
+        crash(spark, folder, "elsewhere")
+
+
+def test_redelivered_records_over_batches(spark, folder):
+    """Records come again in later batches: while they are remembered they are dropped, later they are too late."""
+    first, second = ping_at(spark, "10:00:10", "10:05:00"), ping_at(spark, "10:06:00", "10:08:00", city="Boston")
+    reports = []
+    for step in (first, second.unionByName(first), ping_at(spark, "10:40:00", city="Austin").unionByName(first),
+                 ping_at(spark, "11:00:00", city="Seattle").unionByName(first).unionByName(second)):
+        topics.write_topic_files(step, f"{folder}/topic")
+        query = runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), PINGS, folder, "10 minutes", once=True,
+                                 drop_repeats=True)
+        runs.run_once(query)
+        reports.append(query.recentProgress)
+    assert stored(spark, folder) == {"10:00": 1, "10:05": 1, "10:06": 1, "10:08": 1, "10:40": 1}
+    kept = [[op["numRowsTotal"] for op in p[-1]["stateOperators"] if "dedupe" in op["operatorName"].lower()] for p in reports]
+    assert kept == [[2], [4], [1], [1]]     # only what the delay still covers
+
+
+def test_a_later_event_of_an_id_is_no_repeat(spark, folder):
+    twice = rows.pings(spark, {}, {"event_timestamp": "2024-01-07 10:16:00"}, {}, {"event_timestamp": "2024-01-07 10:50:00"})
+    topics.write_topic_files(topics.topic_records(twice, LOCATIONS), f"{folder}/topic")
+    runs.run_once(runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), PINGS, folder, "10 minutes", once=True,
+                                   drop_repeats=True))
+    assert stored(spark, folder) == {"10:15": 1, "10:16": 1}
+
+
+def test_places_are_without_gaps(spark, folder):
+    """Each writing task numbers its records; a second write begins anew, and a file that is seen twice shows."""
+    pings = ping_at(spark, *[f"10:{m:02d}:00" for m in range(40)]).repartition(3)
+    rides = topics.topic_records(rows.rides(spark, {}, {"ride_id": "r2"}), RIDES, timed=True)
+    topics.write_topics(pings.withColumn("sent_at", F.lit(None).cast("timestamp")).unionByName(rides), folder)
+    topics.write_topics(rides, folder)
+    stored_records = topics.read_topic_files_batch(spark, folder)
+    found = {r["topic"]: (r["n_records"], r["n_by_place"], r["whole"]) for r in topics.topic_places(stored_records).collect()}
+    assert found == {LOCATIONS.name: (40, 40, True), RIDES.name: (4, 4, True)}
+    twice = topics.topic_places(stored_records.unionByName(stored_records.filter("offset = 1"))).collect()
+    assert not {r["topic"]: r["whole"] for r in twice}[LOCATIONS.name]
+    assert str(stored_records.filter(F.col("topic") == RIDES.name).first()["sent_at"]) == "2024-01-07 10:15:00"
+
+
+def test_counting_and_tail_do_not_sort_or_parse(spark, sf_dir):
+    from kerbside.plans.catalogue import QUERIES
+    counts, tail = (QUERIES[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString() for n in ("topic_counts", "topic_tail"))
+    for plan in (counts, tail):
+        assert "rangepartitioning" not in plan and "Sort [" not in plan
+    assert "json" not in counts and "TakeOrderedAndProject" in tail
