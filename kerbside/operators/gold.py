@@ -16,8 +16,8 @@ def _surge_rides() -> Column:
     return F.sum(F.col("is_surge").cast("int"))
 
 
-def daily_ride_metrics(rides: DataFrame) -> DataFrame:
-    return rides.groupBy("event_date", "city", "ride_status").agg(
+def _ride_measures() -> list[Column]:
+    return [
         F.count("ride_id").alias("total_rides"),
         exact_sum("fare_amount").alias("total_revenue"),
         exact_mean("fare_amount").alias("avg_fare"),
@@ -25,30 +25,76 @@ def daily_ride_metrics(rides: DataFrame) -> DataFrame:
         exact_mean("duration_minutes").alias("avg_duration_minutes"),
         exact_mean("surge_multiplier").alias("avg_surge_multiplier"),
         _surge_rides().alias("surge_rides"),
-    )
+    ]
+
+
+def _trip_measures(prefix: str = "") -> list[Column]:
+    return [
+        F.count(f"{prefix}ride_id").alias("completed_trips"),
+        exact_sum(f"{prefix}fare_amount").alias("total_earnings"),
+        exact_mean(f"{prefix}fare_amount").alias("avg_fare_per_trip"),
+        exact_sum(f"{prefix}distance_miles").alias("total_distance_miles"),
+        exact_sum(f"{prefix}duration_minutes").alias("total_duration_minutes"),
+    ]
+
+
+def _active_hours(per_day: DataFrame) -> DataFrame:
+    return per_day.withColumn("active_hours", F.round(F.col("total_duration_minutes") / 60, 2))
+
+
+def _surge_rate(cells: DataFrame) -> DataFrame:
+    return cells.withColumn(
+        "surge_rate_pct", F.round(percent(F.col("surge_count"), F.col("total_requests")), 2))
+
+
+def daily_ride_metrics(rides: DataFrame) -> DataFrame:
+    return rides.groupBy("event_date", "city", "ride_status").agg(*_ride_measures())
 
 
 def driver_utilization(rides: DataFrame) -> DataFrame:
     completed = rides.filter(F.col("ride_status") == "completed")
-    per_day = completed.groupBy("event_date", "driver_id").agg(
-        F.count("ride_id").alias("completed_trips"),
-        exact_sum("fare_amount").alias("total_earnings"),
-        exact_mean("fare_amount").alias("avg_fare_per_trip"),
-        exact_sum("distance_miles").alias("total_distance_miles"),
-        exact_sum("duration_minutes").alias("total_duration_minutes"),
-    )
-    return per_day.withColumn("active_hours", F.round(F.col("total_duration_minutes") / 60, 2))
+    return _active_hours(completed.groupBy("event_date", "driver_id").agg(*_trip_measures()))
 
 
 def city_demand_heatmap(rides: DataFrame) -> DataFrame:
-    cells = rides.groupBy("city", "trip_day_of_week", "trip_hour").agg(
+    return _surge_rate(rides.groupBy("city", "trip_day_of_week", "trip_hour").agg(
         F.count("ride_id").alias("total_requests"),
         exact_mean("surge_multiplier").alias("avg_surge"),
         _surge_rides().alias("surge_count"),
         exact_mean("fare_amount").alias("avg_fare"),
-    )
-    return cells.withColumn(
-        "surge_rate_pct", F.round(percent(F.col("surge_count"), F.col("total_requests")), 2))
+    ))
+
+
+def ride_reports(rides: DataFrame) -> DataFrame:
+    """The groups of all three ride reports from one pass over the rides, each with the `report` that it is of.
+
+    Grouping sets feed every ride to the three groups that it is in, and tasks add these up before the one shuffle.
+    Completed trips are added up apart, so that drivers' groups hold nothing else. `ride_report` takes one report out.
+    """
+    completed = F.col("ride_status") == "completed"
+    measured = ("ride_id", "fare_amount", "distance_miles", "duration_minutes")
+    rides = rides.withColumns({f"_trip_{c}": F.when(completed, F.col(c)) for c in measured})
+    keys = [F.col(c) for c in ("event_date", "city", "ride_status", "driver_id", "trip_day_of_week", "trip_hour")]
+    date, city, status, driver, day, hour = keys
+    # For each report, the bits of the keys above that it is not grouped by.
+    report = F.when(F.grouping_id() == 0b000111, "daily_ride_metrics").when(F.grouping_id() == 0b011011, "driver_utilization")
+    groups = rides.groupingSets([[date, city, status], [date, driver], [city, day, hour]], *keys)
+    return groups.agg(report.otherwise("city_demand_heatmap").alias("report"), *_ride_measures(), *_trip_measures("_trip_"))
+
+
+def ride_report(reports: DataFrame, table: str) -> DataFrame:
+    """One of the tables in `ride_reports`, as its own function gives it."""
+    found = reports.filter(F.col("report") == table)
+    if table == "daily_ride_metrics":
+        return found.select("event_date", "city", "ride_status", "total_rides", "total_revenue", "avg_fare",
+                            "avg_distance_miles", "avg_duration_minutes", "avg_surge_multiplier", "surge_rides")
+    if table == "driver_utilization":
+        return _active_hours(found.filter(F.col("completed_trips") > 0).select(
+            "event_date", "driver_id", "completed_trips", "total_earnings", "avg_fare_per_trip", "total_distance_miles",
+            "total_duration_minutes"))
+    return _surge_rate(found.select(
+        "city", "trip_day_of_week", "trip_hour", F.col("total_rides").alias("total_requests"),
+        F.col("avg_surge_multiplier").alias("avg_surge"), F.col("surge_rides").alias("surge_count"), "avg_fare"))
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:

@@ -148,6 +148,12 @@ def layer_counts(spark, sf_dir):
     return wh.run_layers(spark, f"{folder}/input", f"{folder}/warehouse")
 
 
+@query
+def ride_reports(spark, sf_dir):
+    """The groups of the three ride reports, out of one pass over the cleaned rides."""
+    return gold.ride_reports(rides_of(spark, sf_dir))
+
+
 @query
 def dedup_latest(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

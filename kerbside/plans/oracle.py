@@ -290,6 +290,20 @@ BODIES = {
     "silver_payments": "SELECT * FROM payments",
     "silver_cancellations": "SELECT * FROM cancellations",
     "gold_daily_ride_metrics": "SELECT * FROM daily_ride_metrics",
+    "ride_reports": f"""
+    SELECT event_date, city, ride_status, driver_id, trip_day_of_week, trip_hour,
+      CASE WHEN GROUPING(trip_hour) = 0 THEN 'city_demand_heatmap' WHEN GROUPING(driver_id) = 0 THEN 'driver_utilization'
+        ELSE 'daily_ride_metrics' END AS report,
+      count(ride_id) AS total_rides, {total('fare_amount')} AS total_revenue, {mean('fare_amount')} AS avg_fare,
+      {mean('distance_miles')} AS avg_distance_miles, {mean('duration_minutes')} AS avg_duration_minutes,
+      {mean('surge_multiplier')} AS avg_surge_multiplier, CAST(sum(CAST(is_surge AS INT)) AS BIGINT) AS surge_rides,
+      count(trip) AS completed_trips, {total('fare')} AS total_earnings, {mean('fare')} AS avg_fare_per_trip,
+      {total('miles')} AS total_distance_miles, {total('minutes')} AS total_duration_minutes
+    FROM (SELECT *, CASE WHEN ride_status = 'completed' THEN ride_id END AS trip,
+        CASE WHEN ride_status = 'completed' THEN fare_amount END AS fare,
+        CASE WHEN ride_status = 'completed' THEN distance_miles END AS miles,
+        CASE WHEN ride_status = 'completed' THEN duration_minutes END AS minutes FROM rides) r
+    GROUP BY GROUPING SETS ((event_date, city, ride_status), (event_date, driver_id), (city, trip_day_of_week, trip_hour))""",
     "gold_driver_utilization": "SELECT * FROM driver_utilization",
     "gold_city_demand": "SELECT * FROM city_demand",
     "gold_payment_summary": "SELECT * FROM payment_summary",

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.changes import compare_open_rides, delete_audit, open_ride_updates
-from kerbside.operators.gold import GOLD, in_stored_order
+from kerbside.operators.gold import GOLD, in_stored_order, ride_report, ride_reports
 from kerbside.operators.layers import SILVER, to_bronze
-from kerbside.schemas import FEEDS
-from kerbside.session import sized_for
+from kerbside.schemas import FEEDS, RIDES
+from kerbside.session import sized_for, working_folder
 from kerbside.sources.files import path_exists, read_csv, scan, write_table
 from kerbside.sources.keyed import KeyedTable
 
@@ -37,10 +37,18 @@ def run_silver(spark: SparkSession, warehouse: str) -> Counts:
 
 
 def run_gold(spark: SparkSession, warehouse: str) -> Counts:
-    """Cleaned tables to report tables, each stored in its reading order."""
+    """Cleaned tables to report tables, each stored in its reading order.
+
+    The groups of all ride reports come from one pass over the cleaned rides; they are stored as a step, as each report is
+    sorted on its own.
+    """
     with sized_for(spark, f"{warehouse}/silver"):
+        step = working_folder(spark, "ride-reports")
+        write_table(ride_reports(scan(spark, f"{warehouse}/silver/{RIDES.name}")), step)
+        rides = scan(spark, step)
         return [("gold", name, write_table(
-                    in_stored_order(build(scan(spark, f"{warehouse}/silver/{feed}")), name),
+                    in_stored_order(ride_report(rides, name) if feed == RIDES.name
+                                    else build(scan(spark, f"{warehouse}/silver/{feed}")), name),
                     f"{warehouse}/gold/{name}"))
                 for name, (feed, build) in GOLD.items()]
 

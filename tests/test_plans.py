@@ -56,6 +56,22 @@ def test_reports_combine_before_the_shuffle(spark, stored):
     assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and text.count("Exchange") == 1
 
 
+def test_ride_reports_read_the_rides_once(spark, stored):
+    text = plan(gold.ride_reports(scan(spark, f"{stored}/rides")))
+    assert text.count("Scan parquet") == 1 and text.count("Exchange") == 1 and "pickup_lat" not in text
+
+
+@pytest.mark.parametrize("table", ["daily_ride_metrics", "driver_utilization", "city_demand_heatmap"])
+def test_ride_reports_are_those_of_their_own_queries(spark, stored, table):
+    """To the last bit, groups with null keys and drivers without a completed ride among them."""
+    rides = scan(spark, f"{stored}/rides").withColumn("city", F.when(F.col("city") != "Miami", F.col("city")))
+    rides = rides.unionByName(rides.limit(3).withColumns({"ride_status": F.lit("cancelled"), "driver_id": F.lit("idle")}))
+    both = gold.ride_report(gold.ride_reports(rides), table), gold.GOLD[table][1](rides)
+    found, expected = ([tuple(r) for r in df.collect()] for df in both)
+    assert both[0].dtypes == both[1].dtypes and both[0].columns == both[1].columns
+    assert sorted(found, key=str) == sorted(expected, key=str) and len(found) > 5
+
+
 def test_a_date_range_reads_only_its_folders(spark, stored):
     days = scan(spark, f"{stored}/rides", F.col("event_date") == "2024-01-05")
     assert "PartitionFilters: [isnotnull(event_date" in plan(days)
