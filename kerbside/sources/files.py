@@ -54,6 +54,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on any file system the session knows; nothing happens where there is none."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
+
+
 def scan(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
     """A stored table with its partition columns; a filter on them leaves the other folders unread."""
     df = spark.read.parquet(path)

@@ -1,6 +1,7 @@
 """Updates, deletes, versions and comparisons."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from kerbside.operators.changes import (SchemaMismatch, change_feed, conform, de
                                         open_ride_updates)
 from kerbside.plans import warehouse as wh
 from kerbside.sources.files import path_exists
-from kerbside.sources.keyed import KeyedTable
+from kerbside.sources.keyed import KeyedTable, differing_values
 
 TARGET = [("a", "Miami", 1.0), ("b", "Miami", None), ("c", None, 3.0)]
 
@@ -196,6 +197,115 @@ def test_reload(spark, folder):
         table.overwrite(source(spark, ("n", "Austin", 1.0)).drop("fare"))
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def folder_filters(df):
+    """The conditions on folders of each scan in a plan."""
+    return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(df))
+
+
+def test_untouched_partitions_pass_without_a_join(spark, folder):
+    """The changes name Boston and no city; Miami's folder is read apart, beside the join."""
+    table = table_of(spark, folder)
+    table.merge(source(spark, ("c", "Boston", 30.0)), ["id", "city"], ["fare"])
+    table.delete(F.col("city").isNull())
+    assert sorted(table._state()["touched"], key=str) == ["Boston", None]
+    found = table.read()
+    assert content(found) == {"a": ("Miami", 1.0), "b": ("Miami", 2.0), "c": ("Boston", 30.0)}
+    text = plan(found)
+    assert text.count("Join") == 1 and "Union" in text
+    filters = folder_filters(found)
+    assert sum("Boston" in f and not f.startswith("NOT") for f in filters) == 1     # below the join
+    assert sum("Boston" in f and f.startswith("NOT") for f in filters) == 1         # beside it
+    assert all("Boston" in f for f in filters if f)
+    assert table.read(1).count() == 4
+
+
+def test_a_date_as_partition_value(spark, folder):
+    table = KeyedTable(spark, folder, "id", "day")
+    rows_by_day = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", None)], "id string, day string")
+    table.overwrite(rows_by_day.withColumn("day", F.col("day").cast("date")))
+    table.delete(F.col("id") == "b")
+    assert table._state()["touched"] == ["2024-01-02"]
+    assert {r["id"] for r in table.read().collect()} == {"a", "c"}
+
+
+def test_a_reload_is_compared_by_partition_first(spark, folder):
+    """Only Boston differs and Austin is new, so Miami's rows take no part in the comparison."""
+    table = table_of(spark, folder)
+    table.overwrite(source(spark, ("b", "Miami", 2.0), ("a", "Miami", 1.0), ("c", "Boston", 4.0), ("d", None, 4.0), ("n", "Austin", 1.0)))
+    changes = table.changes(0, columns=["fare"])
+    assert {tuple(r) for r in changes.collect()} == {("c", "update", 3.0, 4.0), ("n", "insert", None, 1.0)}
+    assert sorted(differing_values(table.read(0), table.read(1), "city")) == ["Austin", "Boston"]
+    filters = folder_filters(changes)
+    assert len(filters) == 2 and all("Boston" in f and "Austin" in f and "Miami" not in f for f in filters)
+    table.overwrite(table.read())
+    assert table.changes(1).collect() == []
+
+
+def test_a_row_that_moves_between_partitions(spark, folder):
+    table = table_of(spark, folder)
+    table.overwrite(source(spark, ("a", "Boston", 1.0), ("b", "Miami", 2.0), ("c", "Boston", 3.0), ("d", "Austin", 4.0)))
+    changes = table.changes(0, columns=["city"]).collect()
+    assert {tuple(r) for r in changes} == {("a", "update", "Miami", "Boston"), ("d", "update", None, "Austin")}
+
+
+def test_many_changes_leave_few_folders(spark, folder, monkeypatch):
+    """With folds of three: every version of many stays readable, from a short list of folders and few files."""
+    from kerbside.sources import keyed
+    monkeypatch.setattr(keyed, "FOLD", 3)
+    table = table_of(spark, folder)
+    wanted = [content(table.read())]
+    for n in range(1, 14):
+        table.merge(source(spark, ("b" if n % 2 else "c", "Miami" if n % 2 else "Boston", float(n))), ["id", "city"], ["fare"])
+        now = dict(wanted[-1])
+        key = "b" if n % 2 else "c"
+        wanted.append(now | {key: (now[key][0], float(n))})
+        assert len(table._state()["folders"]) <= 2 * 3
+    assert [content(table.read(v)) for v in range(14)] == wanted
+    assert table._state()["folders"] == ["level=2,version=9", "level=1,version=12", "version=13"]
+    assert [r["version"] for r in table.history().collect()] == list(range(13, -1, -1))
+    changed = {r["id"]: (r["old_fare"], r["new_fare"]) for r in table.changes(4, 11, ["fare"]).collect()}
+    assert changed == {"b": (3.0, 11.0), "c": (4.0, 10.0)}
+    folders = {f.split("/changes/")[1].split("/")[0] for f in table.read().inputFiles() if "/changes/" in f}
+    assert len(folders) == 3
+    left = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/changes")
+    assert len({r["path"].split("/changes/")[1].split("/")[0] for r in left.select("path").collect()}) <= 3 + 3
+    generations = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/history")
+    assert len(generations.select("path").collect()) <= 2 * 3
+    assert table.overwrite(table.read()) == 14 and content(table.read()) == wanted[-1]
+    assert content(table.read(7)) == wanted[7]
+
+
+def test_a_fold_that_was_not_finished(spark, folder, monkeypatch):
+    """Files of a fold and of a generation without a history row are not read, and the next change replaces them."""
+    from kerbside.sources import keyed
+    monkeypatch.setattr(keyed, "FOLD", 2)
+    table = table_of(spark, folder)
+    table.delete(F.col("id") == "a")
+    wrong = table.read(0).limit(1)
+    wrong.write.parquet(f"{folder}/changes/level=1,version=2")
+    wrong.write.parquet(f"{folder}/changes/version=2")
+    spark.range(1).write.parquet(f"{folder}/history/generation=1/_temporary/0")
+    assert set(content(table.read())) == {"b", "c", "d"}
+    table.delete(F.col("id") == "c")
+    assert set(content(table.read())) == {"b", "d"} and set(content(table.read(1))) == {"b", "c", "d"}
+
+
+def test_folds_in_order():
+    from kerbside.sources.keyed import FOLD, folded
+    folders, written = [], {}
+    for version in range(1, 1200):
+        written[f"version={version}"] = [version]
+        folders, replaced = folded([*folders, f"version={version}"], version)
+        if replaced:
+            written[folders[-1]] = [v for f in replaced for v in written[f]]
+        assert [v for f in folders for v in written[f]] == list(range(1, version + 1))
+        assert len(folders) <= 4 * FOLD
+
+
 def test_unknown_versions(spark, folder):
     table = table_of(spark, folder)
     with pytest.raises(ValueError, match="no version 7"):
