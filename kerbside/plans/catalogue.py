@@ -7,6 +7,7 @@ store something write to a new folder below the cluster's shared working folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import AbstractContextManager
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -498,18 +499,18 @@ register("earnings_histogram", _histogram("total_earnings"))
 
 # -- SQL ---------------------------------------------------------------------------------------------
 
-def _register(spark: SparkSession, sf_dir: str, sql: str) -> None:
-    """Register the views that a query names."""
+def _views(spark: SparkSession, sf_dir: str, sql: str) -> AbstractContextManager[None]:
+    """The views that a query names."""
     tables = {feed.keyed_table: silver(spark, sf_dir, name) for name, feed in FEEDS.items()
               if feed.keyed_table in sql}
     tables |= {view: report(spark, sf_dir, name) for view, name in wh.GOLD_VIEWS.items() if view in sql}
-    wh.register_views(tables)
+    return wh.views(spark, tables)
 
 
 def _question(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _register(spark, sf_dir, QUESTIONS[name])
-        return spark.sql(QUESTIONS[name])
+        with _views(spark, sf_dir, QUESTIONS[name]):
+            return spark.sql(QUESTIONS[name])
     return build
 
 
@@ -521,8 +522,8 @@ for _name in QUESTIONS:
 def run_query(spark, sf_dir):
     """A query that gives more rows than are shown."""
     sql = "SELECT driver_id, count(*) AS n FROM rides GROUP BY driver_id ORDER BY n DESC, driver_id"
-    _register(spark, sf_dir, sql)
-    return wh.run_query(spark, sql)
+    with _views(spark, sf_dir, sql):
+        return wh.run_query(spark, sql)
 
 
 # -- windows over stored data ------------------------------------------------------------------------

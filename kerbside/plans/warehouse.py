@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,6 +123,23 @@ def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
     return list(tables)
 
 
+@contextmanager
+def views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
+    """Tables as views for the duration of a block. What is analysed there stays valid; views of the same names that
+    were there before are there again afterwards."""
+    there = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    before = {name: spark.table(name) for name in tables if name in there}
+    register_views(tables)
+    try:
+        yield
+    finally:
+        for name in tables:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
+
+
 def register_warehouse(spark: SparkSession, warehouse: str) -> list[str]:
     """Register the keyed and report tables that exist as views, and return their names."""
     tables = {}

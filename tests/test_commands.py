@@ -1,5 +1,7 @@
 """The command line, end to end, on feed files."""
 
+import os
+
 import pytest
 
 from kerbside.__main__ import main
@@ -11,6 +13,8 @@ from kerbside.schemas import FEEDS
 from kerbside.sources import feeds
 from kerbside.sources.files import write_csv
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture(scope="module")
 def built(spark, sf_dir):
@@ -73,3 +77,25 @@ def test_topics(spark, built, capsys):
 def test_missing_inputs_are_named(spark, built):
     with pytest.raises(MissingData, match="ride_events: missing"):
         main(["layers", "--input-dir", f"{built}/nowhere", "--warehouse-dir", f"{built}/none"])
+
+
+def test_entry_without_the_training_data_operators():
+    """The other queries are served where the folder, or a module that its operators need, is missing."""
+    import subprocess
+    import sys
+    for missing in ("kerbside.llm", "corpus_pipeline", "ahocorasick", "tiktoken"):
+        code = f"""
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r}:
+            raise ModuleNotFoundError(f"No module named {{name}}", name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as entry
+names = set(entry.queries())
+assert "silver_rides" in names and not [n for n in names if n.startswith("op") or n == "pipeline"], names
+"""
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT)
+        assert done.returncode == 0, done.stderr
+    code = code.replace("tiktoken", "kerbside.plans.oracle")
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, cwd=ROOT).returncode != 0

@@ -12,6 +12,7 @@ from kerbside.operators import marts
 from kerbside.operators.dedup import keep_first, keep_latest
 from kerbside.operators.derive import derive_cancellations, derive_payments
 from kerbside.operators.quality import MissingData, check_tables, require
+from kerbside.plans.catalogue import QUERIES
 
 
 def numbers(spark, *values):
@@ -119,3 +120,15 @@ def test_checks(spark):
     assert require({"a": full}) == ["a"]
     with pytest.raises(MissingData, match="c: missing; b: empty"):
         require({"a": full, "b": empty, "c": None})
+
+
+def test_a_question_leaves_views_as_they_were(spark, sf_dir):
+    """A user's view of the same name is there afterwards, and no other view is left."""
+    spark.range(3).createOrReplaceTempView("rides")
+    before = {t.name for t in spark.catalog.listTables()}
+    found = QUERIES["sql_top_revenue_city"](spark, sf_dir)
+    assert found.count() == 1 and spark.table("rides").count() == 3
+    assert {t.name for t in spark.catalog.listTables()} == before
+    spark.catalog.dropTempView("rides")
+    QUERIES["run_query"](spark, sf_dir)
+    assert "rides" not in {t.name for t in spark.catalog.listTables()}
