@@ -64,7 +64,7 @@ def stream(args: argparse.Namespace) -> None:
 
     with runs.state_partitions(spark, args.state_partitions or spark.sparkContext.defaultParallelism):
         runs.run_topics(spark, source, args.warehouse_dir, args.topics, args.runtime, delay=args.delay, once=args.once,
-                        drop_repeats=args.drop_repeats)
+                        drop_repeats=args.drop_repeats, move=args.move)
 
 
 def tail(args: argparse.Namespace) -> None:
@@ -135,7 +135,8 @@ def parser() -> argparse.ArgumentParser:
             ("--once", {"action": "store_true", "help": "stop when all records present are read"}),
             ("--max-per-batch", {"type": int, "default": None, "help": "records (broker) or files (folder) a time"}),
             ("--drop-repeats", {"action": "store_true", "help": "drop records delivered again within the delay"}),
-            ("--delay", {"default": runs.DELAY}), ("--state-partitions", {"type": int, "default": None}))
+            ("--delay", {"default": runs.DELAY}), ("--state-partitions", {"type": int, "default": None}),
+            ("--move", {"action": "store_true", "help": "go on under a new checkpoint, with other state partitions"}))
     command("tail", tail, topic_dir, servers, chosen, ("--limit", {"type": int, "default": 3}))
     command("keyed", keyed, warehouse, ("--table", {"choices": list(TABLES), "default": None}),
             ("--skip-demo", {"action": "store_true"}))

@@ -572,13 +572,14 @@ def _slots(spark: SparkSession) -> int:
 
 
 def _run_step(spark: SparkSession, table: runs.StreamTable, folder: str, step: DataFrame | None, delay: str = DELAY,
-              drop_repeats: bool = False) -> None:
-    """Write a step's records to the topic, and run the stream over what it has not finished."""
+              drop_repeats: bool = False, move_to: int | None = None) -> None:
+    """Write a step's records to the topic, and run the stream over what it has not finished, with more state partitions
+    if it is moved."""
     if step is not None:
         topics.write_topic_files(step, f"{folder}/topic")
-    with runs.state_partitions(spark, _slots(spark)):
+    with runs.state_partitions(spark, move_to or _slots(spark)):
         started = runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), table, folder, delay, True,
-                                   drop_repeats)
+                                   drop_repeats, move_to is not None)
     runs.run_once(started)
 
 
@@ -655,6 +656,18 @@ def stream_crash_restart(spark, sf_dir):
     return spark.read.parquet(paths[0])
 
 
+@query
+def stream_more_partitions(spark, sf_dir):
+    """A stream that goes on with twice as many state partitions after its second step; each ride is counted once."""
+    table = runs.STREAM_TABLES["ride_windows"]
+    folder = working_folder(spark, "stream-moved")
+    first, second, third = (topics.topic_records(step, RIDES) for step in _by_day(feeds.ride_events(spark, sf_dir)))
+    _run_step(spark, table, folder, first)
+    _run_step(spark, table, folder, second)
+    _run_step(spark, table, folder, third, move_to=2 * _slots(spark))
+    return runs.read_table(spark, folder, table)
+
+
 LONG_DELAY = "2 days"
 
 

@@ -471,6 +471,7 @@ BODIES = {
     "stream_restart": closed("ride_windows"),
     "stream_late": closed("ride_windows"),
     "stream_crash_restart": closed("ride_windows"),
+    "stream_more_partitions": closed("ride_windows"),
     "stream_redelivered": closed("ride_windows", "2 days"),
     "stream_all": counted({t: f"({closed(t)}) c" for t in STREAMS}),
 }

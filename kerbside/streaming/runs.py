@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from kerbside.schemas import CANCELLATIONS, FEEDS, LOCATIONS, PAYMENTS, RIDES, Feed
 from kerbside.session import setting, working_folder
+from kerbside.sources.files import path_exists, union_all
 from kerbside.sources.topics import decode
 from kerbside.streaming.windows import (availability_windows, cancellation_windows, payment_rates, payment_windows,
                                         ride_monitor, ride_windows)
@@ -27,16 +28,17 @@ class StreamTable:
     name: str
     feed: Feed
     build: Callable[[DataFrame], DataFrame]
+    minutes: int   # length of its windows
 
 
 # Shares by method, for those who ask for them; a second table of the payments topic.
-RATE_TABLE = StreamTable("payment_success", PAYMENTS, payment_rates)
+RATE_TABLE = StreamTable("payment_success", PAYMENTS, payment_rates, 5)
 
 STREAM_TABLES = {t.name: t for t in (
-    StreamTable("ride_windows", RIDES, ride_windows),
-    StreamTable("driver_availability", LOCATIONS, availability_windows),
-    StreamTable("payment_rates", PAYMENTS, payment_windows),
-    StreamTable("cancellation_breakdown", CANCELLATIONS, cancellation_windows),
+    StreamTable("ride_windows", RIDES, ride_windows, 5),
+    StreamTable("driver_availability", LOCATIONS, availability_windows, 1),
+    StreamTable("payment_rates", PAYMENTS, payment_windows, 5),
+    StreamTable("cancellation_breakdown", CANCELLATIONS, cancellation_windows, 5),
 )}
 
 
@@ -60,15 +62,65 @@ def decode_stream(records: DataFrame, feed: Feed, delay: str = DELAY, drop_repea
 
 
 def start_table(records: DataFrame, table: StreamTable, warehouse: str, delay: str = DELAY,
-                once: bool = False, drop_repeats: bool = False) -> StreamingQuery:
-    """Append closed windows to a Parquet table. A restart goes on where the checkpoint says."""
-    windows = table.build(decode_stream(records, table.feed, delay, drop_repeats))
-    return (windows.writeStream.queryName(table.name).outputMode("append").format("parquet")
-            .option("path", f"{warehouse}/streaming/{table.name}")
-            .option("checkpointLocation", f"{warehouse}/checkpoints/{table.name}")
+                once: bool = False, drop_repeats: bool = False, move: bool = False) -> StreamingQuery:
+    """Append closed windows to a Parquet table. A restart goes on where the checkpoint says.
+
+    The number of state partitions is part of a checkpoint. With `move` a stopped stream goes on under a new one, with as
+    many as the session says now, and a new folder of windows beside the old one (`read_table` reads both). Windows that
+    the old one has written are final; it reads the topic from its beginning once more, but only the records of
+    windows that were still open, by the watermark of the last batch that the old one finished.
+    """
+    spark = records.sparkSession
+    generation = max(0, generations(spark, warehouse, table) - 1) + move
+    rows = decode_stream(records, table.feed, delay, drop_repeats)
+    if generation:
+        written = written_until(spark, _checkpoint(warehouse, table, generation - 1))
+        if written is not None:
+            # The beginning of the first window that ends later.
+            rows = rows.filter(F.col("event_ts") >= F.timestamp_millis(F.lit(written - written % (table.minutes * 60_000))))
+    return (table.build(rows).writeStream.queryName(table.name).outputMode("append").format("parquet")
+            .option("path", _folder(warehouse, table, generation))
+            .option("checkpointLocation", _checkpoint(warehouse, table, generation))
             .trigger(**_trigger(once)).start())
 
 
+def _suffix(generation: int) -> str:
+    return f".{generation}" if generation else ""
+
+
+def _folder(warehouse: str, table: StreamTable, generation: int) -> str:
+    return f"{warehouse}/streaming/{table.name}{_suffix(generation)}"
+
+
+def _checkpoint(warehouse: str, table: StreamTable, generation: int) -> str:
+    return f"{warehouse}/checkpoints/{table.name}{_suffix(generation)}"
+
+
+def generations(spark: SparkSession, warehouse: str, table: StreamTable) -> int:
+    """How many checkpoints a stream has had: none before its first start, one more with each move."""
+    n = 0
+    while path_exists(spark, f"{_checkpoint(warehouse, table, n)}/offsets"):
+        n += 1
+    return n
+
+
+def written_until(spark: SparkSession, checkpoint: str) -> int | None:
+    """Watermark in milliseconds of the last finished batch of a stream, up to which closed windows are written."""
+    done = spark.read.text(f"{checkpoint}/commits").select(F.col("_metadata.file_name").try_cast("long").alias("batch"))
+    last = done.agg(F.max("batch")).first()[0]
+    if last is None:
+        return None
+    lines = spark.read.text(f"{checkpoint}/offsets/{last}")
+    return lines.select(F.max(F.get_json_object("value", "$.batchWatermarkMs").cast("long"))).first()[0]
+
+
+def read_table(spark: SparkSession, warehouse: str, table: StreamTable) -> DataFrame:
+    """The windows that a stream has written under all its checkpoints."""
+    return union_all(spark.read.parquet(_folder(warehouse, table, n))
+                     for n in range(max(1, generations(spark, warehouse, table)))
+                     if n == 0 or path_exists(spark, f"{_folder(warehouse, table, n)}/_spark_metadata"))
+
+
 def start_monitor(records: DataFrame, delay: str = DELAY, once: bool = False, folder: str | None = None,
                   checkpoint: str | None = None) -> StreamingQuery:
     """Show the latest minutes of the ride monitor, or store each of its results below `folder`.
@@ -112,13 +164,13 @@ def run_once(query: StreamingQuery) -> None:
 
 def start_topics(spark: SparkSession, source: Callable[[str], DataFrame], warehouse: str,
                  topics: Iterable[str] | None = None, delay: str = DELAY, monitor: bool = True,
-                 once: bool = False, drop_repeats: bool = False) -> list[StreamingQuery]:
+                 once: bool = False, drop_repeats: bool = False, move: bool = False) -> list[StreamingQuery]:
     """Start the tables (and the monitor) of the chosen topics; `source` gives a topic's records."""
     queries = []
     for topic in topics or FEEDS:
         for table in STREAM_TABLES.values():
             if table.feed.name == topic:
-                queries.append(start_table(source(topic), table, warehouse, delay, once, drop_repeats))
+                queries.append(start_table(source(topic), table, warehouse, delay, once, drop_repeats, move))
         if monitor and topic == RIDES.name:
             queries.append(start_monitor(source(topic), delay, once))
     return queries

@@ -233,6 +233,28 @@ def test_a_failed_task_leaves_nothing_to_readers(spark, folder):
     assert stored(spark, folder) == {"10:00": 1, "10:20": 1, "10:30": 1, "10:50": 1}
 
 
+def test_a_stream_moves_to_more_state_partitions(spark, folder):
+    """Open windows are taken along, written ones are not written again, and restarts stay with the new checkpoint."""
+    first, second, third = (ping_at(spark, "10:00:10", "10:08:30"), ping_at(spark, "10:08:40", "10:20:00", city="Miami"),
+                            ping_at(spark, "10:19:30", "10:20:30", "10:45:00", "10:00:50", city="Austin"))
+    reports = run(spark, folder, first, second)
+    parts = [p["stateOperators"][0]["numShufflePartitions"] for report in reports for p in report if p["stateOperators"]]
+    assert stored(spark, folder) == {"10:00": 1, "10:08": 2}
+    topics.write_topic_files(third, f"{folder}/topic")
+    more = 2 * parts[0]
+    for move in (True, False):
+        with runs.state_partitions(spark, more):
+            query = runs.start_table(topics.read_topic_files(spark, f"{folder}/topic"), PINGS, folder, "10 minutes", once=True,
+                                     move=move)
+        runs.run_once(query)
+        assert all(op["numShufflePartitions"] == more for p in query.recentProgress for op in p["stateOperators"])
+        topics.write_topic_files(ping_at(spark, "11:30:00", city="Boston"), f"{folder}/topic")
+    assert runs.generations(spark, folder, PINGS) == 2
+    found = sorted((str(r["window_start"])[11:16], r["city"], r["driver_count"]) for r in runs.read_table(spark, folder, PINGS).collect())
+    assert found == [("10:00", "Miami", 1), ("10:08", "Miami", 2), ("10:19", "Austin", 1), ("10:20", "Austin", 1),
+                     ("10:20", "Miami", 1), ("10:45", "Austin", 1)]
+
+
 def test_only_known_points(spark, folder):
     run(spark, folder, ping_at(spark, "10:00:10"))
     with pytest.raises(ValueError, match="point"):
