@@ -3,8 +3,9 @@
 The token streams of a task's documents lie end to end. Cuts may fall at document ends (free), at sentence ends
 (`SENTENCE_CUT`) and, inside long stretches without either, at any multiple of `HARD_STEP` tokens (`HARD_CUT`). A
 sequence is the stretch between two cuts, at most `length` tokens; it costs its padding plus the penalty of its last
-cut plus `SEQUENCE`. Padding is `length - n`, or nothing where n is a power of two, since such sequences are batched
-at their own size. The cheapest cuts are found by
+cut plus `SEQUENCE`. Padding is `length - n`, or nothing where n is a power of two of at least `LEAST_POWER`, since such
+sequences are batched at their own size; the last sequence of a block may be any power of two. (Batches of shorter
+sequences cost more than they save, so they are only made of what is left.) The cheapest cuts are found by
 
     best(j) = penalty(j) + min over i of best(i) + padding(pos(j) - pos(i))
 
@@ -12,6 +13,9 @@ in which the minimum over the window pos(j) - pos(i) <= length is kept in a mono
 looked up by position. The stream is cut into blocks of about `BLOCK` tokens, each solved by itself, so a task
 holds one block and one document whatever its input. Nothing is shuffled: a task packs the rows that it scans.
 
+Texts are encoded by a fast encoder, whose pattern fails on runs of white space of more than about a million characters;
+texts with one of more than BLANKS are encoded by the tokenizers library, with the same ids.
+
 Null texts are empty; an empty text still has its end token. Rows that repeat a doc_id are packed once each. An
 empty table gives no rows. Other columns are not read.
 """
@@ -19,6 +23,7 @@ empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +46,9 @@ SENTENCE_CUT, HARD_CUT, SEQUENCE = 1.0, 24.0, 4.0
 HARD_STEP = 128
 LEAST_POWER = 256
 END_ID = 1
+# Characters of white space in a row that the fast encoder is trusted with.
+BLANKS = 50_000
+WHITE_RUN = re.compile(r"\s+")
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
 
@@ -54,7 +62,10 @@ class ByteEncoder:
     def __init__(self, name: str) -> None:
         with open(public_tokenizers.path(name.replace(".json", ".tiktoken")), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        added = Tokenizer.from_file(public_tokenizers.path(name)).get_added_tokens_decoder()
+        self.library = Tokenizer.from_file(public_tokenizers.path(name))
+        self.library.no_truncation()
+        self.library.no_padding()
+        added = self.library.get_added_tokens_decoder()
         self.coder = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={token.content: i for i, token in added.items()})
         self.ends_sentence = np.zeros(max(max(ranks.values()), *added) + 1, bool)
@@ -62,8 +73,25 @@ class ByteEncoder:
             self.ends_sentence[i] = token.rstrip(b" ")[-1:] in (b".", b"!", b"?", b"\n")
 
     def ids(self, text: str) -> np.ndarray:
+        if long_blanks(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.coder.encode_to_numpy(text, allowed_special="all")
 
+    def plain_ids(self, text: str) -> list[int]:
+        """Ids that decode to the text, in which special tokens are ordinary text. Long white space is cut into parts."""
+        runs = long_blanks(text)
+        if not runs:
+            return self.coder.encode_ordinary(text)
+        cuts = [0, *(at for low, high in runs for at in range(low + BLANKS, high, BLANKS)), len(text)]
+        return [i for low, high in zip(cuts, cuts[1:]) for i in self.coder.encode_ordinary(text[low:high])]
+
+
+def long_blanks(text: str) -> list[tuple[int, int]]:
+    """Where a text has more than BLANKS characters of white space in a row."""
+    if len(text) <= BLANKS:
+        return []
+    return [m.span() for m in WHITE_RUN.finditer(text) if m.end() - m.start() > BLANKS]
+
 
 @lru_cache(maxsize=2)
 def byte_encoder(name: str) -> ByteEncoder:
@@ -91,7 +119,6 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, length: int = LENGTH) ->
     spots = [0, *places.tolist()]
     costs = [0.0, *(penalty + (length + SEQUENCE)).tolist()]
     at = dict(zip(spots, range(len(spots)))).get
-    # Sequences below LEAST_POWER tokens are only made of what is left at the end.
     powers = [1 << k for k in range(length.bit_length()) if LEAST_POWER <= 1 << k < length]
     best = [0.0]
     came = [0]
