@@ -1,385 +1,294 @@
-"""Scores of whole texts by mixed word counts, and of new words by partial matching over their bytes.
-
-Contexts do not reach over word borders, so the order of words does not count; the README compares figures of both.
-Everything is learned from the whole training part.
-
-Tokens are words and one end per text. A text's log10 probability is that of its tokens under the best mixture of a few
-kinds of text (KINDS, found by k-means over byte pairs of at most SAMPLE training texts): the sum, over kinds, of the
-kind's share times the product of its tokens' probabilities. A token is predicted by partial matching:
-
-- the longest context is the kind, with the whole token as what follows: count / (all + once + 1), `once` being the
-  number of tokens seen once; a token that the kind has not seen escapes with (once + 1) / (all + once + 1);
-- then its bytes and its end follow each other through a trie of byte contexts, from ORDER symbols (the token's start
-  counts as one) down to none and at last all 257 symbols alike. A context with n symbols seen, q of them different,
-  predicts one with count / (n + q) and escapes with q / (n + q);
-- symbols that a longer context has seen are excluded from shorter ones, and tokens that the kind has seen from what
-  the trie predicts, by its sum over them.
-
-By update exclusion the trie counts each different training token once. All training texts are counted, tokens in
-whole, and every node of the trie stays. Token counts and nodes, which grow with the corpus, are never sent or
-collected: tasks write texts as number lists in blocks of about BLOCK bytes of text, and ask for the counts of a
-block's distinct tokens by a join; answers and texts meet by block, a bounded group. Distinct tokens in turn are dealt
-into parts of about PART symbols, each of which asks for the nodes and contexts of its windows by a join.
-
-The base score adds one to each count, as log10((c + 1) / (N + V + 1)). Null texts are empty: their only token is the
-end. Repeated rows are learned and scored once each, rows without doc_id as those of an unknown fold that is not held
-out. With no training text all symbols are alike. An empty table gives no rows; other columns are not read.
+"""Scores of whole texts by prediction by partial matching over their bytes.
+
+A text is its words (A-Z in lower case) with one blank between them and an end behind them, as symbols: bytes, and the end.
+Each symbol is predicted from the ORDER symbols before it, across word borders; before a text's first symbol stand ORDER
+starts. The trie of byte contexts holds every context of the training texts, of every length down to none:
+
+- a context in which n symbols were counted, q of them different, predicts a symbol counted c times with
+  (2 c - 1) / (2 n) and escapes to the context without its first symbol with q / (2 n);
+- symbols that a longer context has seen are excluded from shorter ones: n and q are those of the symbols left there;
+- a context that was not seen is passed by, and where no context has seen a symbol, those left of all 257 are alike.
+
+The longest contexts count every place in the training texts. By update exclusion a shorter context counts a symbol only
+where the longer one had not seen it, that is once for each different longer context. The score is the log10 probability
+of all symbols of a text: the sum over its places, each decided by the window of its symbol and the ORDER before it.
+
+Nothing that grows with the corpus is collected or broadcast by this module. Tasks write texts (compressed) in blocks of about
+BLOCK bytes with the sorted distinct keys of each block, its windows and tokens, and their training counts. A shuffle adds
+these up; each shorter level of the trie is an aggregate of the one above. The distinct windows of all texts take a join with
+the nodes and one with the contexts of each level, longest first; those that were seen there are done, and few go on. Values
+go back to the blocks that asked for them, in single precision, and each text adds up its own: a
+bounded group, whose size does not follow the corpus. A window's key is its code; a token's is a 63-bit hash, less than 0, so
+among ten billion different tokens a few may be counted together.
+
+The base score adds one to each token's count, as log10((c + 1) / (N + V + 1)); tokens are words and one end. Null texts
+are empty: their only token and symbol is the end. Repeated rows are learned and scored once each, rows without doc_id as
+those of an unknown fold that is not held out. With no training text all symbols are alike. An empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import BATCH_ROWS, checksum, id_checksum, map_arrow, store, texts_of, words_of
-from kerbside.llm.vectors import spherical_k_means
+from kerbside.llm.minhash import WORD_HASHES
 
 FOLD, FOLDS = 2, 7
-KINDS, SAMPLE, PAIRS = 6, 2000, 512
-ORDER = 3
-BLOCK, PART = 1 << 24, 1 << 20
-CHUNK = 20_000
-START = 257  # the start and the end of a token; a byte b is symbol b + 1
-SYMBOLS = 257
+ORDER = 5
 BITS = 9
+START = 257  # before a text, and its end; a byte b is symbol b + 1
+SYMBOLS = 257
+BLOCK = 1 << 25
+# Places of a long text that are looked at together, keys that are held before they are counted, and list sizes.
+STEP, HELD, CHUNK = 1 << 20, 1 << 22, 50_000
+# Bytes of texts that are compressed together.
+PACK = 1 << 20
+PREPARED = "block long, doc_ids array<long>, texts binary, keys array<long>, counts array<int>"
 
 
 def held_out() -> Column:
     return F.coalesce(id_checksum() % FOLDS == FOLD, F.lit(False))
 
 
-# -- the byte trie -----------------------------------------------------------------------------------
-
-def symbols_of(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of tokens, each with its start before and its end behind, and the place of each start."""
-    flat = np.frombuffer(b"".join(tokens), np.uint8)
-    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    starts = np.r_[0, np.cumsum(size + 2)[:-1]].astype(np.int64)
-    out = np.full(len(flat) + 2 * len(tokens), START, np.int64)
-    inside = np.ones(len(out), bool)
-    inside[starts] = False
-    inside[starts + size + 1] = False
-    out[inside] = flat.astype(np.int64) + 1
-    return out, starts
-
-
-def windows(symbols: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each depth from 1 to ORDER + 1: codes of that many symbols, and the places of their last one.
-
-    A window does not reach over its token's start; its last symbol is never a start.
-    """
-    age = np.arange(len(symbols)) - np.repeat(starts, np.diff(np.r_[starts, len(symbols)]))
-    code, found = np.zeros(len(symbols), np.int64), []
-    for depth in range(1, ORDER + 2):
-        back = symbols[:len(symbols) - depth + 1] << (BITS * (depth - 1))
-        code[depth - 1:] += back
-        places = np.flatnonzero(age >= max(1, depth - 1))
-        found.append((code[places], places))
-    return found
-
-
-class Trie:
-    """Log10 probabilities of tokens, from sorted node codes and their counts. A code is a context and one symbol."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray) -> None:
-        self.codes, self.counts = codes, counts
-        self.context = codes >> BITS
-        # Each context's sum and number of symbols; contexts of one depth do not mix, as symbols are not zero.
-        self.contexts, first = np.unique(self.context, return_index=True)
-        self.n = np.add.reduceat(counts, first) if len(codes) else counts
-        self.q = np.diff(np.r_[first, len(codes)])
-        depth = np.zeros(len(self.contexts), np.int64)
+# -- texts as windows --------------------------------------------------------------------------------
+
+def windows(words: list[bytes]) -> Iterator[np.ndarray]:
+    """Codes of each place's window, a symbol and the ORDER before it, BITS for each; at most STEP together."""
+    line = np.frombuffer(b" ".join(words), np.uint8)
+    symbols = np.full(len(line) + ORDER + 1, START, np.int16)
+    symbols[ORDER:-1] = line
+    symbols[ORDER:-1] += 1
+    for at in range(0, len(line) + 1, STEP):
+        part = symbols[at:at + STEP + ORDER].astype(np.int64)
+        codes = part[:len(part) - ORDER].copy()
         for k in range(1, ORDER + 1):
-            depth += self.contexts >> (BITS * (k - 1)) != 0
-        shorter = np.where(depth > 0, self.contexts & ((1 << (BITS * np.maximum(depth - 1, 0))) - 1), 0)
-        # What is left of the shorter context where this one's symbols are excluded.
-        child = np.searchsorted(self.contexts, self.context)
-        in_shorter = self._count((shorter[child] << BITS) | (codes & ((1 << BITS) - 1)))
-        self.excluded = np.add.reduceat(np.where(depth[child] > 0, in_shorter, 0), first) if len(codes) else self.n
-
-    @classmethod
-    def of_rows(cls, rows: pa.Table) -> Trie:
-        """Part of a trie, from rows of `trie_rows` with all windows and contexts that will be asked for."""
-        code, count, n, q, excluded = (rows.column(c).to_numpy() for c in ("code", "count", "n", "q", "excluded"))
-        order = np.argsort(code)
-        nodes, contexts = order[count[order] > 0], order[q[order] > 0]
-        trie = cls.__new__(cls)
-        trie.codes, trie.counts = code[nodes], count[nodes]
-        trie.contexts, trie.n, trie.q, trie.excluded = (x[contexts] for x in (code, n, q, excluded))
-        return trie
-
-    def _find(self, table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Places of keys in a sorted table, -1 where missing."""
-        at = np.searchsorted(table, keys)
-        at[at == len(table)] = 0
-        return np.where(table[at] == keys, at, -1) if len(table) else np.full(len(keys), -1)
-
-    def _count(self, codes: np.ndarray) -> np.ndarray:
-        at = self._find(self.codes, codes)
-        return np.where(at >= 0, self.counts[at], 0) if len(self.codes) else np.zeros(len(codes), np.int64)
-
-    def log10(self, tokens: list[bytes]) -> np.ndarray:
-        """Log10 probability of each token's bytes and end."""
-        if not tokens:
-            return np.zeros(0)
-        symbols, starts = symbols_of(tokens)
-        found = np.zeros(len(symbols))
-        left = np.ones(len(symbols), bool)
-        left[starts] = False
-        # The context that was left last: its place in the table, or -1.
-        last = np.full(len(symbols), -1)
-        for codes, places in windows(symbols, starts)[::-1]:
-            keep = left[places]
-            codes, places = codes[keep], places[keep]
-            at = self._find(self.contexts, codes >> BITS)
-            known = at >= 0
-            codes, places, at = codes[known], places[known], at[known]
-            before = last[places]
-            n = self.n[at] - np.where(before >= 0, self.excluded[before], 0)
-            q = self.q[at] - np.where(before >= 0, self.q[before], 0)
-            count = self._count(codes)
-            seen = count > 0
-            part = np.where(seen, count, q) / np.maximum(n + q, 1)
-            # Where nothing is left of a context, it is passed by without an escape.
-            found[places] += np.where(n + q > 0, np.log10(np.maximum(part, 1e-300)), 0)
-            left[places[seen]] = False
-            last[places] = at
-        rest = np.flatnonzero(left)
-        used = np.where(last[rest] >= 0, self.q[last[rest]], 0) if len(self.q) else np.zeros(len(rest), int)
-        found[rest] -= np.log10(np.maximum(SYMBOLS - used, 1))
-        return np.add.reduceat(found, starts)
-
-
-def count_nodes(tokens: DataFrame) -> DataFrame:
-    """(code, n) of all windows of distinct tokens, a frame with a binary column token."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            symbols, starts = symbols_of(batch.column("token").to_pylist())
-            if len(starts):
-                codes, n = np.unique(np.concatenate([c for c, _ in windows(symbols, starts)]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], ["code", "n"])
-    return map_arrow(tokens.select("token"), run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def trie_rows(nodes: DataFrame) -> DataFrame:
-    """(code, count, n, q, excluded): each code's count as a node, and its sums as a context, 0 where it is none."""
-    def symbols(k: int) -> Column:
-        return F.lit((1 << (BITS * k)) - 1)
-    shorter = F.lit(None).cast("long")
-    for k in range(1, ORDER + 1):  # the node of the same symbol after the context without its first symbol
-        shorter = F.when(F.col("code") > symbols(k), F.col("code").bitwiseAND(symbols(k))).otherwise(shorter)
-    below = nodes.select(F.col("code").alias("shorter"), F.col("n").alias("in_shorter"))
-    context = F.shiftright("code", BITS)
-    contexts = (nodes.withColumn("shorter", shorter).join(below, "shorter", "left").groupBy(context.alias("code"))
-                .agg(F.lit(0).cast("long").alias("count"), F.sum("n").alias("n"), F.count("*").alias("q"),
-                     F.coalesce(F.sum("in_shorter"), F.lit(0).cast("long")).alias("excluded")))
-    zero = [F.lit(0).cast("long").alias(c) for c in ("n", "q", "excluded")]
-    both = contexts.unionAll(nodes.select("code", F.col("n").alias("count"), *zero))
-    return both.groupBy("code").agg(*(F.sum(c).alias(c) for c in ("count", "n", "q", "excluded")))
-
-
-# -- kinds of text -----------------------------------------------------------------------------------
-
-def byte_pairs(text: str) -> np.ndarray:
-    """A unit vector of the square roots of hashed byte-pair counts."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8).astype(np.int64)
-    found = np.sqrt(np.bincount((raw[:-1] * 257 + raw[1:]) % PAIRS, minlength=PAIRS) if len(raw) > 1
-                    else np.zeros(PAIRS))
-    return found / max(np.sqrt(found @ found), 1e-9)
-
-
-def fit_kinds(docs: DataFrame) -> np.ndarray:
-    """Centres of the kinds, from the first SAMPLE training texts by a hash of the id."""
-    train = docs.filter(~held_out()).filter("text is not null and doc_id is not null")
-    ids = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+            codes <<= BITS
+            codes |= part[k:len(part) - ORDER + k]
+        yield codes
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
-                [byte_pairs(t).astype(np.float32).tobytes() for t in texts_of(batch)], pa.binary())], ["doc_id", "x"])
-    # One row of each id, of different ones the smallest text.
-    sample = (train.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-              .groupBy("doc_id").agg(F.min("text").alias("text")))
-    rows = map_arrow(sample, run, "doc_id long, x binary").orderBy("doc_id", "x").collect()
-    x = np.array([np.frombuffer(r.x, np.float32) for r in rows], np.float64).reshape(len(rows), PAIRS)
-    return spherical_k_means(x, min(KINDS, len(x))) if len(x) else np.zeros((1, PAIRS))
 
+def token_keys(words: list[bytes]) -> np.ndarray:
+    """A key below 0 for each token."""
+    hashes = np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
+    return ~(hashes >> np.uint64(1)).astype(np.int64)
 
-# -- texts as number lists ---------------------------------------------------------------------------
 
-COUNTS = [f"c{z}" for z in range(KINDS)]
-PREPARED = ("block long, doc_id long, at binary, times binary, n_tokens long, kind int, first long, "
-            "tokens array<binary>, seen array<array<int>>")
+class _Counted:
+    """Sorted distinct keys and how often training texts have them, 0 for those of other texts alone."""
+
+    def __init__(self) -> None:
+        self.keys, self.n = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, bool]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, train: bool) -> None:
+        self.waiting.append((keys, train))
+        self.size += len(keys)
+        if self.size >= HELD:
+            self.fold()
+
+    def fold(self) -> None:
+        for train in (True, False):
+            parts = [keys for keys, kind in self.waiting if kind is train]
+            if parts:
+                keys, n = np.unique(np.concatenate(parts), return_counts=True)
+                self.keys, place = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+                self.n = np.bincount(place, np.concatenate([self.n, n * train]), len(self.keys)).astype(np.int64)
+        self.waiting, self.size = [], 0
 
 
 class _Block:
-    """Texts whose distinct tokens are numbered together."""
+    """Texts whose distinct windows and tokens are asked for together."""
 
     def __init__(self, number: int) -> None:
         self.number, self.size = number, 0
-        self.place: dict[bytes, int] = {}
-        self.rows: list[tuple] = []
-        self.seen = [[] for _ in range(KINDS)]  # (places, times) of training texts
-
-    def add(self, doc_id: int | None, text: str, kind: int, train: bool) -> None:
-        counted = Counter(words_of(text))
-        counted[b""] = 1  # the end
-        place = self.place
-        at = np.array([place.setdefault(token, len(place)) for token in counted], "<u4")
-        times = np.fromiter(counted.values(), "<u4", len(counted))
-        order = np.argsort(at)
-        at, times = at[order], times[order]
-        if train:
-            self.seen[kind].append((at, times))
-        # Places as steps from one to the next, which are small and so compress well.
-        steps = np.diff(at, prepend=at.dtype.type(0))
-        self.rows.append((self.number, doc_id, steps.tobytes(), times.tobytes(), int(times.sum()),
-                          kind if train else -1, None, None, None))
+        self.ids: list[int | None] = []
+        self.texts: list[str] = []
+        self.held = 0
+        self.counted = _Counted()
+
+    def add(self, doc_id: int | None, text: str, train: bool) -> Iterator[pa.RecordBatch]:
+        words = words_of(text)
+        for codes in windows(words):
+            self.counted.add(codes, train)
+        self.counted.add(token_keys([*words, b""]), train)
+        self.ids.append(doc_id)
+        self.texts.append(text)
+        self.held += len(text) + 64
         self.size += len(text) + 64
+        if self.held >= PACK:
+            yield self.packed()
+
+    def packed(self) -> pa.RecordBatch:
+        raw = pa.array(self.texts, pa.large_string())
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, pa.schema([("text", pa.large_string())]),
+                               options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(pa.record_batch([raw], ["text"]))
+        row = _prepared(self.number, self.ids, sink.getvalue().to_pybytes(), None, None)
+        self.ids, self.texts, self.held = [], [], 0
+        return row
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(),
-                 pa.list_(pa.binary()), pa.list_(pa.list_(pa.int32()))]
-        names = [field.split()[0] for field in PREPARED.split(", ")]
-        counts = np.zeros((len(self.place), KINDS), np.int32)
-        for kind, parts in enumerate(self.seen):
-            if parts:
-                at, times = (np.concatenate(x) for x in zip(*parts))
-                counts[:, kind] = np.bincount(at, times, len(self.place))
-        for low in range(0, len(self.rows), BATCH_ROWS):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*self.rows[low:low + BATCH_ROWS]), types)], names)
-        tokens = list(self.place)
-        for low in range(0, len(tokens), CHUNK):
-            chunk = (self.number, None, None, None, None, None, low, tokens[low:low + CHUNK],
-                     counts[low:low + CHUNK].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(chunk, types)], names)
-
-
-def prepare_texts(docs: DataFrame, kinds: np.ndarray) -> DataFrame:
-    """Texts as numbers of their block's tokens, and the tokens of each block with their training counts by kind."""
+        if self.ids:
+            yield self.packed()
+        self.counted.fold()
+        for low in range(0, len(self.counted.keys), CHUNK):
+            part = slice(low, low + CHUNK)
+            yield _prepared(self.number, None, None, self.counted.keys[part], self.counted.n[part].astype(np.int32))
+
+
+def _prepared(*row) -> pa.RecordBatch:
+    types = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    names = [field.split()[0] for field in PREPARED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(row, types)], names)
+
+
+def unpacked(texts: bytes) -> list[str]:
+    with pa.ipc.open_stream(texts) as rows:
+        return rows.read_all().column("text").to_pylist()
+
+
+def prepare_texts(docs: DataFrame) -> DataFrame:
+    """Packs of texts by block, and the distinct keys of each block with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), texts_of(part)):
-                    train = doc_id is None or checksum(doc_id) % FOLDS != FOLD
-                    block.add(doc_id, text, int((kinds @ byte_pairs(text)).argmax()) if train else 0, train)
+                    yield from block.add(doc_id, text, doc_id is None or checksum(doc_id) % FOLDS != FOLD)
                     if block.size >= BLOCK:
                         yield from block.batches()
                         block = _Block(block.number + 1)
-        if block.rows:
+        if block.size:
             yield from block.batches()
     return map_arrow(docs.select("doc_id", "text"), run, PREPARED)
 
 
-# -- scores ------------------------------------------------------------------------------------------
+# -- the trie ----------------------------------------------------------------------------------------
+
+def _last(symbols: int) -> Column:
+    """The last symbols of a code."""
+    return F.col("code").bitwiseAND(F.lit((1 << (BITS * symbols)) - 1))
+
+
+def count_nodes(counted: DataFrame) -> list[DataFrame]:
+    """(code, n) of the nodes of each level, from no context up to ORDER symbols, from counted windows."""
+    levels = [store(counted.filter("n > 0"), f"ppm-nodes-{ORDER}")]
+    for order in range(ORDER - 1, -1, -1):
+        shorter = levels[0].groupBy(_last(order + 1).alias("code")).agg(F.count("*").alias("n"))
+        levels.insert(0, store(shorter, f"ppm-nodes-{order}"))
+    return levels
+
+
+def contexts(levels: list[DataFrame], order: int) -> DataFrame:
+    """(context, n, q, excluded): the symbols counted in each context, how many different ones, and what these
+    have in the next shorter context, from which they are excluded."""
+    nodes = levels[order].withColumn("context", F.shiftright("code", BITS))
+    if not order:
+        return nodes.groupBy("context").agg(F.sum("n").alias("n"), F.count("*").alias("q"),
+                                            F.lit(0).cast("long").alias("excluded"))
+    shorter = levels[order - 1].select(F.col("code").alias("shorter"), F.col("n").alias("n_shorter"))
+    return (nodes.withColumn("shorter", _last(order)).join(shorter, "shorter").groupBy("context")
+            .agg(F.sum("n").alias("n"), F.count("*").alias("q"), F.sum("n_shorter").alias("excluded")))
+
+
+def spell(codes: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(code, value): the log10 probability of each window's last symbol after the others."""
+    zero = F.lit(0).cast("long")
+    rest = codes.select(F.col("code").alias("window"), F.lit(0.0).alias("value"), zero.alias("ex_n"), zero.alias("ex_q"))
+    done = []
+    for order in range(ORDER, -1, -1):
+        rest = rest.withColumn("code", F.col("window").bitwiseAND(F.lit((1 << (BITS * (order + 1))) - 1)))
+        rest = rest.withColumn("context", F.shiftright("code", BITS))
+        seen = levels[order].withColumnRenamed("n", "c")
+        found = rest.join(seen, "code", "left").join(contexts(levels, order), "context", "left")
+        n, q = F.col("n") - F.col("ex_n"), F.col("q") - F.col("ex_q")
+        part = F.when(F.col("c").isNotNull(), (2 * F.col("c") - 1) / (2 * n)).when(n > 0, q / (2 * n))
+        found = store(found.select(
+            "window", (F.col("value") + F.coalesce(F.log10(part), F.lit(0.0))).alias("value"),
+            F.coalesce("excluded", "ex_n").alias("ex_n"), F.coalesce("q", "ex_q").alias("ex_q"),
+            F.col("c").isNotNull().alias("seen")), f"ppm-order-{order}")
+        done.append(found.filter("seen").select(F.col("window").alias("code"), "value"))
+        rest = found.filter("not seen").drop("seen")
+    left = F.greatest(F.lit(SYMBOLS) - F.col("ex_q"), F.lit(1))
+    result = rest.select(F.col("window").alias("code"), (F.col("value") - F.log10(left)).alias("value"))
+    for each in done:
+        result = result.unionAll(each)
+    return result
 
-def in_parts(tokens: DataFrame) -> DataFrame:
-    """The counted tokens with column `part`, a number that tokens of about PART symbols have in common."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, before = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            sizes = np.cumsum([len(token) + 2 for token in batch.column("token").to_pylist()]) + before
-            if len(sizes):
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + np.r_[before, sizes[:-1]] // PART)],
-                                                 [*batch.schema.names, "part"])
-                before = int(sizes[-1])
-    fields = ", ".join(f"{c} long" for c in tokens.columns[1:])
-    return map_arrow(tokens, run, f"token binary, {fields}, part long")
 
+# -- scores ------------------------------------------------------------------------------------------
 
-def asked_codes(tokens: DataFrame) -> DataFrame:
-    """(part, code) of all windows of a part's tokens and of their contexts."""
+def by_block(answers: DataFrame) -> DataFrame:
+    """(asked_in, keys, values): a task's answers, lists for each block, out of (asked_in, code, value)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = batch.column("part").to_numpy()
-            bounds = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+        def lists(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block, key, value = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in ("asked_in", "code", "value"))
+            order = np.lexsort((key, block))
+            block, key, value = block[order], key[order].astype("<i8"), value[order].astype("<f4")
+            bounds = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
             for low, high in zip(bounds, bounds[1:]):
-                codes = np.concatenate([c for c, _ in windows(*symbols_of(
-                    batch.column("token").slice(low, high - low).to_pylist()))])
-                codes = np.unique(codes)
-                codes = np.union1d(codes, np.unique(codes >> BITS))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), part[low])), pa.array(codes)],
-                                                 ["part", "code"])
-    return map_arrow(tokens.select("part", "token"), run, "part long, code long").distinct()
-
-
-def spell(tokens: DataFrame, rows: DataFrame) -> DataFrame:
-    """The counted tokens of `in_parts` with column `spelled`, the log10 probability by a trie's stored rows."""
-    names = tokens.columns
-
-    def run(asking: pa.Table, found: pa.Table) -> pa.Table:
-        spelled = Trie.of_rows(found).log10(asking.column("token").to_pylist())
-        return asking.drop_columns("part").append_column("spelled", pa.array(spelled))
-    answers = asked_codes(tokens).join(rows, "code")
-    fields = ", ".join(f"{c} long" for c in names if c not in ("token", "part"))
-    return tokens.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        run, f"token binary, {fields}, spelled double")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block[low]]), pa.array([key[low:high].tobytes()], pa.binary()),
+                     pa.array([value[low:high].tobytes()], pa.binary())], ["asked_in", "keys", "values"])
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= HELD:
+                yield from lists(held)
+                held, size = [], 0
+        if size:
+            yield from lists(held)
+    return map_arrow(answers, run, "asked_in long, keys binary, values binary")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
-    kinds = fit_kinds(docs)
-    prepared = store(prepare_texts(docs, kinds), "ppm-texts")
-    asked = (prepared.filter("tokens is not null")
-             .select("block", "first", F.posexplode(F.arrays_zip("tokens", "seen")).alias("k", "each"))
-             .select("block", (F.col("first") + F.col("k")).cast("int").alias("place"),
-                     F.col("each.tokens").alias("token"),
-                     *(F.col("each.seen")[z].alias(c) for z, c in enumerate(COUNTS))))
-    counted = asked.groupBy("token").agg(*(F.sum(c).alias(c) for c in COUNTS))
-    counted = store(in_parts(counted), "ppm-counts")
-    anywhere = sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0]))
-    nodes = store(count_nodes(counted.filter(anywhere > 0)), "ppm-nodes")
-    spelled = store(spell(counted, store(trie_rows(nodes), "ppm-trie")), "ppm-tokens")
-
-    chance = F.pow(F.lit(10.0), "spelled")
-    stats = spelled.agg(
-        F.sum(anywhere).alias("all"), F.sum((anywhere > 0).cast("long")).alias("distinct"),
-        *(F.sum(c).alias(f"n_{c}") for c in COUNTS),
-        *(F.sum((F.col(c) == 1).cast("long")).alias(f"once_{c}") for c in COUNTS),
-        *(F.sum(F.when(F.col(c) > 0, chance)).alias(f"spelled_{c}") for c in COUNTS)).first().asDict()
-    texts_of_kind = dict(prepared.filter("kind >= 0").groupBy("kind").count().collect())
-    total, distinct = stats["all"] or 0, stats["distinct"] or 0
-    n = np.array([stats[f"n_{c}"] or 0 for c in COUNTS], float)
-    once = np.array([stats[f"once_{c}"] or 0 for c in COUNTS], float)
-    used = np.array([stats[f"spelled_{c}"] or 0 for c in COUNTS], float)
-    # Rounding aside, what the trie gives to tokens that a kind has not seen is 1 less what it gives to seen ones.
-    unseen = np.log10((once + 1) / (n + once + 1)) - np.log10(np.maximum(1 - used, 1e-6))
-    shares = np.array([texts_of_kind.get(z, 0) for z in range(KINDS)], float)
-    shares = np.log10((shares + 1) / (shares.sum() + KINDS))
-
-    def score(texts: pd.DataFrame, tokens: pd.DataFrame) -> pd.DataFrame:
-        tokens = tokens.sort_values("place")
-        counts = tokens[COUNTS].to_numpy(np.float64)
-        known = counts.sum(1)
-        plus_one = np.log10(known + 1)
-        by_kind = np.where(counts > 0, np.log10(np.maximum(counts, 1) / (n + once + 1)),
-                           tokens["spelled"].to_numpy()[:, None] + unseen)
-        out = []
-        for doc_id, at, times, n_tokens in zip(texts["doc_id"], texts["at"], texts["times"], texts["n_tokens"]):
-            at, times = np.cumsum(np.frombuffer(at, "<u4")), np.frombuffer(times, "<u4").astype(np.float64)
-            each = shares + times @ by_kind[at]
-            top = each.max()
-            out.append((doc_id, n_tokens, int(times[known[at] > 0].sum()),
-                        float(times @ plus_one[at]) - n_tokens * math.log10(total + distinct + 1),
-                        float(top + np.log10(np.power(10.0, each - top).sum()))))
-        found = pd.DataFrame(out, columns=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-        return found.astype({"doc_id": "Int64"})
-
-    answers = (asked.select(F.col("block").alias("asked_in"), "place", "token").join(spelled, "token")
-               .drop("token"))
-    texts = prepared.filter("tokens is null").select("block", "doc_id", "at", "times", "n_tokens")
-    found = texts.groupBy("block").cogroup(answers.groupBy("asked_in")).applyInPandas(
-        score, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    prepared = store(prepare_texts(docs), "ppm-texts")
+    lists = prepared.filter("keys is not null")
+    counted = (lists.select(F.explode(F.arrays_zip("keys", "counts")).alias("each"))
+               .groupBy(F.col("each.keys").alias("code")).agg(F.sum(F.col("each.counts").cast("long")).alias("n")))
+    counted = store(counted, "ppm-counts")
+    windows_counted, tokens = counted.filter("code >= 0"), counted.filter("code < 0")
+    stats = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    total, distinct = int(stats[0]), int(stats[1])
+    values = spell(windows_counted, count_nodes(windows_counted)).unionAll(
+        tokens.select("code", F.log10(F.col("n") + 1).alias("value")))
+    values = store(values, "ppm-values")
+
+    def score(texts: pa.Table, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+        for row in texts.to_pylist():
+            for doc_id, text in zip(row["doc_ids"], unpacked(row["texts"])):
+                words = words_of(text)
+                own = sum(float(values[np.searchsorted(keys, part)].sum()) for part in windows(words))
+                times = values[np.searchsorted(keys, token_keys([*words, b""]))]
+                base = float(times.sum()) - len(times) * math.log10(total + distinct + 1)
+                yield doc_id, len(times), int(np.count_nonzero(times)), base, own
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        keys, found = (np.concatenate([np.frombuffer(part, kind) for part in answers.column(c).to_pylist()])
+                       for c, kind in (("keys", "<i8"), ("values", "<f4")))
+        order = np.argsort(keys)
+        out = list(score(texts, keys[order], found[order].astype(np.float64)))
+        names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    asked = lists.select(F.col("block").alias("asked_in"), F.explode("keys").alias("code"))
+    answers = by_block(asked.join(values, "code").select("asked_in", "code", "value"))
+    texts = prepared.filter("texts is not null").select("block", "doc_ids", "texts")
+    found = texts.groupBy("block").cogroup(answers.groupBy("asked_in")).applyInArrow(
+        run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return found.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known",
                         F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
