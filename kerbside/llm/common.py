@@ -177,21 +177,6 @@ def components(links: DataFrame, label: str) -> DataFrame:
 
 # -- groups too large for one task -------------------------------------------------------------------
 
-def tiles(members: DataFrame, keys: list[str], spread: str, size: int) -> DataFrame:
-    """Split each group into tiles of about `size` rows and send each tile to every pairing with another one.
-
-    A group of n rows becomes about (n/size)^2/2 bounded groups (keys, tile_a, tile_b), which together hold every
-    pair of its members at least once; `tile` says which tile a row is of. Groups of up to `size` rows stay whole.
-    """
-    sizes = members.groupBy(*keys).agg(F.ceil(F.count("*") / size).cast("int").alias("n_tiles"))
-    placed = members.join(sizes, keys).withColumn(
-        "tile", F.pmod(F.xxhash64(F.col(spread), F.lit(7)), F.col("n_tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1))
-    return (placed.withColumn("other", other)
-            .withColumn("tile_a", F.least("tile", "other")).withColumn("tile_b", F.greatest("tile", "other"))
-            .drop("other", "n_tiles"))
-
-
 # Keys with this share of all rows, or more, are heavy: there are at most so many of them.
 HEAVY = 1000
 
@@ -206,3 +191,21 @@ def meet(rows: DataFrame, nodes: DataFrame, keys: list[str], weight: str, total:
     known = F.broadcast(nodes.filter(heavy))
     light = rows.join(F.broadcast(nodes.filter(heavy).select(*keys)), keys, "left_anti")
     return rows.join(known, keys).unionByName(light.join(nodes.filter(~heavy), keys))
+
+
+def tiles(members: DataFrame, keys: list[str], spread: str, size: int, total: int | None = None) -> DataFrame:
+    """Split each group into tiles of about `size` rows and send each tile to every pairing with another one.
+
+    A group of n rows becomes about (n/size)^2/2 bounded groups (keys, tile_a, tile_b), which together hold every
+    pair of its members at least once; `tile` says which tile a row is of. Groups of up to `size` rows stay whole.
+    With `total`, a bound on all rows, large groups learn their size by broadcast.
+    """
+    sizes = members.groupBy(*keys).agg(F.ceil(F.count("*") / size).cast("int").alias("n_tiles"),
+                                       F.count("*").alias("in_group"))
+    sized = members.join(sizes, keys) if total is None else meet(members, sizes, keys, "in_group", total)
+    placed = sized.drop("in_group").withColumn(
+        "tile", F.pmod(F.xxhash64(F.col(spread), F.lit(7)), F.col("n_tiles")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1))
+    return (placed.withColumn("other", other)
+            .withColumn("tile_a", F.least("tile", "other")).withColumn("tile_b", F.greatest("tile", "other"))
+            .drop("other", "n_tiles"))

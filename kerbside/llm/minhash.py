@@ -4,7 +4,8 @@ A document is the set of its distinct shingles, `width` consecutive words; one o
 without words has an empty set and is linked with nothing. Shingles are named by 64-bit hashes. Two documents are
 linked if |A and B| >= threshold * |A or B|; groups are the connected components of links.
 
-1. Documents with equal sets (by size and two independent sums over the set) are one class, named by its smallest id.
+1. Documents with equal sets (by size and two independent sums over the set) are one class, named by its smallest id
+   and, since an id may come with several texts, by its `mark`, a hash of the size and sums.
 2. A class keeps its SKETCH smallest hashes. Linked classes share at least `required` of them: exactly so where the
    sketch holds the whole set, else but for a chance below RISK for each pair, as each of the SKETCH smallest
    values of the union is shared with a chance of threshold or more. Retained values are ordered from rare to frequent; linked
@@ -13,11 +14,15 @@ linked if |A and B| >= threshold * |A or B|; groups are the connected components
 3. Each list elects as hub its class with the fewest unshared values, and only pairs with a hub are compared: first
    by the estimate from the sketch of the union, then on full sets.
 4. Lists that still hold several components, hub left aside, are compared within: their classes' full sets come
-   together in bounded tiles, and links between classes that are not connected yet come out. So the pairs of a
+   together in bounded tiles, where sizes and, unless they leave most pairs, sketches (of which linked classes share
+   `required` values) decide which pairs are looked at, and links between classes that are not connected yet come out. So the pairs of a
    large group are neither shuffled nor returned, and no link that would join two components is missed.
 
-Rows that repeat a doc_id with the same text count as copies of it. Rows without doc_id get no component of their own
-(component_id is null) and are kept. Ties of hubs go to the smaller id. Null text is empty. Other columns are not read.
+Lists with one in HEAVY of all retained values or more (common.py) meet their hub by broadcast, the others by a join.
+
+Rows that repeat a doc_id with the same text count as copies of it. A doc_id with several texts is one document that has
+them all: what any of them is linked with is in its component; only rows without words stay by themselves, under
+their own id. Rows without doc_id get no component of their own (component_id is null) and are kept. Ties of hubs go to the smaller id. Null text is empty. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import components, map_batches, store, texts_of, tiles, words_of
+from kerbside.llm.common import components, map_batches, meet, store, texts_of, tiles, words_of
 
 SKETCH = 64
 RISK = 1e-9
@@ -42,6 +47,8 @@ TILE = 1024
 FILTER_BITS = 1 << 22
 WORDS = 150_000
 THRESHOLD = 0.8
+SIGNATURE = ["n", "sum_a", "sum_b"]
+CLASS = ["node", "mark"]
 
 _MIX = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -94,15 +101,22 @@ def required(n: Column, threshold: float) -> Column:
     return F.least(F.ceil(n * F.lit(threshold) - 1e-9), F.lit(sure(threshold))).cast("int")
 
 
+def _mark() -> Column:
+    return F.xxhash64("n", "sum_a", "sum_b")
+
+
+def _sums(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and two independent sums of each set."""
+    return [pa.array([len(s) for s in sets], pa.int64()), pa.array([int(s.sum()) for s in sets], pa.int64()),
+            pa.array([int(mix(s.view(np.uint64) * _MIX[3]).view(np.int64).sum()) for s in sets], pa.int64())]
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, sum_a, sum_b, sketch) of every document; the sums name the whole set."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(text, width) for text in texts_of(batch)]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([int(s.sum()) for s in sets], pa.int64()),
-             pa.array([int(mix(s.view(np.uint64) * _MIX[3]).view(np.int64).sum()) for s in sets], pa.int64()),
-             pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))],
+            [batch.column("doc_id"), *_sums(sets), pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))],
             ["doc_id", "n", "sum_a", "sum_b", "sketch"])
     return map_batches(docs.select("doc_id", "text"), work,
                        "doc_id long, n long, sum_a long, sum_b long, sketch array<long>")
@@ -124,7 +138,7 @@ def _filter_bits(ids: DataFrame) -> bytes:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(node, n, shingles as sorted array) of the documents named in `ids`."""
+    """(node, mark, shingles as sorted array) of the classes named in `ids`."""
     bits = _filter_bits(ids)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -132,11 +146,11 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
         at = batch.column("slot").to_numpy()
         batch = batch.filter(pa.array((table[at >> 5] >> (at & 31).astype("<u4") & 1).astype(bool)))
         sets = [shingles(text, width) for text in texts_of(batch)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))],
-                                          ["node", "shingles"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *_sums(sets), pa.array(sets, pa.list_(pa.int64()))],
+                                          ["node", "n", "sum_a", "sum_b", "shingles"])
     some = docs.filter("doc_id is not null").select("doc_id", "text", _slot("doc_id").alias("slot"))
-    return (map_batches(some, work, "node long, shingles array<long>").join(ids, "node", "left_semi")
-            .dropDuplicates(["node"]))
+    found = map_batches(some, work, "node long, n long, sum_a long, sum_b long, shingles array<long>")
+    return (found.select("node", _mark().alias("mark"), "shingles").join(ids, CLASS, "left_semi").dropDuplicates(CLASS))
 
 
 def _linked(common: Column, a: Column, b: Column, threshold: float) -> Column:
@@ -144,6 +158,32 @@ def _linked(common: Column, a: Column, b: Column, threshold: float) -> Column:
     return 100 * common >= round(100 * threshold) * (a + b - common)
 
 
+class _Overlaps:
+    """Sizes of the overlaps of one set with others of a list of sets."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.start = np.r_[0, np.cumsum([len(s) for s in sets])]
+        values, self.place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(values), bool)
+
+    def _of(self, i: int) -> np.ndarray:
+        return self.place[self.start[i]:self.start[i + 1]]
+
+    def all_later(self, i: int) -> np.ndarray:
+        """With every set behind the i-th."""
+        self.mark[self._of(i)] = True
+        low = self.start[i + 1]
+        found = np.add.reduceat(self.mark[self.place[low:]], self.start[i + 1:-1] - low, dtype=np.int64)
+        self.mark[self._of(i)] = False
+        return found
+
+    def some(self, i: int, others: np.ndarray) -> np.ndarray:
+        self.mark[self._of(i)] = True
+        found = np.array([np.count_nonzero(self.mark[self._of(j)]) for j in others], np.int64)
+        self.mark[self._of(i)] = False
+        return found
+
+
 def _compare(lists: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between classes of a tile pair that are in different components; enough of them to connect all
     that are linked."""
@@ -152,23 +192,25 @@ def _compare(lists: DataFrame, threshold: float) -> DataFrame:
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         first = int(rows["tile_a"].iloc[0])
         # The smaller components first: each class of the larger one is only looked at by those of smaller ones.
-        rows = rows.assign(size=rows.groupby("component")["node"].transform("size")).sort_values(["size", "node"])
+        rows = rows.assign(size=rows.groupby("component")["node"].transform("size")).sort_values(["size", *CLASS])
         sets, nodes, tile = rows["shingles"].tolist(), rows["node"].to_numpy(), rows["tile"].to_numpy()
         n = np.array([len(s) for s in sets])
         group = pd.factorize(rows["component"])[0]
-        values, place = np.unique(np.concatenate(sets), return_inverse=True)
-        start = np.r_[0, np.cumsum(n)]
-        same_tile, links = int(rows["tile_b"].iloc[0]) == first, []
-        mark = np.zeros(len(values), bool)
+        whole, short = _Overlaps(sets), _Overlaps([s[:SKETCH] for s in sets])
+        least = np.minimum(np.ceil(n * threshold - 1e-9), sure(threshold))
+        # Where sketches leave many pairs anyway, as among near copies, full sets are compared at once.
+        same_tile, links, few = int(rows["tile_b"].iloc[0]) == first, [], True
         for i in range(len(rows) - 1):
             later = np.arange(i + 1, len(rows))
-            later = later[(group[later] != group[i]) & (same_tile | (tile[later] != tile[i]))]
+            later = later[(group[later] != group[i]) & (same_tile | (tile[later] != tile[i]))
+                          & (100 * np.minimum(n[later], n[i]) >= percent * np.maximum(n[later], n[i]))]
+            if few and len(later):
+                close = later[short.all_later(i)[later - i - 1] >= np.maximum(least[i], least[later])]
+                few = 8 * len(close) <= len(rows)
+                later = close
             if not len(later):
                 continue
-            mark[place[start[i]:start[i + 1]]] = True
-            common = np.add.reduceat(mark[place[start[i + 1]:]], start[i + 1:-1] - start[i + 1], dtype=np.int64)
-            common = common[later - i - 1]
-            mark[place[start[i]:start[i + 1]]] = False
+            common = whole.some(i, later) if few else whole.all_later(i)[later - i - 1]
             for j in later[100 * common >= percent * (n[later] + n[i] - common)]:
                 if group[j] != group[i]:
                     links.append((nodes[i], nodes[j]))
@@ -177,61 +219,78 @@ def _compare(lists: DataFrame, threshold: float) -> DataFrame:
     return lists.groupBy("v", "tile_a", "tile_b").applyInPandas(work, "a long, b long")
 
 
+def _one_id(sketched: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between classes that hold different texts of one doc_id: of each, with the smallest one."""
+    texts = sketched.filter("n > 0 and doc_id is not null")
+    several = (texts.groupBy("doc_id").agg(F.min(_mark()).alias("low"), F.max(_mark()).alias("high"))
+               .filter("low <> high").select("doc_id"))
+    held = (texts.join(several, "doc_id").select("doc_id", *SIGNATURE).distinct()
+            .join(classes.select("node", *SIGNATURE), SIGNATURE).select("doc_id", "node"))
+    smallest = held.groupBy("doc_id").agg(F.min("node").alias("least"))
+    return (held.join(smallest, "doc_id").filter("node <> least")
+            .select(F.col("node").alias("a"), F.col("least").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
-    signature = ["n", "sum_a", "sum_b"]
     sketched = store(sketches(docs, width), "sketches")
-    classes = (sketched.filter("n > 0 and doc_id is not null").groupBy(*signature)
+    classes = (sketched.filter("n > 0 and doc_id is not null").groupBy(*SIGNATURE)
                .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")))
-    classes = store(classes, "classes")
+    classes = store(classes.withColumn("mark", _mark()), "classes")
 
     # The first values of each sketch in order of frequency, among those that several classes retain.
-    retained = classes.select("node", "n", F.explode("sketch").alias("v"))
+    retained = classes.select(*CLASS, "n", F.explode("sketch").alias("v"))
     shared = retained.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
     own = F.least("n", F.lit(SKETCH)).cast("int")
-    ranked = (retained.join(shared, "v").groupBy("node", "n")
+    ranked = (retained.join(shared, "v").groupBy(*CLASS, "n")
               .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))
               .withColumn("unshared", own - F.size("values"))
               .withColumn("first", own - required(F.col("n"), threshold) + 1 - F.col("unshared"))
               .filter("first > 0"))
-    lists = store(ranked.select("node", "n", "unshared",
+    lists = store(ranked.select(*CLASS, "n", "unshared",
                                 F.explode(F.slice("values", 1, F.col("first"))["v"]).alias("v")), "lists")
+    in_lists = lists.count()
 
-    hubs = lists.groupBy("v").agg(F.min(F.struct("unshared", "node")).alias("hub"), F.count("*").alias("members"))
-    hubs = store(hubs.filter("members > 1").select("v", F.col("hub.node").alias("hub"), "members"), "hubs")
-    pairs = lists.join(hubs, "v").filter("node <> hub").select("node", "hub").distinct()
+    hubs = lists.groupBy("v").agg(F.min(F.struct("unshared", *CLASS)).alias("hub"), F.count("*").alias("members"))
+    hubs = store(hubs.filter("members > 1").select("v", F.col("hub.node").alias("hub"), F.col("hub.mark").alias("hub_mark"),
+                                                   "members"), "hubs")
+    pairs = (meet(lists, hubs, ["v"], "members", in_lists).filter("node <> hub")
+             .select(*CLASS, "hub", "hub_mark").distinct())
     # The estimate: of the SKETCH smallest values of the union, those that both retain. It has to be clearly too low.
-    a, b = (classes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
-                           F.col("sketch").alias(f"s_{name}")) for name in ("node", "hub"))
+    a, b = (classes.select(F.col("node").alias(name), F.col("mark").alias(mark), F.col("n").alias(f"n_{name}"),
+                           F.col("sketch").alias(f"s_{name}")) for name, mark in (("node", "mark"), ("hub", "hub_mark")))
     union = F.slice(F.array_sort(F.array_union("s_node", "s_hub")), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect("s_node", "s_hub")))
     # A sketch of fewer than SKETCH values is a whole set, and the estimate is exact for it.
     enough = both >= F.least(required(F.size(union), threshold), F.size(union))
     close = 100 * F.least("n_node", "n_hub") >= round(100 * threshold) * F.greatest("n_node", "n_hub")
-    pairs = store(pairs.join(a, "node").join(b, "hub").filter(close & enough).select("node", "hub"), "pairs")
+    pairs = store(pairs.join(a, CLASS).join(b, ["hub", "hub_mark"]).filter(close & enough)
+                  .select(*CLASS, "hub", "hub_mark"), "pairs")
 
-    ids = pairs.select("node").unionAll(pairs.select(F.col("hub").alias("node")))
-    ids = store(ids.unionAll(lists.join(hubs.filter("members > 2"), "v").select("node")).distinct(), "candidates")
+    ids = pairs.select(*CLASS).unionAll(pairs.select(F.col("hub").alias("node"), F.col("hub_mark").alias("mark")))
+    several = hubs.filter("members > 2")
+    ids = store(ids.unionAll(meet(lists, several, ["v"], "members", in_lists).select(*CLASS)).distinct(), "candidates")
     sets = store(full_sets(docs, ids, width), "sets")
-    whole = (pairs.join(sets, "node").withColumnRenamed("shingles", "left")
-             .join(sets.select(F.col("node").alias("hub"), "shingles"), "hub"))
-    links = store(whole.filter(_linked(F.size(F.array_intersect("left", "shingles")), F.size("left"),
-                                       F.size("shingles"), threshold))
-                  .select(F.col("node").alias("a"), F.col("hub").alias("b")), "links")
+    whole = (pairs.join(sets, CLASS).withColumnRenamed("shingles", "left")
+             .join(sets.select(F.col("node").alias("hub"), F.col("mark").alias("hub_mark"), "shingles"), ["hub", "hub_mark"]))
+    links = (whole.filter(_linked(F.size(F.array_intersect("left", "shingles")), F.size("left"), F.size("shingles"), threshold))
+             .select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    links = store(links.unionAll(_one_id(sketched, classes)), "links")
     found = store(components(links, "hub"), "components")
 
     # What is left: lists in which, besides the hub, several components meet.
-    rest = lists.join(hubs.filter("members > 2"), "v").filter("node <> hub").select("v", "node")
-    rest = (rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    open_lists = rest.groupBy("v").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rest = rest.join(open_lists.filter("low <> high").select("v"), "v")
-    more = store(_compare(tiles(rest, ["v"], "node", TILE).join(sets, "node"), threshold), "more-links")
+    rest = meet(lists, several, ["v"], "members", in_lists).filter("node <> hub or mark <> hub_mark").select("v", *CLASS)
+    rest = store(rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "open")
+    open_lists = rest.groupBy("v").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                       F.count("*").alias("left"))
+    rest = meet(rest, open_lists.filter("low <> high").select("v", "left"), ["v"], "left", in_lists).drop("left")
+    more = store(_compare(tiles(rest, ["v"], "node", TILE, in_lists).join(sets, CLASS), threshold), "more-links")
     found = store(components(links.unionAll(more), "all"), "components")
 
     named = (classes.join(found, "node", "left")
-             .select(*signature, F.coalesce("component", "node").alias("class_component"), "copies", "node")
+             .select(*SIGNATURE, F.coalesce("component", "node").alias("class_component"), "copies", "node")
              .filter("copies > 1 or class_component <> node"))
-    whole = sketched.select("doc_id", *signature).join(named.select(*signature, "class_component"), signature, "left")
+    whole = sketched.select("doc_id", *SIGNATURE).join(named.select(*SIGNATURE, "class_component"), SIGNATURE, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
