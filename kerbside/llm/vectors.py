@@ -1,7 +1,8 @@
 """Near-duplicate vectors by spherical k-means cells, compared by blocked cosine products within cells.
 
 Vectors are compared only with those of the same label and dimension, in double precision; equal directions of a label
-are one class with a number of copies. Each label has cells, one for about CELL of its classes, but at most CENTRES in
+are one class with a number of copies, named by its smallest id and, since an id may come with several vectors, by its
+`mark`, a hash of label and direction. Each label has cells, one for about CELL of its classes, but at most CENTRES in
 all; their centres are fitted on at most SAMPLE classes of the label. A class has its home in the cell of the
 nearest centre. It is a guest in every cell a with a smaller number than its home b for which
 
@@ -14,8 +15,9 @@ tiles, so a task holds two tiles whatever the size of a cell, and returns one ro
 copies, and the smallest class of its group there.
 
 Vectors that are null, zero, or hold null or non-finite components, and those without label, have no links and are
-their own component. Rows that repeat a vec_id are copies of each other. A null vec_id has a null component and is
-kept. An empty table gives no rows; other columns are not read.
+their own component. Rows that repeat a vec_id with the same direction are copies of each other. A vec_id with several
+directions counts the links of each row's own vector, and is in the component of all of them. A null vec_id has a null
+component and is kept. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ TILE = 1024
 ROWS = 256
 THRESHOLD = 0.93
 KEYS = ["label", "dim"]
+CLASS = ["node", "mark"]
+# A hash range of this many numbers, of which a sample takes a part before it is sorted.
+HASHES = 1 << 40
 
 
 def directions(rows: DataFrame) -> DataFrame:
@@ -78,9 +83,12 @@ def fit_cells(classes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
     # A label has one cell per `cell` classes, rounded down: CENTRES in all at most.
     large = sizes.filter(F.col("n") >= 2 * cell).withColumn("k", F.least(F.floor(F.col("n") / cell),
                                                                       F.lit(SAMPLE // 8)).cast("int"))
-    place = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.xxhash64("node"), "node"))
-    sample = (classes.join(large, KEYS).withColumn("place", place).filter(F.col("place") <= SAMPLE)
-              .select(*KEYS, "k", "unit"))
+    # About twice the sample by a bound on the hash; only these are put in order, and no task holds a whole label.
+    spot = F.pmod(F.xxhash64(*CLASS), F.lit(HASHES))
+    place = F.row_number().over(Window.partitionBy(*KEYS).orderBy("spot", *CLASS))
+    sample = (classes.join(F.broadcast(large), KEYS).withColumn("spot", spot)
+              .filter(F.col("spot") < F.lit(2.0 * SAMPLE * HASHES) / F.col("n"))
+              .withColumn("place", place).filter(F.col("place") <= SAMPLE).select(*KEYS, "k", "unit"))
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         x = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), -1)
@@ -113,12 +121,12 @@ def place_in_cells(classes: DataFrame, cells: dict[tuple[int, int], np.ndarray],
         taken = batch.take(pa.array(row, pa.int32()))
         return pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell, pa.int32()), pa.array(at_home, pa.bool_())],
                                           [*taken.schema.names, "cell", "at_home"])
-    return map_batches(classes, work, "label long, dim int, node long, copies long, unit binary, cell int, "
-                                      "at_home boolean")
+    return map_batches(classes, work, "label long, dim int, node long, mark long, copies long, unit binary, "
+                                      "cell int, at_home boolean")
 
 
 def _compare(placed: DataFrame, threshold: float) -> DataFrame:
-    """(node, n_links, root): links found in a tile pair, and the smallest class connected there."""
+    """(node, mark, n_links, root): links found in a tile pair, and the smallest class connected there."""
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         x = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(rows), -1)
         node, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
@@ -142,9 +150,10 @@ def _compare(placed: DataFrame, threshold: float) -> DataFrame:
             if (lower == root).all():
                 break
             root = lower
-        return pd.DataFrame({"node": node[some], "n_links": n_links[some], "root": root})
-    return (tiles(placed, [*KEYS, "cell"], "node", TILE).groupBy(*KEYS, "cell", "tile_a", "tile_b")
-            .applyInPandas(work, "node long, n_links long, root long"))
+        return pd.DataFrame({"node": node[some], "mark": rows["mark"].to_numpy()[some], "n_links": n_links[some],
+                             "root": root})
+    return (tiles(placed, [*KEYS, "cell"], "mark", TILE).groupBy(*KEYS, "cell", "tile_a", "tile_b")
+            .applyInPandas(work, "node long, mark long, n_links long, root long"))
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -152,18 +161,34 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     vectors = store(directions(rows), "directions")
     usable = vectors.filter("unit is not null and label is not null")
     classes = usable.groupBy(*KEYS, "unit").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    mark = F.xxhash64("unit", "label")
     # A class of rows without id has a name of its own that no component can take over.
-    named = F.coalesce("least", F.lit(1 << 62) + F.pmod(F.xxhash64("unit", "label"), F.lit(1 << 61)))
-    classes = store(classes.select(*KEYS, named.alias("node"), "copies", "unit"), "vector-classes")
+    named = F.coalesce("least", F.lit(1 << 62) + F.pmod(mark, F.lit(1 << 61)))
+    classes = store(classes.select(*KEYS, named.alias("node"), mark.alias("mark"), "copies", "unit"), "vector-classes")
     placed = place_in_cells(classes, fit_cells(classes), threshold)
     found = store(_compare(placed, threshold), "vector-links")
-    component = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vectors")
-    links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
-    told = (classes.join(links, "node", "left").join(component, "node", "left")
-            .filter("copies > 1 or n_links > 0")
+    joined = found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(_one_id(usable, classes))
+    component = components(joined, "vectors")
+    links = found.groupBy(*CLASS).agg(F.sum("n_links").alias("n_links"))
+    told = (classes.join(links, CLASS, "left").join(component, "node", "left")
+            .withColumn("component", F.coalesce("component", "node"))
+            .filter("copies > 1 or n_links > 0 or component <> node")
             .select(*KEYS, "unit", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                    F.coalesce("component", "node").alias("class_component")))
+                    F.col("component").alias("class_component")))
     whole = vectors.join(told, [*KEYS, "unit"], "left")
     own = F.when(F.col("vec_id").isNotNull(), F.coalesce("class_component", "vec_id"))
     return whole.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                         own.alias("component_id"), F.coalesce(own == F.col("vec_id"), F.lit(True)).alias("kept"))
+
+
+def _one_id(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between classes that hold different vectors of one vec_id: of each, with the smallest one."""
+    named = usable.filter("vec_id is not null")
+    direction = F.xxhash64("unit", "label")
+    several = (named.groupBy("vec_id").agg(F.min(direction).alias("low"), F.max(direction).alias("high"))
+               .filter("low <> high").select("vec_id"))
+    held = (named.join(several, "vec_id").select("vec_id", *KEYS, "unit").distinct()
+            .join(classes.select(*KEYS, "unit", "node"), [*KEYS, "unit"]).select("vec_id", "node"))
+    smallest = held.groupBy("vec_id").agg(F.min("node").alias("least"))
+    return (held.join(smallest, "vec_id").filter("node <> least")
+            .select(F.col("node").alias("a"), F.col("least").alias("b")).distinct())
