@@ -26,7 +26,7 @@ task, which holds a batch of runs at a time. Range bounds use the first KEY char
 one conversation that are equal up to there are sorted by one task.
 
 Turns are in order of turn, of equal ones in order of role and text; null roles and texts are empty, a null turn comes
-first, and rows without conv_id are one conversation. Repeated rows are repeated turns. An empty table gives no blocks.
+first, and rows without conv_id are one conversation. Texts may be of any length, also of white space alone. Repeated rows are repeated turns. An empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -151,12 +151,12 @@ def long_conversations(rows: DataFrame) -> DataFrame:
 def format_runs(rows: DataFrame) -> DataFrame:
     """Blocks of long conversations, each of one run of turns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = byte_encoder(TOKENIZER).coder
+        encode = byte_encoder(TOKENIZER).plain_ids
         place = TaskContext.get().partitionId() << 32
         conv_id, turns, chars = None, [], 0
 
         def block() -> pa.RecordBatch:
-            tree = _Tree(coder.encode_ordinary)
+            tree = _Tree(encode)
             tree.add(conv_id, turns)
             made = tree.batch()
             return pa.RecordBatch.from_arrays(
@@ -195,7 +195,8 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     found = store(long_conversations(rows), "chat-long")
     if found.isEmpty():
         return format_whole(rows)
-    found = F.broadcast(found.withColumnRenamed("conv_id", "found"))
+    # One per RUN characters of the input, so their number grows with it: Spark chooses the join by measured size.
+    found = found.withColumnRenamed("conv_id", "found")
     is_long = F.col("conv_id").cast("long").eqNullSafe(F.col("found"))
     return format_whole(rows.join(found, is_long, "left_anti")).unionAll(
         format_runs(rows.join(found, is_long, "left_semi")))
@@ -204,15 +205,15 @@ def format_conversations(rows: DataFrame) -> DataFrame:
 def format_whole(rows: DataFrame) -> DataFrame:
     """Blocks of conversations that are gathered whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = byte_encoder(TOKENIZER).coder
-        tree = _Tree(coder.encode_ordinary)
+        encode = byte_encoder(TOKENIZER).plain_ids
+        tree = _Tree(encode)
         for batch in batches:
             for row in batch.to_pylist() if batch.num_rows < LEAVES else (
                     r for at in range(0, batch.num_rows, LEAVES) for r in batch.slice(at, LEAVES).to_pylist()):
                 tree.add(row["conv_id"], [(t["role"], t["text"]) for t in row["turns"]])
                 if tree.full():
                     yield tree.batch()
-                    tree = _Tree(coder.encode_ordinary)
+                    tree = _Tree(encode)
         if tree.leaves:
             yield tree.batch()
     ordered = conversations(rows).repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id")
