@@ -8,7 +8,13 @@ lacks it. The language with the least sum wins, of equal ones the first by name;
 A text that is null or has no letter gets `und` and score 0. Ties of counts go to the smaller n-gram code. With no
 training document every text gets `und`. Repeated rows are counted and predicted once each; other columns are not
 read (`keep_known` returns them unchanged). Counting covers all training documents: tasks add up what they read, a
-shuffle adds up the tasks. Only the profiles, at most LANGUAGES x PROFILE rows, come to the driver.
+shuffle adds up the tasks. Only the profiles, at most LANGUAGES x PROFILE rows, come to the driver. Of more values of lang
+than LANGUAGES, those with the most training documents have profiles, of equal ones the first by name.
+
+`keep_known` also rejects texts that are in none of the languages. Each language has a bound: the score below which QUIET
+of its training documents lie that are predicted as such, to a thousandth, times LEAST. So it follows from how like its own
+profile a language's texts are, and a few odd documents do not move it. A language of which no training document is
+predicted has bound 0.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from kerbside.llm.common import BATCH_ROWS, id_checksum, map_arrow, map_batches,
 PROFILE = 400
 LANGUAGES = 300
 UNKNOWN = "und"
+QUIET, LEAST, BINS = 0.01, 0.6, 1000
 # Distinct n-grams of a language that a task holds before it passes its counts on.
 HELD = 2_000_000
 SPACE = 32
@@ -87,8 +94,6 @@ class Profiles:
 
     def __init__(self, rows: list[tuple[str, int, int]]) -> None:
         self.names = sorted({lang for lang, _, _ in rows})
-        if len(self.names) > LANGUAGES:
-            raise ValueError(f"more than {LANGUAGES} languages")
         column = {lang: k for k, lang in enumerate(self.names)}
         self.grams = np.unique(np.array([gram for _, gram, _ in rows], np.int64))
         self.places = np.full((len(self.grams) + 1, len(self.names)), PROFILE, np.int32)
@@ -110,10 +115,28 @@ class Profiles:
 
 def learn(docs: DataFrame) -> Profiles:
     """Profiles of the languages in a frame with columns text and lang; rows with no language do not count."""
-    counts = count_grams(docs.filter("lang is not null"))
+    labelled = docs.filter("lang is not null")
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    counts = count_grams(labelled.join(F.broadcast(most), "lang", "left_semi"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.withColumn("place", place).filter(F.col("place") <= PROFILE).select("lang", "gram", "place")
-    return Profiles([(lang, gram, k - 1) for lang, gram, k in top.limit((LANGUAGES + 1) * PROFILE).collect()])
+    return Profiles([(lang, gram, k - 1) for lang, gram, k in top.limit(LANGUAGES * PROFILE).collect()])
+
+
+def bounds(docs: DataFrame, profiles: Profiles) -> dict[str, float]:
+    """The least score of each language that a text of it may have, from a frame of training documents."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [profiles.predict(text) for text in texts_of(batch)]
+        right = [lang == own for (lang, _), own in zip(found, batch.column("lang").to_pylist())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang if ok else None for (lang, _), ok in zip(found, right)], pa.string()),
+             pa.array([min(BINS - 1, int(score * BINS)) for _, score in found], pa.int32())], ["lang", "bin"])
+    scored = map_batches(docs.filter("lang is not null").select("lang", "text"), work, "lang string, bin int")
+    counts = scored.filter("lang is not null").groupBy("lang", "bin").agg(F.count("*").alias("n"))
+    up_to = Window.partitionBy("lang").orderBy("bin")
+    shares = counts.select("lang", "bin", (F.sum("n").over(up_to) / F.sum("n").over(Window.partitionBy("lang"))).alias("share"))
+    rows = shares.filter(F.col("share") >= QUIET).groupBy("lang").agg(F.min("bin").alias("bin")).collect()
+    return {lang: LEAST * low / BINS for lang, low in rows}
 
 
 def held_out(fold: int = 1, folds: int = 3) -> Column:
@@ -130,8 +153,12 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), work, "doc_id long, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The documents whose text resembles a learned language, that is shares at least one n-gram with its profile."""
+def keep_known(docs: DataFrame, profiles: Profiles, least: dict[str, float]) -> DataFrame:
+    """The documents whose text is in a learned language: it has a letter, and its score reaches the language's bound."""
+    def known(text: str) -> bool:
+        lang, score = profiles.predict(text)
+        return lang != UNKNOWN and score > 0 and score >= least.get(lang, 0.0)
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array([profiles.predict(text)[1] > 0 for text in texts_of(batch)], pa.bool_()))
+        return batch.filter(pa.array([known(text) for text in texts_of(batch)], pa.bool_()))
     return map_batches(docs, work, docs.schema)
