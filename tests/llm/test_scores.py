@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from edges import LONG, documents, edge_frame, edge_rows, empty_frame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -62,143 +63,105 @@ def tokens_of(text):
     return [*re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower()), b""]
 
 
-def slow_spelled(counts_of, token):
-    """Prediction by partial matching with exclusion, symbol by symbol."""
-    symbols, total = [ppm.START, *(b + 1 for b in token), ppm.START], 0.0
-    for i in range(1, len(symbols)):
-        excluded = set()
-        for k in range(min(ppm.ORDER, i), -1, -1):
-            context = tuple(symbols[i - k:i])
-            seen = {g[-1]: n for g, n in counts_of.items() if len(g) == k + 1 and g[:-1] == context}
-            if not seen:
-                continue
-            left = {s: n for s, n in seen.items() if s not in excluded}
-            n, q = sum(left.values()), len(left)
-            if symbols[i] in left:
-                total += math.log10(left[symbols[i]] / (n + q))
-                break
-            total += math.log10(q / (n + q)) if n else 0
-            excluded |= set(seen)
-        else:
-            total -= math.log10(ppm.SYMBOLS - len(excluded))
-    return total
+def symbols_of(text):
+    return [ppm.START] * ppm.ORDER + [b + 1 for b in b" ".join(tokens_of(text)[:-1])] + [ppm.START]
 
 
-def nodes_of(tokens):
-    found = Counter()
-    for token in tokens:
-        symbols = [ppm.START, *(b + 1 for b in token), ppm.START]
-        for i in range(1, len(symbols)):
-            for k in range(min(ppm.ORDER, i) + 1):
-                found[tuple(symbols[i - k:i + 1])] += 1
-    return found
+class SlowModel:
+    """Prediction by partial matching with exclusion and update exclusion, from a list of texts, symbol by symbol."""
 
+    def __init__(self, texts):
+        self.seen = [{} for _ in range(ppm.ORDER + 1)]  # context -> symbol -> count, by length of context
+        for text in texts:
+            symbols = symbols_of(text)
+            for i in range(ppm.ORDER, len(symbols)):
+                for k in range(ppm.ORDER, -1, -1):
+                    known = self.seen[k].setdefault(tuple(symbols[i - k:i]), Counter())
+                    known[symbols[i]] += 1
+                    if known[symbols[i]] > 1:
+                        break  # shorter contexts have counted it when this one first saw it
 
-def trie_of(tokens):
-    rows = sorted((sum(s << (ppm.BITS * k) for k, s in enumerate(reversed(g))), n) for g, n in nodes_of(tokens).items())
-    return ppm.Trie(np.array([c for c, _ in rows], np.int64), np.array([n for _, n in rows], np.int64))
-
+    def chance(self, before, symbol):
+        chance, excluded = 1.0, set()
+        for k in range(ppm.ORDER, -1, -1):
+            known = self.seen[k].get(tuple(before[len(before) - k:]))
+            if not known:
+                continue
+            left = {s: n for s, n in known.items() if s not in excluded}
+            n, q = sum(left.values()), len(left)
+            if symbol in left:
+                return chance * (2 * left[symbol] - 1) / (2 * n)
+            chance *= q / (2 * n) if n else 1
+            excluded |= set(known)
+        return chance / max(1, ppm.SYMBOLS - len(excluded))
 
-def test_trie_as_brute_force():
-    pick = random.Random(4)
-    word = lambda: bytes(pick.choices(b"abc\xff", k=pick.randint(0, 7)))
-    known = sorted({word() for _ in range(40)})
-    trie, slow = trie_of(known), nodes_of(known)
-    asked = known + [word() for _ in range(60)] + [b"zzz", b"", bytes(300)]
-    assert trie.log10(asked) == pytest.approx([slow_spelled(slow, t) for t in asked])
-    assert ppm.Trie(np.array([], np.int64), np.array([], np.int64)).log10([b"ab"]) == pytest.approx(
-        [-3 * math.log10(257)])
-    # With no node left out, the probabilities of all symbols after a context add up to one.
-    chances = [10 ** (trie.log10([b"ab" + bytes([b])])[0] - trie.log10([b"ab"])[0]) for b in range(256)]
-    assert min(chances) > 0
+    def log10(self, text):
+        symbols = symbols_of(text)
+        return sum(math.log10(self.chance(symbols[i - ppm.ORDER:i], symbols[i])) for i in range(ppm.ORDER, len(symbols)))
 
 
-def test_nodes_as_brute_force(spark):
-    tokens = [b"", b"a", b"aba", b"\xff\x00", b"abab" * 40]
-    frame = spark.createDataFrame([(bytearray(t),) for t in tokens], "token binary")
-    found = {r.code: r.n for r in ppm.count_nodes(frame).collect()}
-    assert found == {sum(s << (ppm.BITS * k) for k, s in enumerate(reversed(g))): n
-                     for g, n in nodes_of(tokens).items()}
+def test_chances_add_up_to_one():
+    model = SlowModel(["ab ab abc", "the cat", "the cab"])
+    for before in (b"the c", b"zzzzz", b" ab a", b"ab ab"):
+        known = [b + 1 for b in before]
+        assert sum(model.chance(known, s) for s in range(1, 258)) == pytest.approx(1, abs=0.02)
 
 
 def test_scores_as_brute_force(spark, sf_dir):
+    """At the registered parameters, over the whole table: counts, base and the score of every text."""
     texts = documents(spark, sf_dir)
     train = {i: text for i, text in texts.items() if checksum(i) % 7 != 2}
     seen = Counter(t for text in train.values() for t in tokens_of(text))
     n, v = sum(seen.values()), len(seen)
     rows = {r.doc_id: r for r in QUERIES["op6_lm_scoring"](spark, sf_dir).collect()}
     assert set(rows) == set(texts)
+    model = SlowModel(train.values())
     for i, text in texts.items():
         tokens = tokens_of(text)
         assert (rows[i].held_out, rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (
             i not in train, len(tokens), sum(t in seen for t in tokens), n)
         assert rows[i].base_score == pytest.approx(sum(math.log10((seen[t] + 1) / (n + v + 1)) for t in tokens))
-    held = [r for r in rows.values() if r.held_out]
-    assert all(r.score < 0 for r in rows.values())
-    assert np.corrcoef([r.score for r in held], [r.base_score for r in held])[0, 1] > 0.9
+        assert rows[i].score == pytest.approx(model.log10(text))
 
 
-def test_one_kind_as_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ppm, "KINDS", 1)
-    monkeypatch.setattr(ppm, "COUNTS", ["c0"])
-    monkeypatch.setattr(ppm, "BLOCK", 2000)
+def test_blocks_and_steps_do_not_matter(spark, monkeypatch):
+    """Small blocks, texts cut into steps, bytes of all values, and texts with nothing known."""
     pick = random.Random(7)
-    texts = {i: " ".join("".join(pick.choices("abcd", (5, 3, 1, 1), k=pick.randint(1, 5))) for _ in range(50))
+    texts = {i: " ".join("".join(pick.choices("abcdé日", (5, 3, 1, 1, 1, 1), k=pick.randint(1, 5))) for _ in range(50))
              for i in range(60)}
-    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    seen = Counter(t for i, text in texts.items() if checksum(i) % 7 != 2 for t in tokens_of(text))
-    trie, n, once = trie_of(sorted(seen)), sum(seen.values()), sum(c == 1 for c in seen.values())
-    left = 1 - sum(10 ** trie.log10(sorted(seen)))
-
-    def chance(token):
-        if seen[token]:
-            return math.log10(seen[token] / (n + once + 1))
-        return math.log10((once + 1) / (n + once + 1)) + trie.log10([token])[0] - math.log10(left)
-
-    rows = ppm.score_documents(frame).collect()
-    assert {r.doc_id: pytest.approx(r.score) for r in rows} == {
-        i: sum(map(chance, tokens_of(text))) for i, text in texts.items()}
-
-
-def test_rare_contexts_stay(spark, monkeypatch):
-    """With more than 2**19 symbols of distinct tokens, contexts that were seen once still count."""
-    monkeypatch.setattr(ppm, "KINDS", 1)
-    monkeypatch.setattr(ppm, "COUNTS", ["c0"])
-    pick = random.Random(8)
-    word = lambda: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=11))
-    texts = {i: " ".join(word() for _ in range(300)) for i in range(210)}
-    texts[0] = texts[0] + " \u0416\u0418\u0417\u041d\u042c"  # in the training part
-    texts[2000] = "\u0416\u0418\u0417 \u0418\u0417\u041d"
-    assert checksum(0) % 7 != 2
-    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    seen = Counter(t for i, text in texts.items() if checksum(i) % 7 != 2 for t in tokens_of(text))
-    assert sum(len(t) + 1 for t in seen) > 1 << 19
-    trie, n, once = trie_of(sorted(seen)), sum(seen.values()), sum(c == 1 for c in seen.values())
-    left = 1 - sum(10 ** trie.log10(sorted(seen)))
-
-    def chance(token):
-        if seen[token]:
-            return math.log10(seen[token] / (n + once + 1))
-        return math.log10((once + 1) / (n + once + 1)) + trie.log10([token])[0] - math.log10(left)
-
-    rows = {r.doc_id: r.score for r in ppm.score_documents(frame).collect()}
-    for i in (2000, *[i for i in texts if checksum(i) % 7 == 2][:3]):
-        assert rows[i] == pytest.approx(sum(map(chance, tokens_of(texts[i]))))
-
-
-def test_kinds_with_repeated_ids(spark, monkeypatch):
-    monkeypatch.setattr(ppm, "SAMPLE", 5)
-    sizes = []
-    monkeypatch.setattr(ppm, "spherical_k_means", lambda x, k: sizes.append(len(x)) or x[:k])
-    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60) for _ in range(10)], "doc_id long, text string")
-    ppm.fit_kinds(docs)
-    assert sizes == [5]
+    texts |= {100: "", 101: " \n", 102: "ZZZ zzz \x00", 103: "ABCD  abcd\tAbcD " * 40, 104: "Ж" * 500}
+    frame = spark.createDataFrame([*texts.items(), (None, texts[0])], "doc_id long, text string").repartition(4)
+    model = SlowModel([text for i, text in texts.items() if checksum(i) % 7 != 2] + [texts[0]])
+    expected = {i: pytest.approx(model.log10(text)) for i, text in texts.items()} | {None: pytest.approx(model.log10(texts[0]))}
+    for block, step, held in ((2000, 64, 500), (1 << 25, 1 << 20, 1 << 22)):
+        monkeypatch.setattr(ppm, "BLOCK", block)
+        monkeypatch.setattr(ppm, "STEP", step)
+        monkeypatch.setattr(ppm, "HELD", held)
+        assert {r.doc_id: r.score for r in ppm.score_documents(frame).collect()} == expected
+
+
+def test_order_of_words_counts(spark):
+    """A text and its words shuffled have one base score and different scores; fluent ones score higher."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 400").collect()
+    texts = {r.doc_id: r.text for r in rows}
+    held = [i for i in texts if checksum(i) % 7 == 2][:40]
+    pick = random.Random(3)
+    free = iter(i for i in range(10 ** 6, 2 * 10 ** 6) if checksum(i) % 7 == 2)
+    mixed = {}
+    for i in held:
+        words = texts[i].split()
+        pick.shuffle(words)
+        mixed[i] = (next(free), " ".join(words))
+    frame = spark.createDataFrame([*texts.items(), *mixed.values()], "doc_id long, text string")
+    found = {r.doc_id: r for r in ppm.score_documents(frame).collect()}
+    pairs = [(found[i], found[other]) for i, (other, _) in mixed.items()]
+    assert all(a.base_score == pytest.approx(b.base_score) and a.score != b.score for a, b in pairs)
+    assert np.mean([a.score > b.score for a, b in pairs]) > 0.9
 
 
 def test_held_out_score_beats_the_base(spark):
     held = [r for r in QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.1").collect() if r.held_out]
     assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
-    assert np.mean([r.score > r.base_score for r in held]) > 0.8
 
 
 def test_score_edges(spark):
@@ -262,6 +225,39 @@ def test_vector_edges(spark):
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_an_id_with_several_vectors(spark):
+    """Rows count their own vector's links; components are of ids."""
+    pick, rows = np.random.default_rng(4), []
+    for label in (0, 1):
+        for _ in range(12):
+            base = pick.normal(size=4)
+            rows += [(int(pick.integers(0, 40)), (base + pick.normal(size=4) * 0.3).tolist(), label) for _ in range(3)]
+    rows += rows[:2] + [(7, None, 0), (rows[0][0], [0.0] * 4, 0), (None, rows[5][1], 0)]
+    units = [None if v is None or not np.any(v) else np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    links, component = [0] * len(rows), {i: i for i, _, _ in rows if i is not None}
+    for a, (i, _, label) in enumerate(rows):
+        for b, (j, _, other) in enumerate(rows):
+            if a != b and label == other and units[a] is not None and units[b] is not None and units[a] @ units[b] >= 0.93:
+                links[a] += 1
+                if i is not None and j is not None:
+                    low, high = sorted((component[i], component[j]))
+                    component = {k: low if c == high else c for k, c in component.items()}
+    expected = sorted(((i, n, None if i is None else component[i] if u is not None else i,
+                        i is None or (component[i] if u is not None else i) == i)
+                       for (i, _, _), n, u in zip(rows, links, units)), key=str)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    assert sorted(map(tuple, vectors.near_duplicates(frame).collect()), key=str) == expected
+
+
+def test_sample_of_a_label_is_cut_before_it_is_sorted(spark):
+    """The rank is over what a bound on the hash lets through."""
+    classes = spark.range(50_000).select(F.lit(1).cast("long").alias("label"), F.lit(2).alias("dim"), F.col("id").alias("node"),
+                                         F.xxhash64("id").alias("mark"), F.lit(1).cast("long").alias("copies"),
+                                         F.lit(np.array([1.0, 0.0]).tobytes()).alias("unit"))
+    found = vectors.fit_cells(classes)
+    assert found[1, 2].shape == (50_000 // vectors.CELL, 2)
+
+
 # -- fingerprints ------------------------------------------------------------------------------------
 
 def test_fingerprints_with_next(spark, sf_dir):
@@ -302,6 +298,87 @@ def test_equal_stretches_are_cut_alike(seed):
         assert any(b[k:k + len(inside)] == inside for k in range(len(b))), level
 
 
+FULL = (1 << 64) - 1
+
+
+def slow_mix(x):
+    x = (x ^ (x >> 32)) * 0x9E3779B97F4A7C15 & FULL
+    x = (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 & FULL
+    return x ^ (x >> 32)
+
+
+def slow_level(symbols):
+    """Phrase names of one sequence, symbol by symbol."""
+    odd, runs = 0x94D049BB133111EB, []
+    for s in symbols:
+        if runs and runs[-1][0] == s:
+            runs[-1][1] += 1
+        else:
+            runs.append([s, 1])
+    line = [s if n == 1 else slow_mix((s + n * odd) & FULL) for s, n in runs]
+
+    def toss(before, here):
+        apart = before ^ here
+        place = min(63, (apart & -apart).bit_length() - 1)
+        return 2 * place + (here >> place & 1)
+    labels = line
+    for _ in range(5):
+        labels = [toss(labels[i - 1] if i else here ^ 1, here) for i, here in enumerate(labels)]
+    phrases_found = []
+    for i, s in enumerate(line):
+        rises = i > 0 and labels[i] > labels[i - 1]
+        falls = i + 1 == len(line) or labels[i + 1] <= labels[i]
+        if i == 0 or rises and falls:
+            phrases_found.append([])
+        phrases_found[-1].append(s)
+    return [slow_mix(sum(slow_mix(s) * pow(odd, k + 1, 1 << 64) for k, s in enumerate(p)) & FULL) for p in phrases_found]
+
+
+def slow_fingerprint(text):
+    """The 40 smallest of each of three levels' names, cut to 32 bits."""
+    found, symbols = [], [ord(c) for c in text]
+    for _ in range(3):
+        symbols = slow_level(symbols) if symbols else []
+        found.append("".join(f"{name:08x}" for name in sorted({s & 0xFFFFFFFF for s in symbols})[:40]))
+    return ".".join(found) if text else ""
+
+
+def slow_likeness(a, b):
+    """Dice share, on the highest level with 12 names on both sides, of what both lists can hold."""
+    if not a or not b:
+        return float(a == b)
+    sides = [[[part[k:k + 8] for k in range(0, len(part), 8)] for part in f.split(".")] for f in (a, b)]
+    level = max([k for k in range(3) if all(len(side[k]) >= 12 for side in sides)], default=0)
+    x, y = sides[0][level], sides[1][level]
+    reach = min([names[-1] for names in (x, y) if len(names) == 40], default="g")
+    x, y = [n for n in x if n <= reach], [n for n in y if n <= reach]
+    return 2 * len(set(x) & set(y)) / (len(x) + len(y))
+
+
+def test_fingerprints_as_slow_version(spark, sf_dir):
+    texts = [*documents(spark, sf_dir).values()][:120] + ["", "a", "aa", "ab", "aab" * 50, LONG, "Où ça? 日本 𝔘", "x" * 3000]
+    own = phrases.fingerprints(texts)
+    assert own == [slow_fingerprint(text) for text in texts]
+    pairs = [(a, b) for a in own[:40] for b in own[-20:]] + [(a, a) for a in own]
+    assert [phrases.likeness(a, b) for a, b in pairs] == pytest.approx([slow_likeness(a, b) for a, b in pairs])
+
+
+def test_names_of_unrelated_texts_rarely_meet(spark):
+    """Names are cut to 32 bits. Of all names in unrelated texts, equal ones with different full names are as rare as chance."""
+    texts = [t for t in documents(spark, "/root/testdata/sf0.01").values() if t][:600]
+    full = {}
+    for text in texts:
+        symbols = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        first = np.arange(len(symbols)) == 0
+        for _ in range(3):
+            symbols, first = phrases.next_level(symbols, first)
+            for s in np.unique(symbols).tolist():
+                full.setdefault(s & 0xFFFFFFFF, set()).add(s)
+    names = sum(map(len, full.values()))
+    met = sum(len(s) - 1 for s in full.values())
+    assert met <= 3 + 3 * names ** 2 / 2 ** 33
+
+
 def test_fingerprints_do_not_depend_on_the_batch():
     texts = ["", "a", "aaaa", "ab" * 300, LONG, "Où ça? 日本", *[f"text {i} of some" * i for i in range(30)]]
     alone = [phrases.fingerprints([t])[0] for t in texts]
@@ -393,6 +470,16 @@ def test_long_conversations_are_cut(spark):
         assert found[conv].formatted_chars == sum(23 + len(role) + len(text) for _, role, text in turns)
 
 
+def test_chat_with_long_white_space(spark):
+    """In a short conversation and in one that is cut into runs."""
+    blank = "x" + " \n" * 600_000
+    rows = [(1, 0, "user", " " * 200_000), (2, 0, "user", blank), (2, 1, "assistant", blank + "y"), (None, 0, "\t" * 120_000, "a")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r for r in chat.read_back(chat.format_conversations(frame)).collect()}
+    for conv in (1, 2, None):
+        assert found[conv].turns_sha256 == digest("".join(f"{role}\n{text}\n" for c, _, role, text in rows if c == conv))
+
+
 def test_chat_edges(spark):
     rows = [(1, 0, None, None), (1, None, "user", "a"), (1, 1, "assistant", ""), (2, 0, "assistant", LONG),
             (2, 0, "assistant", LONG), (None, 0, "user", "nobody"), (3, 5, "<|end|>", "é\\"), (3, 4, "assistant", "\\<s>")]
