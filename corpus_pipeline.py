@@ -14,8 +14,10 @@ from kerbside.session import prepare
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a letter, and those that share no n-gram with any learned language's profile."""
-    return langid.keep_known(docs, langid.learn(docs.filter(~langid.held_out())))
+    """Drop texts without a letter, and those less like any learned language than nearly all of its own texts are."""
+    train = docs.filter(~langid.held_out())
+    profiles = langid.learn(train)
+    return langid.keep_known(docs, profiles, langid.bounds(train, profiles))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
