@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,8 @@ BLOCK = 1 << 25
 STEP, HELD, CHUNK = 1 << 20, 1 << 22, 50_000
 # Bytes of texts that are compressed together.
 PACK = 1 << 20
+# Tables that are tried for a key before the sorted ones, their least slots for each key, and keys looked up together.
+TABLES, SPARE, TOGETHER = 8, 4, 1 << 16
 PREPARED = "block long, doc_ids array<long>, texts binary, keys array<long>, counts array<int>"
 
 
@@ -100,11 +103,64 @@ class _Counted:
             parts = [keys for keys, kind in self.waiting if kind is train]
             if parts:
                 keys, n = np.unique(np.concatenate(parts), return_counts=True)
-                self.keys, place = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
-                self.n = np.bincount(place, np.concatenate([self.n, n * train]), len(self.keys)).astype(np.int64)
+                n = n * train
+                # Both lists are sorted, and most keys are there after the first rounds: only new ones move others.
+                place = np.searchsorted(self.keys, keys)
+                new = np.ones(len(keys), bool)
+                within = place < len(self.keys)
+                new[within] = self.keys[place[within]] != keys[within]
+                self.n[place[~new]] += n[~new]
+                self.keys, self.n = (np.insert(a, place[new], b[new]) for a, b in ((self.keys, keys), (self.n, n)))
         self.waiting, self.size = [], 0
 
 
+# Odd factors, one for each table.
+_FACTORS = np.random.default_rng(6).integers(1 << 62, 1 << 63, TABLES, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _slots(keys: np.ndarray, factor: np.uint64, shift: np.uint64) -> np.ndarray:
+    """The slot of each key: the highest bits of a product, after the higher half was folded into the lower one."""
+    bits = keys.view(np.uint64)
+    return (((bits ^ (bits >> np.uint64(32))) * factor) >> shift).view(np.int64)
+
+
+class Lookup:
+    """Values of keys, each of which is known to be there.
+
+    A key that is alone in its slot of a table has its value there, so it is found without a look at any key; those that
+    share a slot go on to a smaller table with other slots, and what is left after TABLES of them is searched for.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.tables: list[tuple[np.uint64, np.uint64, np.ndarray]] = []
+        while len(keys) and len(self.tables) < TABLES:
+            bits = (SPARE * len(keys)).bit_length()
+            factor = _FACTORS[len(self.tables)]
+            slots = _slots(keys, factor, np.uint64(64 - bits))
+            table, last = np.full(1 << bits, np.nan, np.float32), np.zeros(1 << bits, np.int32)
+            rows = np.arange(len(keys), dtype=np.int32)
+            table[slots], last[slots] = values, rows
+            table[slots[last[slots] != rows]] = np.nan
+            self.tables.append((factor, np.uint64(64 - bits), table))
+            shared = np.isnan(table[slots])
+            keys, values = keys[shared], values[shared]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        found, missing = np.empty(len(keys), np.float32), np.arange(len(keys))
+        for factor, shift, table in self.tables:
+            here = table[_slots(keys, factor, shift)]
+            found[missing] = here
+            shared = np.flatnonzero(np.isnan(here))
+            missing, keys = missing[shared], keys[shared]
+            if not len(keys):
+                break
+        if len(keys):
+            found[missing] = self.values[np.searchsorted(self.keys, keys)]
+        return found.astype(np.float64)
+
+
 class _Block:
     """Texts whose distinct windows and tokens are asked for together."""
 
@@ -267,20 +323,40 @@ def score_documents(docs: DataFrame) -> DataFrame:
         tokens.select("code", F.log10(F.col("n") + 1).alias("value")))
     values = store(values, "ppm-values")
 
-    def score(texts: pa.Table, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
-        for row in texts.to_pylist():
-            for doc_id, text in zip(row["doc_ids"], unpacked(row["texts"])):
+    def score(texts: pa.Table, value_of: Lookup) -> list[list]:
+        rows, waiting, size = [], [], 0
+
+        def add_waiting() -> None:
+            lists = [keys for _, keys in waiting]
+            values = value_of(np.concatenate(lists))
+            ends = np.cumsum([len(keys) for keys in lists])
+            for (row, keys), high in zip(waiting, ends):
+                own = values[high - len(keys):high]
+                if keys[0] < 0:
+                    base = float(own.sum()) - len(own) * math.log10(total + distinct + 1)
+                    row[1:4] = len(own), int(np.count_nonzero(own)), base
+                else:
+                    row[4] += float(own.sum())
+            waiting.clear()
+
+        for packed in texts.to_pylist():
+            for doc_id, text in zip(packed["doc_ids"], unpacked(packed["texts"])):
                 words = words_of(text)
-                own = sum(float(values[np.searchsorted(keys, part)].sum()) for part in windows(words))
-                times = values[np.searchsorted(keys, token_keys([*words, b""]))]
-                base = float(times.sum()) - len(times) * math.log10(total + distinct + 1)
-                yield doc_id, len(times), int(np.count_nonzero(times)), base, own
+                rows.append([doc_id, 0, 0, 0.0, 0.0])
+                for keys in chain([token_keys([*words, b""])], windows(words)):
+                    waiting.append((rows[-1], keys))
+                    size += len(keys)
+                    if size >= TOGETHER:
+                        add_waiting()
+                        size = 0
+        if waiting:
+            add_waiting()
+        return rows
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         keys, found = (np.concatenate([np.frombuffer(part, kind) for part in answers.column(c).to_pylist()])
                        for c, kind in (("keys", "<i8"), ("values", "<f4")))
-        order = np.argsort(keys)
-        out = list(score(texts, keys[order], found[order].astype(np.float64)))
+        out = score(texts, Lookup(keys, found))
         names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)

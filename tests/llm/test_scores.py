@@ -140,6 +140,34 @@ def test_blocks_and_steps_do_not_matter(spark, monkeypatch):
         assert {r.doc_id: r.score for r in ppm.score_documents(frame).collect()} == expected
 
 
+@pytest.mark.parametrize("tables, spare", [(8, 4), (1, 1), (0, 4)])
+def test_values_are_looked_up_by_tables(monkeypatch, tables, spare):
+    monkeypatch.setattr(ppm, "TABLES", tables)
+    monkeypatch.setattr(ppm, "SPARE", spare)
+    draw = np.random.default_rng(3)
+    keys = np.unique(np.concatenate([draw.integers(-(1 << 63), 1 << 62, 20_000), np.arange(5000) << 45, [-1, 0, 1]]))
+    draw.shuffle(keys)
+    values = draw.normal(size=len(keys)).astype(np.float32)
+    asked = draw.integers(0, len(keys), 100_000)
+    found = ppm.Lookup(keys, values)
+    assert np.array_equal(found(keys[asked]), values[asked].astype(np.float64))
+    assert tables != 8 or not len(found.keys)  # no key is left to a search
+    assert len(found(keys[:0])) == 0 and ppm.Lookup(keys[:1], values[:1])(keys[:1])[0] == values[0]
+
+
+def test_keys_are_counted_as_they_come(monkeypatch):
+    monkeypatch.setattr(ppm, "HELD", 50)
+    draw, counted, expected = random.Random(4), ppm._Counted(), Counter()
+    for _ in range(200):
+        part, train = [draw.randrange(-300, 300) for _ in range(draw.randrange(30))], draw.random() < 0.5
+        counted.add(np.array(part, np.int64), train)
+        for key in part:
+            expected[key] += train
+    counted.fold()
+    assert dict(zip(counted.keys.tolist(), counted.n.tolist())) == dict(expected)
+    assert (np.diff(counted.keys) > 0).all()
+
+
 def test_order_of_words_counts(spark):
     """A text and its words shuffled have one base score and different scores; fluent ones score higher."""
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 400").collect()
