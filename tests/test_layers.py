@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import os
 import random
 from decimal import Decimal
 
@@ -9,9 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import rows
+from kerbside.functions.convert import to_text
 from kerbside.functions.measures import exact_mean, exact_sum
 from kerbside.operators import gold, layers
 from kerbside.schemas import LOCATIONS, PAYMENTS
+from kerbside.sources import files
 from kerbside.sources.files import path_exists, read_csv, read_json, scan, scan_or_empty, write_csv, write_table
 
 
@@ -53,6 +56,21 @@ def test_columns_follow_the_header_not_their_position(spark, folder):
     assert row["payment_id"] == "p1" and row["amount"] == 7.25
 
 
+def test_feeds_and_tables_are_stored_small(spark, folder, monkeypatch):
+    monkeypatch.setattr(files, "CSV_ROWS", 100)
+    df = rows.pings(spark, *[{"event_id": f"e{i}", "city": None if i % 3 else 'a "b", c'} for i in range(450)]).coalesce(1)
+    sent = to_text(df.drop("event_date"))
+    write_csv(sent, f"{folder}/csv")
+    back = read_csv(spark, f"{folder}/csv")
+    names = [os.path.basename(name) for name in back.inputFiles()]
+    assert len(names) == 5 and all(name.endswith(".csv.gz") for name in names)  # many tasks can read a feed
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, sent.collect()), key=str)
+    for partition_by in (None, "event_date"):
+        path = f"{folder}/table-{partition_by}"
+        assert write_table(df, path, partition_by) == 450
+        assert all(name.endswith(".zstd.parquet") for name in spark.read.parquet(path).inputFiles())
+
+
 def test_null_event_time_goes_to_the_default_partition(spark, folder):
     df = rows.pings(spark, {}, {"event_id": "e2", "event_timestamp": None})
     assert write_table(df, folder, "event_date") == 2
